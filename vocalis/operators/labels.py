@@ -10,26 +10,35 @@ from ..functions import labels as L
 from ..functions import vocab
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def values_table(spark: SparkSession, rows: list[tuple], cols: list[str]) -> DataFrame:
+    """A small fixed table as an inline VALUES relation (a LocalRelation, so
+    Catalyst knows its exact size and the broadcast is bounded)."""
+    body = ", ".join("(" + ", ".join(_sql_str(v) if isinstance(v, str) else repr(v) for v in r) + ")"
+                     for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(cols)})")
+
+
 def code_lookup(spark: SparkSession) -> DataFrame:
-    """The fixed 29-row (code, label) table; a LocalRelation, so its size is known."""
-    schema = T.StructType([T.StructField("code", T.StringType(), False),
-                           T.StructField("label", T.StringType(), False)])
-    return spark.createDataFrame(vocab.code_label_rows(), schema)
+    """The fixed 29-row (code, label) table."""
+    return values_table(spark, vocab.code_label_rows(), ["code", "label"])
 
 
 def display_table(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("label", T.StringType(), False),
-                           T.StructField("label_fr", T.StringType(), False),
-                           T.StructField("emoji", T.StringType(), False)])
-    return spark.createDataFrame(vocab.DISPLAY, schema)
+    return values_table(spark, vocab.DISPLAY, ["label", "label_fr", "emoji"])
 
 
 def with_corpus_code(df: DataFrame, path_col: str = "path") -> DataFrame:
-    """P2 + P3. The code column is materialised once so later operators do not
-    re-expand the regex CASE."""
+    """P2 + P3. ``code`` is made non-nullable ('' for no corpus): a null code and
+    '' both find no lookup partner, and the join then infers no IS NOT NULL
+    filter that Catalyst would push below the projections, re-expanding the
+    path and regex expressions inside it."""
     p = F.col(path_col)
     return (df.withColumn("dataset", L.corpus_tag(p))
-              .withColumn("code", L.emotion_code(p, F.col("dataset"))))
+              .withColumn("code", F.coalesce(L.emotion_code(p, F.col("dataset")), F.lit(""))))
 
 
 def label_from_path(df: DataFrame, path_col: str = "path", keep_code: bool = False) -> DataFrame:

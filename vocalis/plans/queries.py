@@ -7,6 +7,7 @@ results are rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -14,8 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from ..operators import fanout as FO
 from ..operators import labels as LB
 from ..operators import profile as PR
+from ..operators import split as SP
+from ..session import shared_dir
 from . import views as V
 
 
@@ -55,3 +59,185 @@ SELECT label, count(*) AS n FROM labelled WHERE label <> 'unknown' GROUP BY labe
 """)
 def q_class_distribution(spark, sf):
     return PR.class_distribution(LB.label_from_path(V.clip_paths(spark, sf)))
+
+
+# --------------------------------------------------------------------------
+# 3. corpus x label (A3 A4), rejects (P5 report)
+# --------------------------------------------------------------------------
+
+def _labelled(spark, sf):
+    return LB.label_from_path(V.clip_paths(spark, sf))
+
+
+@register("corpus_label_counts", "A3", sql=V.LABELLED_SQL + """
+SELECT dataset, label, count(*) AS n FROM labelled WHERE label <> 'unknown' GROUP BY dataset, label
+""")
+def q_corpus_label_counts(spark, sf):
+    return PR.group_counts(_labelled(spark, sf), "dataset", "label")
+
+
+@register("corpus_label_matrix", "A4", sql=V.LABELLED_SQL + """
+SELECT dataset, """ + ", ".join(f"count(*) FILTER (WHERE label = '{e}') AS {e}" for e in vocab.EMOTIONS_7) + """
+FROM labelled WHERE label <> 'unknown' GROUP BY dataset
+""")
+def q_corpus_label_matrix(spark, sf):
+    return PR.cross_tab(_labelled(spark, sf), "dataset", "label", vocab.EMOTIONS_7)
+
+
+@register("label_rejects", "P5", sql=V.LABELLED_SQL.replace("labelled AS (", "labelled_unused AS (") + """
+SELECT CASE WHEN dataset IS NULL THEN 'no_corpus' WHEN code = '' THEN 'no_code' ELSE 'unmapped_code' END AS reason,
+       count(*) AS n
+FROM coded
+WHERE dataset IS NULL OR code NOT IN ('03','HAP','happy','h','04','SAD','sad','sa','05','ANG','angry','a',
+      '06','FEA','fear','f','07','DIS','disgust','d','08','ps','su','surprise','01','02','NEU','neutral','n')
+GROUP BY 1
+""")
+def q_label_rejects(spark, sf):
+    return PR.group_counts(LB.label_rejects(V.clip_paths(spark, sf)), "reason")
+
+
+# --------------------------------------------------------------------------
+# 4. filename-only parser
+# --------------------------------------------------------------------------
+
+_FN_SQL = V.CLIP_PATHS_SQL + """,
+fn AS (
+  SELECT event_id, path, lower(string_split(path, '/')[-1]) AS f FROM clip_paths
+),
+parts AS (
+  SELECT event_id, path, f,
+         string_split(replace(f, '.wav', ''), '-') AS dash,
+         string_split(replace(f, '.wav', ''), '_') AS us,
+         length(f) - length(replace(f, '-', '')) AS n_dash
+  FROM fn
+)
+SELECT event_id, path,
+  CASE
+    WHEN (starts_with(f, '03-01') OR n_dash >= 5) AND len(dash) >= 3 THEN
+      CASE dash[3] WHEN '01' THEN 'neutral' WHEN '02' THEN 'neutral' WHEN '03' THEN 'happy'
+                   WHEN '04' THEN 'sad' WHEN '05' THEN 'angry' WHEN '06' THEN 'fear'
+                   WHEN '07' THEN 'disgust' WHEN '08' THEN 'surprise' ELSE 'unknown' END
+    WHEN contains(f, '_') AND len(us) = 3
+         AND us[3] IN ('angry','disgust','fear','happy','neutral','sad','surprise','ps') THEN us[3]
+    WHEN contains(f, '_') AND len(us) >= 3 THEN
+      CASE upper(us[3]) WHEN 'ANG' THEN 'angry' WHEN 'DIS' THEN 'disgust' WHEN 'FEA' THEN 'fear'
+                        WHEN 'HAP' THEN 'happy' WHEN 'NEU' THEN 'neutral' WHEN 'SAD' THEN 'sad'
+                        ELSE 'unknown' END
+    WHEN contains(f, '_') THEN
+      CASE regexp_replace(us[-1], '[^\\p{L}]', '', 'g')
+        WHEN 'a' THEN 'angry' WHEN 'd' THEN 'disgust' WHEN 'f' THEN 'fear' WHEN 'h' THEN 'happy'
+        WHEN 'n' THEN 'neutral' WHEN 'sa' THEN 'sad' WHEN 'su' THEN 'surprise' ELSE 'unknown' END
+    ELSE 'unknown'
+  END AS fn_label
+FROM parts
+"""
+
+
+@register("filename_label", "P8", sql=_FN_SQL)
+def q_filename_label(spark, sf):
+    return LB.with_filename_label(V.clip_paths(spark, sf)).select("event_id", "path", "fn_label")
+
+
+# --------------------------------------------------------------------------
+# 5. split (X1 X2 U2 S5)
+# --------------------------------------------------------------------------
+
+_SPLIT_CTE = V.LABELLED_CTE + """,
+split AS (
+  SELECT *, CASE WHEN ('0x' || substr(md5(path), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS split
+  FROM labelled WHERE label <> 'unknown'
+)"""
+_SPLIT_SQL = "WITH " + _SPLIT_CTE
+
+
+def _split(spark, sf):
+    return SP.with_split(_labelled(spark, sf), "path")
+
+
+@register("hash_split", "X1", sql=_SPLIT_SQL + """
+SELECT event_id, path, label, split FROM split
+""")
+def q_hash_split(spark, sf):
+    return _split(spark, sf).select("event_id", "path", "label", "split")
+
+
+@register("split_counts", "X1 A2", sql=_SPLIT_SQL + """
+SELECT split, label, count(*) AS n FROM split GROUP BY split, label
+""")
+def q_split_counts(spark, sf):
+    return PR.group_counts(_split(spark, sf), "split", "label")
+
+
+@register("split_overlap", "X2 U2", sql=_SPLIT_SQL + """
+SELECT count(*) AS n_overlap FROM (
+  SELECT DISTINCT path FROM split WHERE split = 'train'
+  INTERSECT SELECT DISTINCT path FROM split WHERE split = 'test')
+""")
+def q_split_overlap(spark, sf):
+    return SP.split_overlap(_split(spark, sf), "path")
+
+
+@register("split_manifest", "S5 P1", sql=_SPLIT_SQL + """
+SELECT path, label, split FROM split
+""")
+def q_split_manifest(spark, sf):
+    """Writes the manifest as header CSV partitioned by split (distributed, no
+    driver collect), then reads it back."""
+    from ..sources import sinks
+    out = shared_dir(spark, "manifest-" + uuid.uuid4().hex)
+    sinks.write_manifest(_split(spark, sf), out)
+    return sinks.read_manifest(spark, out)
+
+
+# --------------------------------------------------------------------------
+# 6. augmentation fan-out
+# --------------------------------------------------------------------------
+
+_FAN_SQL = _SPLIT_SQL + """,
+fanned AS (
+  SELECT s.*, t.augmentation FROM split s,
+    unnest(CASE WHEN s.split = 'train' THEN ['original','pitch_shift','white_noise','time_stretch']
+                ELSE ['original'] END) AS t(augmentation)
+)"""
+
+
+def _fanned(spark, sf):
+    return FO.fan_out(_split(spark, sf))
+
+
+@register("augment_fanout_counts", "G4 U1 A5", sql=_FAN_SQL + """
+SELECT split, augmentation, count(*) AS n FROM fanned GROUP BY split, augmentation
+""")
+def q_augment_fanout_counts(spark, sf):
+    return PR.group_counts(_fanned(spark, sf), "split", "augmentation")
+
+
+@register("fanout_check", "A12", sql=_FAN_SQL + """
+SELECT count(*) AS n_clips,
+       count(*) FILTER (WHERE n <> CASE WHEN split = 'train' THEN 4 ELSE 1 END) AS n_bad
+FROM (SELECT event_id, split, count(*) AS n FROM fanned GROUP BY event_id, split)
+""")
+def q_fanout_check(spark, sf):
+    return FO.fanout_check(_fanned(spark, sf), "event_id")
+
+
+@register("variant_pairs", "J2", sql=_FAN_SQL + """
+SELECT event_id, count(*) AS n_versions,
+  max(label) FILTER (WHERE augmentation = 'original') AS label_original,
+  max(label) FILTER (WHERE augmentation = 'pitch_shift') AS label_pitch_shift,
+  max(label) FILTER (WHERE augmentation = 'white_noise') AS label_white_noise,
+  max(label) FILTER (WHERE augmentation = 'time_stretch') AS label_time_stretch
+FROM fanned GROUP BY event_id
+""")
+def q_variant_pairs(spark, sf):
+    return FO.variant_pairs(_fanned(spark, sf), "event_id", "label")
+
+
+@register("variant_sample", "P7", sql=_FAN_SQL + """
+SELECT augmentation, path, event_id, label FROM (
+  SELECT augmentation, path, event_id, label,
+         row_number() OVER (PARTITION BY augmentation ORDER BY path, event_id) AS rn
+  FROM fanned) WHERE rn = 1
+""")
+def q_variant_sample(spark, sf):
+    return FO.variant_sample(_fanned(spark, sf), ["path", "event_id"], ["label"])
