@@ -18,8 +18,11 @@ from ..functions import vocab
 from ..operators import fanout as FO
 from ..operators import labels as LB
 from ..operators import profile as PR
+from ..operators import signal as SG
+from ..operators import spectral as SPC
 from ..operators import split as SP
 from ..session import shared_dir
+from ..sources.tables import table
 from . import views as V
 
 
@@ -241,3 +244,211 @@ SELECT augmentation, path, event_id, label FROM (
 """)
 def q_variant_sample(spark, sf):
     return FO.variant_sample(_fanned(spark, sf), ["path", "event_id"], ["label"])
+
+
+# --------------------------------------------------------------------------
+# 7-9. framing, duration, time-domain features, tones
+# --------------------------------------------------------------------------
+
+_NF, _HOP = V.SIGNAL_N_FFT, V.SIGNAL_HOP
+_SIG_CTE = f"""
+sig AS (SELECT vec_id AS clip_id, CAST(embedding AS DOUBLE[]) AS x, len(embedding) AS n FROM embeddings)"""
+
+
+def _r(c: str, d: int = 6):
+    return F.round(F.col(c), d).alias(c)
+
+
+@register("frame_signal", "D2", sql="WITH " + _SIG_CTE + f""",
+fr AS (SELECT clip_id, x, n, unnest(range(0, (n - {_NF}) // {_HOP} + 1)) AS frame_no FROM sig WHERE n >= {_NF})
+SELECT clip_id, frame_no, round(sum(x[frame_no * {_HOP} + m + 1] * x[frame_no * {_HOP} + m + 1]), 6) AS energy
+FROM fr, range(0, {_NF}) t(m) GROUP BY clip_id, frame_no
+""")
+def q_frame_signal(spark, sf):
+    return SG.frame_energy(V.signals(spark, sf), _NF, _HOP).select("clip_id", "frame_no", _r("energy"))
+
+
+@register("clip_duration", "D14 D2 D2c", sql="WITH " + _SIG_CTE + f"""
+SELECT clip_id, n AS n_samples, round(n / {V.SIGNAL_RATE}, 6) AS duration_s,
+       CASE WHEN n >= {_NF} THEN (n - {_NF}) // {_HOP} + 1 ELSE 0 END AS n_frames,
+       n // {_HOP} + 1 AS n_frames_centred
+FROM sig
+""")
+def q_clip_duration(spark, sf):
+    return SG.clip_duration(V.signals(spark, sf), _NF, _HOP).withColumn(
+        "duration_s", F.round("duration_s", 6))
+
+
+_TIME_SQL = "WITH " + _SIG_CTE + f""",
+fr AS (SELECT clip_id, x, n, unnest(range(0, n // {_HOP} + 1)) AS i FROM sig WHERE n > 0),
+pos AS (
+  SELECT clip_id, n, i, m,
+         x[least(greatest(i * {_HOP} - {_NF // 2} + m, 0), n - 1) + 1] AS ve,
+         CASE WHEN i * {_HOP} - {_NF // 2} + m BETWEEN 0 AND n - 1
+              THEN x[i * {_HOP} - {_NF // 2} + m + 1] ELSE 0 END AS vz
+  FROM fr, range(0, {_NF}) t(m)
+),
+lagged AS (
+  SELECT *, lag(ve) OVER (PARTITION BY clip_id, i ORDER BY m) AS ve_prev FROM pos
+),
+per AS (
+  SELECT clip_id, n, i,
+         count(*) FILTER (WHERE ve_prev IS NOT NULL AND (ve < -1e-10) <> (ve_prev < -1e-10)) / {float(_NF)} AS zcr_t,
+         sum(vz * vz) AS ss_t
+  FROM lagged GROUP BY clip_id, n, i
+),
+w AS (
+  SELECT *, (i * {_HOP} - {_NF // 2} >= 0 AND i * {_HOP} - {_NF // 2} + {_NF} <= n) AS whole FROM per
+),
+agg AS (
+  SELECT clip_id, avg(zcr_t) AS zcr, avg(sqrt(ss_t / {float(_NF)})) AS rms,
+         sum(ss_t) FILTER (WHERE whole) AS e_tot,
+         sum(ss_t * log2(ss_t)) FILTER (WHERE whole AND ss_t > 0) AS s_tot,
+         count(*) FILTER (WHERE whole) AS nf
+  FROM w GROUP BY clip_id
+)
+SELECT clip_id, round(zcr, 6) AS zcr, round(rms, 6) AS rms,
+       round(CASE WHEN nf = 0 THEN NULL WHEN e_tot > 0 THEN log2(e_tot) - coalesce(s_tot, 0) / e_tot ELSE 0 END, 6)
+         AS entropy
+FROM agg
+"""
+
+
+@register("frame_time_features", "D3 D4 D5 A8 A9", sql=_TIME_SQL)
+def q_frame_time_features(spark, sf):
+    out = SG.time_features(V.signals(spark, sf), _NF, _HOP)
+    return out.select("clip_id", _r("zcr"), _r("rms"), _r("entropy"))
+
+
+_TONE_DUR = 0.01
+_TONE_N = int(vocab.SAMPLE_RATE * _TONE_DUR)
+
+
+@register("tone_signal", "S9", sql=f"""
+WITH tones AS (
+  SELECT event_id, value * 20 AS freq, i,
+         CASE WHEN value * 20 > 0
+              THEN CAST(0.5 * sin(2.0 * pi() * (value * 20) * (i * {_TONE_DUR / _TONE_N!r})) AS FLOAT)
+              ELSE CAST(0 AS FLOAT) END AS y
+  FROM events, range(0, {_TONE_N}) t(i)
+)
+SELECT event_id, round(any_value(freq), 6) AS freq, count(*) AS n_samples,
+       round(sum(CAST(y AS DOUBLE) * CAST(y AS DOUBLE)), 6) AS energy,
+       count(*) FILTER (WHERE y < 0) AS n_negative
+FROM tones GROUP BY event_id
+""")
+def q_tone_signal(spark, sf):
+    """One 10 ms tone per event at 20*value Hz, summarised natively."""
+    ev = table(spark, sf, "events", "event_id", "value").withColumn("freq", F.col("value") * 20)
+    t = ev.select("event_id", "freq", SG.tone(F.col("freq"), _TONE_DUR).alias("y"))
+    yd = F.transform("y", lambda v: v.cast("double"))
+    return t.select(
+        "event_id", F.round("freq", 6).alias("freq"), F.size("y").cast("long").alias("n_samples"),
+        F.round(F.aggregate(yd, F.lit(0.0), lambda a, v: a + v * v), 6).alias("energy"),
+        F.size(F.filter("y", lambda v: v < 0)).cast("long").alias("n_negative"))
+
+
+# --------------------------------------------------------------------------
+# 10-11. spectral
+# --------------------------------------------------------------------------
+
+_SR, _NMELS, _NMFCC = V.SIGNAL_RATE, vocab.N_MELS, vocab.N_MFCC
+_NB = _NF // 2 + 1
+
+_SPEC_CTE = "WITH " + _SIG_CTE + f""",
+fr AS (SELECT clip_id, x, n, unnest(range(0, n // {_HOP} + 1)) AS i FROM sig),
+smp AS (
+  SELECT clip_id, i, m,
+         CASE WHEN i * {_HOP} - {_NF // 2} + m BETWEEN 0 AND n - 1
+              THEN x[i * {_HOP} - {_NF // 2} + m + 1] ELSE 0 END AS v
+  FROM fr CROSS JOIN range(0, {_NF}) t(m)
+),
+basis AS (
+  SELECT m, k, (0.5 - 0.5 * cos(2 * pi() * m / {_NF})) * cos(2 * pi() * m * k / {_NF}) AS wc,
+               (0.5 - 0.5 * cos(2 * pi() * m / {_NF})) * sin(2 * pi() * m * k / {_NF}) AS ws
+  FROM range(0, {_NF}) a(m) CROSS JOIN range(0, {_NB}) b(k)
+),
+spec AS (SELECT clip_id, i, k, sum(v * wc) AS re, sum(v * ws) AS im FROM smp JOIN basis USING (m) GROUP BY clip_id, i, k),
+pw AS (SELECT clip_id, i, k, re * re + im * im AS p, sqrt(re * re + im * im) AS mag, k * ({_SR} / {_NF}) AS f FROM spec),
+mp AS (
+  SELECT j, CASE WHEN mm >= 15 THEN 1000 * exp(ln(6.4) / 27 * (mm - 15)) ELSE mm * 200 / 3 END AS f
+  FROM (SELECT j, j * ((15 + ln({_SR} / 2 / 1000) / (ln(6.4) / 27)) / {_NMELS + 1}) AS mm FROM range(0, {_NMELS + 2}) t(j))
+),
+mel_fb AS (
+  SELECT a.j AS band, t.k,
+         greatest(0, least((t.k * ({_SR} / {_NF}) - a.f) / (b.f - a.f), (c.f - t.k * ({_SR} / {_NF})) / (c.f - b.f)))
+           * 2 / (c.f - a.f) AS w
+  FROM mp a JOIN mp b ON b.j = a.j + 1 JOIN mp c ON c.j = a.j + 2 CROSS JOIN range(0, {_NB}) t(k)
+  WHERE a.j < {_NMELS}
+),
+mf AS (SELECT clip_id, i, band, sum(p * w) AS mel FROM pw JOIN mel_fb USING (k) GROUP BY clip_id, i, band)"""
+
+
+def _spec(spark, sf):
+    return SPC.with_spectral(V.signals(spark, sf), sr=_SR, n_fft=_NF, hop=_HOP)
+
+
+@register("power_spectrum", "D6", sql=_SPEC_CTE + """
+SELECT clip_id, k AS bin, round(avg(p), 6) AS power FROM pw GROUP BY clip_id, k
+""")
+def q_power_spectrum(spark, sf):
+    return SPC.exploded(_spec(spark, sf), F.col("spec.power_mean"), "bin", "power")
+
+
+@register("spectral_centroid", "D7", sql=_SPEC_CTE + """,
+cf AS (SELECT clip_id, i, CASE WHEN sum(mag) > 0 THEN sum(mag * f) / sum(mag) ELSE 0 END AS c
+       FROM pw GROUP BY clip_id, i)
+SELECT clip_id, round(avg(c), 6) AS centroid FROM cf GROUP BY clip_id
+""")
+def q_spectral_centroid(spark, sf):
+    return _spec(spark, sf).select("clip_id", F.round("spec.centroid", 6).alias("centroid"))
+
+
+@register("spectral_rolloff", "D8", sql=_SPEC_CTE + """,
+cs AS (SELECT clip_id, i, k, f,
+              sum(mag) OVER (PARTITION BY clip_id, i ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+              sum(mag) OVER (PARTITION BY clip_id, i) AS tot FROM pw),
+rf AS (SELECT clip_id, i, min(f) FILTER (WHERE cum >= 0.85 * tot) AS r FROM cs GROUP BY clip_id, i)
+SELECT clip_id, round(avg(r), 6) AS rolloff FROM rf GROUP BY clip_id
+""")
+def q_spectral_rolloff(spark, sf):
+    return _spec(spark, sf).select("clip_id", F.round("spec.rolloff", 6).alias("rolloff"))
+
+
+@register("mel_bands", "D9", sql=_SPEC_CTE + """
+SELECT clip_id, band, round(avg(mel), 6) AS mel FROM mf GROUP BY clip_id, band
+""")
+def q_mel_bands(spark, sf):
+    return SPC.exploded(_spec(spark, sf), F.col("spec.mel_mean"), "band", "mel")
+
+
+@register("mfcc_mean", "D10", sql=_SPEC_CTE + f""",
+db AS (SELECT clip_id, i, band, 10 * log10(greatest(1e-10, mel)) AS d FROM mf),
+dbm AS (SELECT *, max(d) OVER (PARTITION BY clip_id) AS dmax FROM db),
+dbmean AS (SELECT clip_id, band, avg(greatest(d, dmax - 80)) AS d FROM dbm GROUP BY clip_id, band),
+dct AS (SELECT band, c, cos(pi() * c * (2 * band + 1) / {2 * _NMELS})
+                        * CASE WHEN c = 0 THEN sqrt(1.0 / {_NMELS}) ELSE sqrt(2.0 / {_NMELS}) END AS w
+        FROM range(0, {_NMELS}) a(band) CROSS JOIN range(0, {_NMFCC}) b(c))
+SELECT clip_id, c AS coef, round(sum(d * w), 6) AS mfcc FROM dbmean JOIN dct USING (band) GROUP BY clip_id, c
+""")
+def q_mfcc_mean(spark, sf):
+    s = _spec(spark, sf)
+    return SPC.exploded(s, SPC.mfcc(F.col("spec")), "coef", "mfcc")
+
+
+@register("chroma_mean", "D11", sql=_SPEC_CTE + f""",
+cq AS (SELECT j, 12 * log2((j * ({_SR} / {_NF})) / 27.5) AS q FROM range(1, {_NF}) t(j)),
+cq0 AS (SELECT 0 AS j, q - 18 AS q FROM cq WHERE j = 1 UNION ALL SELECT j, q FROM cq),
+cw AS (SELECT a.j, a.q, CASE WHEN b.j IS NULL THEN 1.0 ELSE greatest(b.q - a.q, 1.0) END AS width
+       FROM cq0 a LEFT JOIN cq0 b ON b.j = a.j + 1),
+cd AS (SELECT j, c, q, width, ((q - c + 6 + 120) % 12) - 6 AS d FROM cw CROSS JOIN range(0, 12) t(c)),
+ce AS (SELECT j, c, q, exp(-0.5 * pow(2 * d / width, 2)) AS e FROM cd),
+cn AS (SELECT j, c, e / sqrt(sum(e * e) OVER (PARTITION BY j)) * exp(-0.5 * pow((q / 12 - 5) / 2, 2)) AS w FROM ce),
+chroma_fb AS (SELECT (c + 9) % 12 AS cbin, j AS k, w FROM cn WHERE j <= {_NF // 2}),
+cv AS (SELECT clip_id, i, cbin, sum(p * w) AS v FROM pw JOIN chroma_fb USING (k) GROUP BY clip_id, i, cbin),
+cm AS (SELECT *, max(v) OVER (PARTITION BY clip_id, i) AS mx FROM cv)
+SELECT clip_id, cbin AS chroma_bin, round(avg(v / CASE WHEN mx > 0 THEN mx ELSE 1 END), 6) AS chroma
+FROM cm GROUP BY clip_id, cbin
+""")
+def q_chroma_mean(spark, sf):
+    return SPC.exploded(_spec(spark, sf), F.col("spec.chroma_mean"), "chroma_bin", "chroma")
