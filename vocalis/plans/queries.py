@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..operators import fanout as FO
+from ..functions import labels as LBF
 from ..operators import labels as LB
+from ..operators import learn as LN
+from ..operators import score as SC
 from ..operators import profile as PR
 from ..operators import signal as SG
 from ..operators import spectral as SPC
@@ -452,3 +455,229 @@ FROM cm GROUP BY clip_id, cbin
 """)
 def q_chroma_mean(spark, sf):
     return SPC.exploded(_spec(spark, sf), F.col("spec.chroma_mean"), "chroma_bin", "chroma")
+
+
+# --------------------------------------------------------------------------
+# 12-15. feature checks, vocabulary, one-hot, standardiser, nearest centroid,
+#        confusion matrix, report, accuracy/log-loss
+# --------------------------------------------------------------------------
+
+_FEAT_CTE = """
+base AS (
+  SELECT vec_id, label, embedding,
+         CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 80
+              THEN 'train' ELSE 'test' END AS split
+  FROM embeddings
+),
+lng AS (
+  SELECT vec_id, label, split, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(0, len(embedding))) AS dim
+  FROM base
+)"""
+
+
+def _features(spark, sf):
+    return LN.train_test(V.feature_vectors(spark, sf), "vec_id")
+
+
+@register("feature_checks", "A1 A7 M1 M3 M6 S8 P9", sql="""
+SELECT count(*) AS n_rows, min(len(embedding)) AS min_len, max(len(embedding)) AS max_len,
+       count(*) FILTER (WHERE label IS NULL) AS n_null_label,
+       count(*) FILTER (WHERE len(list_filter(embedding, lambda x: x <> 0)) = 0) AS n_all_zero,
+       count(*) FILTER (WHERE len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) > 0) AS n_nan_inf,
+       min(len(embedding)) = max(len(embedding)) AS equal_len
+FROM embeddings
+""")
+def q_feature_checks(spark, sf):
+    return PR.vector_profile(V.feature_vectors(spark, sf), "features", "label")
+
+
+@register("label_vocabulary", "A6 M4", sql="""
+SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS idx, count(*) OVER () AS k
+FROM (SELECT DISTINCT label FROM embeddings)
+""")
+def q_label_vocabulary(spark, sf):
+    return LN.label_vocabulary(V.feature_vectors(spark, sf))
+
+
+@register("one_hot", "M4 M5", sql="""
+WITH v AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS idx, count(*) OVER () AS k
+           FROM (SELECT DISTINCT label FROM embeddings))
+SELECT e.vec_id, e.label, v.idx,
+       array_to_string(list_transform(range(0, v.k), lambda i: CASE WHEN i = v.idx THEN 1 ELSE 0 END), ',') AS one_hot
+FROM embeddings e JOIN v USING (label)
+""")
+def q_one_hot(spark, sf):
+    f = V.feature_vectors(spark, sf)
+    voc = LN.label_vocabulary(f)
+    enc = LN.with_index(f, voc)
+    return enc.select("vec_id", "label", "idx",
+                      F.array_join(LN.one_hot(F.col("idx"), F.col("k")).cast("array<string>"), ",").alias("one_hot"))
+
+
+@register("standardize_fit", "A10 M2 S6", sql="WITH " + _FEAT_CTE + """
+SELECT dim, round(avg(x), 6) AS mean,
+       round(CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END, 6) AS std
+FROM lng WHERE split = 'train' GROUP BY dim
+""")
+def q_standardize_fit(spark, sf):
+    st = LN.dim_stats(_features(spark, sf).filter(F.col("split") == "train"))
+    return st.select("dim", F.round("mean", 6).alias("mean"), F.round("scale", 6).alias("std"))
+
+
+@register("standardize_apply", "M2 M3", sql="WITH " + _FEAT_CTE + """,
+st AS (SELECT dim, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd
+       FROM lng WHERE split = 'train' GROUP BY dim)
+SELECT vec_id, dim, round((x - mean) / sd, 6) AS z FROM lng JOIN st USING (dim)
+""")
+def q_standardize_apply(spark, sf):
+    f = _features(spark, sf)
+    scaler = LN.PopulationScaler.fit(f.filter(F.col("split") == "train"))
+    out = scaler.transform(f)
+    return (out.select("vec_id", F.posexplode("scaled").alias("dim", "z"))
+               .select("vec_id", F.col("dim").cast("long").alias("dim"), F.round("z", 6).alias("z")))
+
+
+_NC_CTE = "WITH " + _FEAT_CTE + """,
+cent AS (SELECT label AS cls, dim, avg(x) AS c FROM lng WHERE split = 'train' GROUP BY label, dim),
+dist AS (SELECT l.vec_id, l.label, c.cls, sum((l.x - c.c) * (l.x - c.c)) AS d
+         FROM lng l JOIN cent c USING (dim) WHERE l.split = 'test' GROUP BY l.vec_id, l.label, c.cls),
+mx AS (SELECT *, exp(-d - max(-d) OVER (PARTITION BY vec_id)) AS ex FROM dist),
+soft AS (SELECT vec_id, label, cls, d, ex / sum(ex) OVER (PARTITION BY vec_id) AS p FROM mx),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(d, 9), cls) AS rn FROM soft),
+pred AS (SELECT vec_id, label, cls AS pred, round(d, 9) AS dist FROM ranked WHERE rn = 1)"""
+
+
+def _nc_scored(spark, sf):
+    f = _features(spark, sf)
+    model = LN.NearestCentroid.fit(f.filter(F.col("split") == "train"))
+    return model, model.transform(f.filter(F.col("split") == "test"))
+
+
+@register("nearest_centroid_pred", "T3 M9", sql=_NC_CTE + """
+SELECT vec_id, label, pred, round(dist, 6) AS dist FROM pred
+""")
+def q_nearest_centroid_pred(spark, sf):
+    _, s = _nc_scored(spark, sf)
+    return s.select("vec_id", "label", "pred", F.round("dist", 6).alias("dist"))
+
+
+@register("confusion_matrix", "M11", sql=_NC_CTE + """
+SELECT label, """ + ", ".join(f"count(*) FILTER (WHERE pred = {c}) AS pred_{c}" for c in range(10)) + """
+FROM pred GROUP BY label
+""", notes="oracle lists the 10 classes of the test tables; Spark takes them from the fitted model")
+def q_confusion_matrix(spark, sf):
+    model, s = _nc_scored(spark, sf)
+    return LN.confusion(s, model.classes)
+
+
+@register("classification_report", "M10", sql=_NC_CTE + """,
+t AS (SELECT label AS cls, count(*) AS support, count(*) FILTER (WHERE label = pred) AS tp FROM pred GROUP BY label),
+p AS (SELECT pred AS cls, count(*) AS n_pred FROM pred GROUP BY pred),
+per AS (SELECT coalesce(t.cls, p.cls) AS cls, coalesce(support, 0) AS support, coalesce(tp, 0) AS tp,
+               coalesce(n_pred, 0) AS n_pred FROM t FULL OUTER JOIN p ON t.cls = p.cls),
+pr AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END AS precision,
+                 CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall FROM per),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1
+      FROM pr)
+SELECT CAST(cls AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), sum(support) FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+                 round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+                 sum(support) FROM f
+""")
+def q_classification_report(spark, sf):
+    _, s = _nc_scored(spark, sf)
+    r = LN.classification_report(s)
+    return r.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@register("accuracy_logloss", "M9", sql=_NC_CTE + """,
+pt AS (SELECT vec_id, p FROM soft WHERE cls = label)
+SELECT count(*) AS n, round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       round(avg(-ln(least(greatest(p, 1e-15), 1 - 1e-15))), 6) AS logloss
+FROM pred JOIN pt USING (vec_id)
+""")
+def q_accuracy_logloss(spark, sf):
+    _, s = _nc_scored(spark, sf)
+    return s.agg(F.count(F.lit(1)).alias("n"),
+                 F.round(F.avg(F.when(F.col("label") == F.col("pred"), 1.0).otherwise(0.0)), 6).alias("accuracy"),
+                 F.round(F.avg(LN.log_loss(F.col("probs"), F.col("classes"), F.col("label"))), 6).alias("logloss"))
+
+
+# --------------------------------------------------------------------------
+# 16. prediction records, display lookup, history
+# --------------------------------------------------------------------------
+
+_NAMES_SQL = "[" + ",".join(f"'{n}'" for n in vocab.EMOTIONS_8) + "]"
+_DISPLAY_SQL = "(VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in vocab.DISPLAY) + ") AS d(dlabel, dfr, demoji)"
+
+
+def _names(model) -> F.Column:
+    return F.array(*[SC.class_name(F.lit(i)) for i in range(len(model.classes))])
+
+
+@register("prediction_record", "R2 J1 J3 T3", sql=_NC_CTE + f""",
+named AS (SELECT vec_id, cls, p, dense_rank() OVER (ORDER BY cls) - 1 AS idx FROM soft),
+nm AS (SELECT *, CASE WHEN idx < 8 THEN ({_NAMES_SQL})[idx + 1] ELSE 'class_' || CAST(idx AS VARCHAR) END AS emotion
+       FROM named),
+best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, idx) AS rn FROM nm)
+SELECT vec_id, emotion AS main_emotion, round(p, 4) AS confidence,
+       coalesce(dfr, upper(emotion[1]) || lower(emotion[2:])) AS main_label_fr, coalesce(demoji, '❓') AS main_emoji
+FROM best LEFT JOIN {_DISPLAY_SQL} ON emotion = dlabel WHERE rn = 1
+""")
+def q_prediction_record(spark, sf):
+    model, s = _nc_scored(spark, sf)
+    return SC.prediction_records(s, "vec_id", _names(model))
+
+
+@register("ranked_probabilities", "R3 T2 T5 J1", sql=_NC_CTE + f""",
+named AS (SELECT vec_id, cls, p, dense_rank() OVER (ORDER BY cls) - 1 AS idx FROM soft),
+nm AS (SELECT *, CASE WHEN idx < 8 THEN ({_NAMES_SQL})[idx + 1] ELSE 'class_' || CAST(idx AS VARCHAR) END AS emotion
+       FROM named),
+rk AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, idx) AS rank FROM nm)
+SELECT vec_id, rank, emotion, round(p, 4) AS probability,
+       coalesce(dfr, upper(emotion[1]) || lower(emotion[2:])) AS label_fr, coalesce(demoji, '❓') AS emoji,
+       rank = 1 AS is_main
+FROM rk LEFT JOIN {_DISPLAY_SQL} ON emotion = dlabel
+""")
+def q_ranked_probabilities(spark, sf):
+    model, s = _nc_scored(spark, sf)
+    return SC.ranked_probabilities(s, "vec_id", _names(model))
+
+
+@register("display_lookup", "J1", sql=f"""
+WITH v AS (SELECT DISTINCT label FROM embeddings),
+nm AS (SELECT dense_rank() OVER (ORDER BY label) - 1 AS idx FROM v),
+e AS (SELECT CASE WHEN idx < 8 THEN ({_NAMES_SQL})[idx + 1] ELSE 'class_' || CAST(idx AS VARCHAR) END AS label FROM nm)
+SELECT label, coalesce(dfr, upper(label[1]) || lower(label[2:])) AS label_fr, coalesce(demoji, '❓') AS emoji
+FROM e LEFT JOIN {_DISPLAY_SQL} ON label = dlabel
+""")
+def q_display_lookup(spark, sf):
+    voc = LN.label_vocabulary(V.feature_vectors(spark, sf))
+    return LB.with_display(voc.select(SC.class_name(F.col("idx")).alias("label")), "label")
+
+
+@register("history_top10", "T4 R5", sql=V.LABELLED_SQL + f""",
+lab AS (SELECT * FROM labelled WHERE label <> 'unknown'),
+h AS (SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time,
+             string_split(path, '/')[-1] AS file, label,
+             CAST(trunc(value / 500.0 * 100) AS BIGINT) AS confidence,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rank
+      FROM lab)
+SELECT user_id, rank, event_id, time, file, coalesce(dfr, label) AS main, coalesce(demoji, '❓') AS emoji, confidence
+FROM h LEFT JOIN {_DISPLAY_SQL} ON label = dlabel WHERE rank <= 10
+""")
+def q_history_top10(spark, sf):
+    """Events as a prediction log: newest 10 per user (skew-safe two-stage top-k)."""
+    lab = _labelled(spark, sf)
+    h = lab.select("user_id", "event_id", "ts", "path", "label", "value")
+    top = SC.top_k_per_key(h, "user_id", [F.col("ts").desc(), F.col("event_id").desc()], 10,
+                           salt_buckets=16, salt_col="event_id")
+    top = LB.with_display(top, "label")
+    return top.select("user_id", F.col("rank").cast("long").alias("rank"), "event_id",
+                      F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"),
+                      LBF.basename(F.col("path")).alias("file"),
+                      F.col("label_fr").alias("main"), "emoji",
+                      (F.col("value") / 500.0 * 100).cast("long").alias("confidence"))
