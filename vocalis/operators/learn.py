@@ -123,20 +123,23 @@ class NearestCentroid:
             for c in cs])
 
     def transform(self, df: DataFrame, vec_col: str = "features") -> DataFrame:
-        d = self.distances(F.col(vec_col))
+        """Adds pred, dist, probs (softmax of -distance, in class order), classes.
+        Each intermediate array is its own projection so no lambda re-evaluates
+        the distance computation per element."""
         classes = F.array(*[F.lit(c) for c in self.classes])
+        out = df.withColumn("_d", self.distances(F.col(vec_col)))
         # argmin on distance rounded to 9 places, ties -> smallest class
-        best = F.array_min(F.zip_with(d, classes, lambda a, c: F.struct(F.round(a, 9).alias("d"), c.alias("c"))))
-        neg = F.transform(d, lambda a: -a)
-        mx = F.array_max(neg)
-        ex = F.transform(neg, lambda a: F.exp(a - mx))
-        tot = F.aggregate(ex, F.lit(0.0), lambda s, t: s + t)
-        return (df.withColumn("_d", d)
-                  .withColumn("pred", best.getField("c"))
-                  .withColumn("dist", best.getField("d"))
-                  .withColumn("probs", F.transform(ex, lambda e: e / tot))
-                  .withColumn("classes", classes)
-                  .drop("_d"))
+        best = F.array_min(F.zip_with(F.col("_d"), classes,
+                                      lambda a, c: F.struct(F.round(a, 9).alias("d"), c.alias("c"))))
+        out = (out.withColumn("_best", best)
+                  .withColumn("_mn", F.array_min("_d"))
+                  .withColumn("_ex", F.transform("_d", lambda a: F.exp(F.col("_mn") - a)))
+                  .withColumn("_tot", F.aggregate("_ex", F.lit(0.0), lambda s, t: s + t)))
+        return (out.withColumn("pred", F.col("_best.c"))
+                   .withColumn("dist", F.col("_best.d"))
+                   .withColumn("probs", F.transform("_ex", lambda e: e / F.col("_tot")))
+                   .withColumn("classes", classes)
+                   .drop("_d", "_best", "_mn", "_ex", "_tot"))
 
 
 def log_loss(probs: Column, classes: Column, label: Column) -> Column:
@@ -157,10 +160,12 @@ def classification_report(pred: DataFrame, true_col: str = "label", pred_col: st
     """Precision, recall, F1, support per class, then accuracy, macro and
     weighted averages (0 where a denominator is 0). All aggregates are over
     per-class counts (k rows)."""
-    t = pred.groupBy(F.col(true_col).alias("cls")).agg(
-        F.count(F.lit(1)).alias("support"),
-        F.count_if(F.col(true_col) == F.col(pred_col)).alias("tp"))
-    p = pred.groupBy(F.col(pred_col).alias("cls")).agg(F.count(F.lit(1)).alias("n_pred"))
+    # one pass over the scored rows -> at most k*k (true, pred) counts; the
+    # per-class tables below re-read that exchange (reused), not the data
+    pairs = pred.groupBy(F.col(true_col).alias("t"), F.col(pred_col).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    t = pairs.groupBy(F.col("t").alias("cls")).agg(
+        F.sum("n").alias("support"), F.sum(F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
+    p = pairs.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("n_pred"))
     per = (t.join(p, "cls", "full_outer")
             .select(F.col("cls"), F.coalesce("support", F.lit(0)).alias("support"),
                     F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("n_pred", F.lit(0)).alias("n_pred")))

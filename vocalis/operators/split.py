@@ -28,11 +28,13 @@ def with_split(df: DataFrame, key: str = "path", train_percent: int = vocab.TRAI
 
 
 def split_overlap(df: DataFrame, key: str = "path") -> DataFrame:
-    """Keys present on both sides (left-semi join), as a one-row report."""
-    train = df.filter(F.col("split") == "train").select(key).distinct()
-    test = df.filter(F.col("split") == "test").select(key).distinct()
-    both = train.join(test, key, "left_semi")
-    return both.agg(F.count(F.lit(1)).alias("n_overlap"))
+    """Number of keys present on both sides, as a one-row report.
+
+    One aggregation keyed by ``key`` (min/max of the split tag, combined map
+    side) instead of two distincts and a semi-join: a key is on both sides
+    iff its min and max tags differ."""
+    per = df.groupBy(key).agg(F.min("split").alias("lo"), F.max("split").alias("hi"))
+    return per.agg(F.count_if(F.col("lo") != F.col("hi")).cast("long").alias("n_overlap"))
 
 
 def assert_disjoint(df: DataFrame, key: str = "path") -> None:

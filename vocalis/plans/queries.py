@@ -24,7 +24,7 @@ from ..operators import profile as PR
 from ..operators import signal as SG
 from ..operators import spectral as SPC
 from ..operators import split as SP
-from ..session import shared_dir
+from ..session import ship_package, shared_dir
 from ..sources.tables import table
 from . import views as V
 
@@ -44,7 +44,12 @@ REGISTRY: dict[str, Query] = {}
 
 def register(name: str, ids: str, sql: str | None = None, notes: str = ""):
     def deco(fn):
-        REGISTRY[name] = Query(name, ids, fn, sql, notes)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = Query(name, ids, run, sql, notes)
         return fn
     return deco
 

@@ -60,3 +60,30 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable; returns the folder."""
     return os.path.dirname(shared_dir(spark, "probe"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vocalis`` importable in Python workers (pandas UDF closures refer
+    to its modules): zip the package once and ``addPyFile`` it, as
+    ``--py-files`` would. Idempotent per SparkContext."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="vocalis-pyfiles-"), "vocalis.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
