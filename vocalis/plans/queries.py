@@ -686,3 +686,25 @@ def q_history_top10(spark, sf):
                       LBF.basename(F.col("path")).alias("file"),
                       F.col("label_fr").alias("main"), "emoji",
                       (F.col("value") / 500.0 * 100).cast("long").alias("confidence"))
+
+
+# --------------------------------------------------------------------------
+# 18. WAV pipeline: encode -> decode -> 185 features (S1-like D1 D12 D13 G6)
+# --------------------------------------------------------------------------
+
+def decoded_clips(spark, sf):
+    """Decode once, store in the shared folder, read back (lineage cut)."""
+    from ..sources import audio, sinks
+    raw = V.wav_clips(spark, sf)
+    dec = audio.decode(raw).select("clip_id", "label", "samples", "sample_rate", "decode_status")
+    return sinks.materialize(dec, shared_dir(spark, "clips-" + uuid.uuid4().hex))
+
+
+@register("wav_pipeline", "S1 D1 D12 D13 G6 P10", notes="rows-only: WAV codec has no SQL form")
+def q_wav_pipeline(spark, sf):
+    from ..operators import features as FT
+    clips = FT.with_status(decoded_clips(spark, sf))
+    f = FT.extract_features(clips, keep_parts=True)
+    return f.select("clip_id", "status", F.size("features").alias("n_features"),
+                    *[F.round(c, 6).alias(c) for c in ("zcr", "rms", "centroid", "rolloff", "entropy")],
+                    F.round(F.element_at("features", 1), 4).alias("mfcc0"))

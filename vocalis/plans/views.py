@@ -126,3 +126,16 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CLIP_PATHS_SQL = "WITH " + CLIP_PATHS_CTE
 LABELLED_SQL = "WITH " + LABELLED_CTE
+
+
+def wav_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(clip_id, label, content) 16-bit PCM WAV bytes at 22050 Hz built from
+    ``embeddings``: the 64-sample waveform tiled to 0.08 + 0.06 * label
+    seconds (label 0 gives clips shorter than one 2048-sample frame)."""
+    from ..sources import audio
+    e = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    n = ((F.lit(0.08) + F.col("label") * F.lit(0.06)) * F.lit(SIGNAL_RATE)).cast("int")
+    reps = (n / F.lit(64)).cast("int") + 1
+    samples = F.slice(F.flatten(F.array_repeat(F.col("embedding"), reps)), F.lit(1), n)
+    return e.select(F.col("vec_id").alias("clip_id"), "label",
+                    audio.encode_udf(samples, F.lit(SIGNAL_RATE)).alias("content"))

@@ -24,3 +24,10 @@ def write_partitioned(df: DataFrame, out: str, *partition_cols: str) -> None:
     re-run replace only the partitions it produces (idempotent, unlike append)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(out))
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage so a lost
+    executor recomputes from this table, not from the raw blobs."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
