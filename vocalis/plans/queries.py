@@ -708,3 +708,81 @@ def q_wav_pipeline(spark, sf):
     return f.select("clip_id", "status", F.size("features").alias("n_features"),
                     *[F.round(c, 6).alias(c) for c in ("zcr", "rms", "centroid", "rolloff", "entropy")],
                     F.round(F.element_at("features", 1), 4).alias("mfcc0"))
+
+
+@register("audio_augment", "G1 G2 G3 G4 G5 D14 J2", notes="rows-only: phase vocoder has no SQL form")
+def q_audio_augment(spark, sf):
+    """Decoded clips -> md5 split -> fan-out -> augmentation kernels; per
+    version: length, duration and status, beside the original's length."""
+    from ..operators import augment as AU
+    clips = decoded_clips(spark, sf).filter(F.col("decode_status") == "ok")
+    fan = FO.fan_out(SP.with_split(clips, "clip_id"))
+    aug = AU.augment(fan, "clip_id")
+    out = aug.select("clip_id", "split", "augmentation", "augment_status",
+                     F.size("samples").alias("n_samples"),
+                     F.round(F.size("samples") / F.lit(V.SIGNAL_RATE), 6).alias("duration_s"))
+    orig = out.filter(F.col("augmentation") == "original").select(
+        "clip_id", F.col("n_samples").alias("n_original"))
+    return out.join(orig, "clip_id", "left")
+
+
+# --------------------------------------------------------------------------
+# 17/19. training, selection, history, scoring, model store
+# --------------------------------------------------------------------------
+
+def _design(spark, sf):
+    from ..operators import train as TR
+    f = _features(spark, sf)
+    voc = LN.label_vocabulary(f)
+    f = LN.with_index(f, voc).withColumn("y", F.col("idx").cast("double"))
+    scaler = LN.PopulationScaler.fit(f.filter(F.col("split") == "train"))
+    d = TR.design(f, scaler)
+    n_in = len(scaler.mean)
+    k = voc.count()
+    return d, n_in, k
+
+
+@register("train_classifier", "M7 M12", notes="rows-only: iterative optimiser history")
+def q_train_classifier(spark, sf):
+    from ..operators import train as TR
+    d, n_in, k = _design(spark, sf)
+    model = TR.fit_mlp(d.filter(F.col("split") == "train"), n_in, k)
+    return TR.history_frame(spark, model)
+
+
+@register("history_best", "A11 M12", notes="rows-only")
+def q_history_best(spark, sf):
+    from ..operators import train as TR
+    return TR.history_best(q_train_classifier(spark, sf))
+
+
+@register("select_model", "M8", notes="rows-only: validation split inside train rows")
+def q_select_model(spark, sf):
+    from ..operators import train as TR
+    d, n_in, k = _design(spark, sf)
+    return TR.select_model(d.filter(F.col("split") == "train"), k)
+
+
+@register("batch_score", "R1 R2 R4 M9 S6 S7", notes="rows-only: trained model")
+def q_batch_score(spark, sf):
+    """Train, save to the shared store, list the catalogue, reload by name,
+    score the test rows; rows whose vector is all zero are rejected with a
+    status instead of being scored."""
+    from ..operators import train as TR
+    d, n_in, k = _design(spark, sf)
+    root = shared_dir(spark, "models-" + uuid.uuid4().hex)
+    model = TR.fit_mlp(d.filter(F.col("split") == "train"), n_in, k, max_iter=50)
+    TR.save_model(model, f"{root}/ser_mlp_model")
+    cat = TR.model_catalogue(spark, root)
+    wanted = cat.filter(F.col("file_name") == "ser_mlp_model").select("file_name").first()
+    if wanted is None:
+        raise ValueError("unknown model: ser_mlp_model")
+    from pyspark.ml.classification import MultilayerPerceptronClassificationModel
+    loaded = MultilayerPerceptronClassificationModel.load(f"{root}/{wanted['file_name']}")
+    test = d.filter(F.col("split") == "test")
+    zero = F.forall("features", lambda v: v == 0)
+    scored = TR.probabilities(loaded.transform(test.filter(~zero)))
+    names = F.array(*[SC.class_name(F.lit(i)) for i in range(k)])
+    rec = SC.prediction_records(scored, "vec_id", names).withColumn("status", F.lit("ok"))
+    rejected = test.filter(zero).select("vec_id", F.lit("no_features").alias("status"))
+    return rec.unionByName(rejected, allowMissingColumns=True).withColumn("model_name", F.lit("ser_mlp_model"))
