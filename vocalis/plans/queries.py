@@ -786,3 +786,26 @@ def q_batch_score(spark, sf):
     rec = SC.prediction_records(scored, "vec_id", names).withColumn("status", F.lit("ok"))
     rejected = test.filter(zero).select("vec_id", F.lit("no_features").alias("status"))
     return rec.unionByName(rejected, allowMissingColumns=True).withColumn("model_name", F.lit("ser_mlp_model"))
+
+
+@register("stream_score", "R6", sql=_NC_CTE + """
+SELECT vec_id, label, pred, round(dist, 6) AS dist FROM pred
+""")
+def q_stream_score(spark, sf):
+    """The embeddings file as an arriving-file stream, scored micro-batch by
+    micro-batch with the centroid model fitted on the train rows; the result
+    table must equal batch scoring."""
+    from ..streaming import score_stream as ST
+    f = _features(spark, sf)
+    model = LN.NearestCentroid.fit(f.filter(F.col("split") == "train"))
+    schema = table(spark, sf, "embeddings").schema
+    src = ST.parquet_stream(spark, sf, schema, glob="embeddings.parquet")
+
+    def transform(batch):
+        b = LN.train_test(batch.select("vec_id", "label", F.col("embedding").alias("features")), "vec_id")
+        return (model.transform(b.filter(F.col("split") == "test"))
+                .select("vec_id", "label", "pred", F.round("dist", 6).alias("dist")))
+
+    root = shared_dir(spark, "stream-" + uuid.uuid4().hex)
+    ST.run_to_table(src, transform, f"{root}/predictions", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/predictions").drop("epoch")
