@@ -54,18 +54,13 @@ def ranked_probabilities(scored: DataFrame, key: str, names: Column) -> DataFram
     return r.withColumn("is_main", F.col("rank") == 1)
 
 
-def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int, salt_buckets: int = 16,
-                  salt_col: str | None = None) -> DataFrame:
-    """T4: newest-k rows per key, exact, skew-safe.
+def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
+    """T4: newest-k rows per key, exact and skew-safe.
 
-    Stage 1 ranks inside (key, salt) groups and keeps k per group, so a hot
-    key is spread over ``salt_buckets`` tasks; stage 2 ranks the at most
-    k * salt_buckets survivors per key. The union of per-salt top-k contains
-    the key's top-k, so the result is exact.
-    """
-    salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)) if salt_col else F.lit(0)
-    s = df.withColumn("_salt", salt)
-    w1 = Window.partitionBy(key, "_salt").orderBy(*order)
-    s = s.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k)
-    w2 = Window.partitionBy(key).orderBy(*order)
-    return s.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k).drop("_salt", "_r1")
+    ``row_number() <= k`` lets Spark plan a partial ``WindowGroupLimit``
+    below the exchange: every map task keeps at most k rows per key before
+    shuffling, so even a key holding a third of all rows sends at most
+    k x (map tasks) rows to its reducer. The result is exact (the global
+    top-k of a key is inside the union of per-task top-k)."""
+    w = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

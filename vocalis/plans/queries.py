@@ -675,11 +675,10 @@ SELECT user_id, rank, event_id, time, file, coalesce(dfr, label) AS main, coales
 FROM h LEFT JOIN {_DISPLAY_SQL} ON label = dlabel WHERE rank <= 10
 """)
 def q_history_top10(spark, sf):
-    """Events as a prediction log: newest 10 per user (skew-safe two-stage top-k)."""
+    """Events as a prediction log: newest 10 per user (partial top-k before the shuffle)."""
     lab = _labelled(spark, sf)
     h = lab.select("user_id", "event_id", "ts", "path", "label", "value")
-    top = SC.top_k_per_key(h, "user_id", [F.col("ts").desc(), F.col("event_id").desc()], 10,
-                           salt_buckets=16, salt_col="event_id")
+    top = SC.top_k_per_key(h, "user_id", [F.col("ts").desc(), F.col("event_id").desc()], 10)
     top = LB.with_display(top, "label")
     return top.select("user_id", F.col("rank").cast("long").alias("rank"), "event_id",
                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"),
