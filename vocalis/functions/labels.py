@@ -8,8 +8,24 @@ from pyspark.sql import functions as F
 from . import vocab
 
 
+def _q(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def corpus_tag_sql(path: str) -> str:
+    """P2 as SQL text: first matching case-sensitive substring, else null."""
+    whens = " ".join(f"WHEN contains({path}, {_q(needle)}) THEN {_q(name)}" for needle, name in vocab.CORPUS_TAGS)
+    return f"CASE {whens} END"
+
+
+def emotion_code_sql(path: str, corpus: str) -> str:
+    """P3 as SQL text: regex per corpus on the whole path; '' when no match."""
+    whens = " ".join(f"WHEN {corpus} = {_q(name)} THEN regexp_extract({path}, {_q(pat)}, {grp})"
+                     for name, (pat, grp) in vocab.CODE_PATTERNS.items())
+    return f"CASE {whens} END"
+
+
 def corpus_tag(path: Column) -> Column:
-    """First matching case-sensitive substring -> corpus name, else null."""
     expr = None
     for needle, name in vocab.CORPUS_TAGS:
         cond = path.contains(needle)
@@ -18,7 +34,6 @@ def corpus_tag(path: Column) -> Column:
 
 
 def emotion_code(path: Column, corpus: Column) -> Column:
-    """Corpus-specific regex on the whole path; '' on no match, null corpus -> null."""
     expr = None
     for name, (pattern, group) in vocab.CODE_PATTERNS.items():
         cond = corpus == F.lit(name)

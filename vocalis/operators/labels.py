@@ -36,9 +36,8 @@ def with_corpus_code(df: DataFrame, path_col: str = "path") -> DataFrame:
     '' both find no lookup partner, and the join then infers no IS NOT NULL
     filter that Catalyst would push below the projections, re-expanding the
     path and regex expressions inside it."""
-    p = F.col(path_col)
-    return (df.withColumn("dataset", L.corpus_tag(p))
-              .withColumn("code", F.coalesce(L.emotion_code(p, F.col("dataset")), F.lit(""))))
+    tagged = df.selectExpr("*", f"{L.corpus_tag_sql(path_col)} AS dataset")
+    return tagged.selectExpr("*", f"coalesce({L.emotion_code_sql(path_col, 'dataset')}, '') AS code")
 
 
 def label_from_path(df: DataFrame, path_col: str = "path", keep_code: bool = False) -> DataFrame:

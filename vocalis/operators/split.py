@@ -57,3 +57,15 @@ def repartition_by_bytes(df: DataFrame, key: str = "path", length_col: str = "le
                          target_bytes: int = 128 * 1024 * 1024) -> DataFrame:
     """Hash-repartition by key into size-driven partitions (replaces a fixed 200)."""
     return df.repartition(partitions_for_bytes(df, length_col, target_bytes), key)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on CPU-heavy work: when the input has fewer splits than
+    the cluster's default parallelism, hash-repartition it by ``key`` to that
+    many partitions (an explicit count, which AQE keeps). At scale the input
+    already has more splits than cores and this is a no-op. Apply it to small
+    rows (paths, vectors) *before* they are expanded into audio."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)

@@ -27,31 +27,27 @@ SIGNAL_N_FFT = 16
 SIGNAL_HOP = 4
 
 
-def _pick(words: list[str], idx0: F.Column) -> F.Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (idx0 + 1).cast("int"))
+def _arr(words: list[str]) -> str:
+    return "array(" + ", ".join(f"'{w}'" for w in words) + ")"
 
 
 def clip_paths_from_events(events: DataFrame) -> DataFrame:
     """(event_id, user_id, ts, value, path) with corpus = event_id % 6 and
-    code index k = (event_id div 6) % 9."""
-    e = events.select("event_id", "user_id", "ts", "value")
-    corpus = F.col("event_id") % 6
-    k = F.expr("(event_id div 6) % 9")
-    u = F.col("user_id")
-    nn24 = F.lpad((u % 24 + 1).cast("string"), 2, "0")
-    nn15 = F.lpad((u % 15 + 1).cast("string"), 2, "0")
-    path = (
-        F.when(corpus == 0, F.concat(F.lit("Dataset/Ravdess/Actor_"), nn24, F.lit("/03-01-0"),
-                                     k.cast("string"), F.lit("-01-02-01-"), nn24, F.lit(".wav")))
-        .when(corpus == 1, F.concat(F.lit("Dataset/Crema/"), (u + 1000).cast("string"), F.lit("_DFA_"),
-                                    _pick(CREMA_CODES, k),
-                                    F.when(k == 7, F.lit("_X2.wav")).otherwise(F.lit("_XX.wav"))))
-        .when(corpus == 2, F.concat(F.lit("Dataset/Tess/OAF_back_"), _pick(TESS_WORDS, k), F.lit(".wav")))
-        .when(corpus == 3, F.concat(F.lit("Dataset/Savee/DC_"), _pick(SAVEE_CODES, k), nn15, F.lit(".wav")))
-        .when(corpus == 4, F.concat(F.lit("Dataset/Savee/x"), k.cast("string"), F.lit(".wav")))
-        .otherwise(F.concat(F.lit("Dataset/Other/"), F.col("event_id").cast("string"), F.lit(".wav")))
-    )
-    return e.withColumn("path", path)
+    code index k = (event_id div 6) % 9. One SQL expression (one call to the
+    JVM to build, one projection in the plan)."""
+    k = "((event_id div 6) % 9)"
+    nn24 = "lpad(cast(user_id % 24 + 1 AS STRING), 2, '0')"
+    nn15 = "lpad(cast(user_id % 15 + 1 AS STRING), 2, '0')"
+    path = f"""CASE event_id % 6
+      WHEN 0 THEN concat('Dataset/Ravdess/Actor_', {nn24}, '/03-01-0', cast({k} AS STRING), '-01-02-01-', {nn24}, '.wav')
+      WHEN 1 THEN concat('Dataset/Crema/', cast(user_id + 1000 AS STRING), '_DFA_',
+                         element_at({_arr(CREMA_CODES)}, cast({k} + 1 AS INT)),
+                         CASE WHEN {k} = 7 THEN '_X2.wav' ELSE '_XX.wav' END)
+      WHEN 2 THEN concat('Dataset/Tess/OAF_back_', element_at({_arr(TESS_WORDS)}, cast({k} + 1 AS INT)), '.wav')
+      WHEN 3 THEN concat('Dataset/Savee/DC_', element_at({_arr(SAVEE_CODES)}, cast({k} + 1 AS INT)), {nn15}, '.wav')
+      WHEN 4 THEN concat('Dataset/Savee/x', cast({k} AS STRING), '.wav')
+      ELSE concat('Dataset/Other/', cast(event_id AS STRING), '.wav') END AS path"""
+    return events.selectExpr("event_id", "user_id", "ts", "value", path)
 
 
 def clip_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +109,8 @@ labelled AS (
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(clip_id, samples array<float>, sample_rate)."""
-    return (table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    from ..operators.split import spread
+    return (spread(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id")
             .select(F.col("vec_id").alias("clip_id"), F.col("embedding").alias("samples"),
                     F.lit(SIGNAL_RATE).alias("sample_rate")))
 
@@ -132,8 +129,9 @@ def wav_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(clip_id, label, content) 16-bit PCM WAV bytes at 22050 Hz built from
     ``embeddings``: the 64-sample waveform tiled to 0.08 + 0.06 * label
     seconds (label 0 gives clips shorter than one 2048-sample frame)."""
+    from ..operators.split import spread
     from ..sources import audio
-    e = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    e = spread(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), "vec_id")
     n = ((F.lit(0.08) + F.col("label") * F.lit(0.06)) * F.lit(SIGNAL_RATE)).cast("int")
     reps = (n / F.lit(64)).cast("int") + 1
     samples = F.slice(F.flatten(F.array_repeat(F.col("embedding"), reps)), F.lit(1), n)
