@@ -19,6 +19,21 @@ from . import split as SP
 EPS = 1e-15
 
 
+def _dbl(v: float) -> str:
+    v = float(v)
+    if v != v:
+        return "double('NaN')"
+    if v in (float("inf"), float("-inf")):
+        return f"double('{'-' if v < 0 else ''}Infinity')"
+    return "%.17ED" % v
+
+
+def double_array(values) -> Column:
+    """Exact array<double> literal built in one call (a SQL literal list),
+    instead of one driver round trip per element."""
+    return F.expr("array(" + ", ".join(_dbl(v) for v in values) + ")")
+
+
 def train_test(df: DataFrame, key: str = "vec_id") -> DataFrame:
     """Split keyed by the clip id (md5 bucket), as for paths."""
     return SP.with_split(df, key)
@@ -74,8 +89,8 @@ class PopulationScaler:
         return cls([r["mean"] for r in rows], [r["scale"] for r in rows])
 
     def transform_col(self, vec: Column) -> Column:
-        m = F.array(*[F.lit(float(v)) for v in self.mean])
-        s = F.array(*[F.lit(float(v)) for v in self.scale])
+        m = double_array(self.mean)
+        s = double_array(self.scale)
         centred = F.zip_with(vec, m, lambda x, mu: x.cast("double") - mu)
         return F.zip_with(centred, s, lambda c, sd: c / sd)
 
@@ -115,31 +130,30 @@ class NearestCentroid:
                 .orderBy(label_col).collect())                 # k rows of d values
         return cls([r[label_col] for r in rows], [[e["c"] for e in r["v"]] for r in rows])
 
-    def distances(self, vec: Column) -> Column:
-        cs = [F.array(*[F.lit(float(v)) for v in c]) for c in self.centres]
-        return F.array(*[
-            F.aggregate(F.zip_with(vec, c, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)),
-                        F.lit(0.0), lambda s, t: s + t)
-            for c in cs])
+    def distances_sql(self, vec: str) -> str:
+        """array<double> of squared distances to each centre, as SQL text
+        (one expression; built with one call to the JVM)."""
+        parts = []
+        for c in self.centres:
+            lit = "array(" + ", ".join(_dbl(v) for v in c) + ")"
+            parts.append(f"aggregate(zip_with({vec}, {lit}, (a, b) -> (CAST(a AS DOUBLE) - b) * (CAST(a AS DOUBLE) - b)),"
+                         f" 0D, (s, t) -> s + t)")
+        return "array(" + ", ".join(parts) + ")"
 
     def transform(self, df: DataFrame, vec_col: str = "features") -> DataFrame:
         """Adds pred, dist, probs (softmax of -distance, in class order), classes.
         Each intermediate array is its own projection so no lambda re-evaluates
         the distance computation per element."""
         classes = F.array(*[F.lit(c) for c in self.classes])
-        out = df.withColumn("_d", self.distances(F.col(vec_col)))
+        out = df.selectExpr("*", f"{self.distances_sql(vec_col)} AS _d")
         # argmin on distance rounded to 9 places, ties -> smallest class
-        best = F.array_min(F.zip_with(F.col("_d"), classes,
-                                      lambda a, c: F.struct(F.round(a, 9).alias("d"), c.alias("c"))))
-        out = (out.withColumn("_best", best)
-                  .withColumn("_mn", F.array_min("_d"))
-                  .withColumn("_ex", F.transform("_d", lambda a: F.exp(F.col("_mn") - a)))
-                  .withColumn("_tot", F.aggregate("_ex", F.lit(0.0), lambda s, t: s + t)))
-        return (out.withColumn("pred", F.col("_best.c"))
-                   .withColumn("dist", F.col("_best.d"))
-                   .withColumn("probs", F.transform("_ex", lambda e: e / F.col("_tot")))
-                   .withColumn("classes", classes)
-                   .drop("_d", "_best", "_mn", "_ex", "_tot"))
+        out = out.withColumn("classes", classes)
+        out = out.selectExpr("*", "array_min(zip_with(_d, classes, (a, c) -> named_struct('d', round(a, 9), 'c', c)))"
+                                  " AS _best", "array_min(_d) AS _mn")
+        out = out.selectExpr("*", "transform(_d, a -> exp(_mn - a)) AS _ex")
+        out = out.selectExpr("*", "aggregate(_ex, 0D, (s, t) -> s + t) AS _tot")
+        out = out.selectExpr("*", "_best.c AS pred", "_best.d AS dist", "transform(_ex, e -> e / _tot) AS probs")
+        return out.drop("_d", "_best", "_mn", "_ex", "_tot")
 
 
 def log_loss(probs: Column, classes: Column, label: Column) -> Column:
