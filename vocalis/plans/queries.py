@@ -762,29 +762,43 @@ def q_select_model(spark, sf):
     return TR.select_model(d.filter(F.col("split") == "train"), k)
 
 
-@register("batch_score", "R1 R2 R4 M9 S6 S7", notes="rows-only: trained model")
+@register("batch_score", "R1 R2 R4 M9 S6 S7", notes="rows-only: trained models")
 def q_batch_score(spark, sf):
-    """Train, save to the shared store, list the catalogue, reload by name,
-    score the test rows; rows whose vector is all zero are rejected with a
-    status instead of being scored."""
+    """Train two models, save them to the shared store, list the catalogue
+    (S7), then score requests table-in/table-out: each test row asks for a
+    model by file name; unknown names and all-zero vectors become statuses
+    (R4) instead of errors, and are kept as rows."""
+    from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassificationModel
+    from pyspark.ml.classification import LogisticRegression
     from ..operators import train as TR
     d, n_in, k = _design(spark, sf)
+    train = d.filter(F.col("split") == "train")
     root = shared_dir(spark, "models-" + uuid.uuid4().hex)
-    model = TR.fit_mlp(d.filter(F.col("split") == "train"), n_in, k, max_iter=50)
-    TR.save_model(model, f"{root}/ser_mlp_model")
+    TR.save_model(TR.fit_mlp(train, n_in, k, max_iter=50), f"{root}/ser_mlp_model")
+    TR.save_model(LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", maxIter=50).fit(train),
+                  f"{root}/ser_logreg_model")
     cat = TR.model_catalogue(spark, root)
-    wanted = cat.filter(F.col("file_name") == "ser_mlp_model").select("file_name").first()
-    if wanted is None:
-        raise ValueError("unknown model: ser_mlp_model")
-    from pyspark.ml.classification import MultilayerPerceptronClassificationModel
-    loaded = MultilayerPerceptronClassificationModel.load(f"{root}/{wanted['file_name']}")
-    test = d.filter(F.col("split") == "test")
+    asked = F.element_at(F.array(F.lit("ser_mlp_model"), F.lit("ser_logreg_model"), F.lit("ser_cnn_model")),
+                         (F.col("vec_id") % 3 + 1).cast("int"))
+    req = d.filter(F.col("split") == "test").withColumn("model_name", asked)
+    known = [r["file_name"] for r in cat.select("file_name").collect()]       # catalogue: a few rows
     zero = F.forall("features", lambda v: v == 0)
-    scored = TR.probabilities(loaded.transform(test.filter(~zero)))
     names = F.array(*[SC.class_name(F.lit(i)) for i in range(k)])
-    rec = SC.prediction_records(scored, "vec_id", names).withColumn("status", F.lit("ok"))
-    rejected = test.filter(zero).select("vec_id", F.lit("no_features").alias("status"))
-    return rec.unionByName(rejected, allowMissingColumns=True).withColumn("model_name", F.lit("ser_mlp_model"))
+    loaders = {"ser_mlp_model": MultilayerPerceptronClassificationModel, "ser_logreg_model": LogisticRegressionModel}
+    parts = []
+    for m in known:
+        model = loaders[m].load(f"{root}/{m}")
+        sub = req.filter((F.col("model_name") == m) & ~zero)
+        scored = TR.probabilities(model.transform(sub))
+        parts.append(SC.prediction_records(scored, "vec_id", names)
+                     .withColumn("model_name", F.lit(m)).withColumn("status", F.lit("ok")))
+    rejected = req.filter(zero | ~F.col("model_name").isin(known)).select(
+        "vec_id", "model_name",
+        F.when(zero, F.lit("no_features")).otherwise(F.lit("unknown_model")).alias("status"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out.unionByName(rejected, allowMissingColumns=True)
 
 
 @register("stream_score", "R6", sql=_NC_CTE + """
@@ -808,3 +822,27 @@ def q_stream_score(spark, sf):
     root = shared_dir(spark, "stream-" + uuid.uuid4().hex)
     ST.run_to_table(src, transform, f"{root}/predictions", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/predictions").drop("epoch")
+
+
+@register("augmented_store", "S3 S4 G4 A2", sql=_FAN_SQL + """
+SELECT label, count(*) AS n FROM fanned WHERE augmentation = 'white_noise' GROUP BY label
+""")
+def q_augmented_store(spark, sf):
+    """The fanned-out table written once, partitioned by (split, augmentation)
+    with dynamic overwrite (a re-run replaces only its partitions), then read
+    back for one augmentation: the filter prunes partitions at the scan."""
+    from ..sources import sinks
+    out = shared_dir(spark, "augmented-" + uuid.uuid4().hex)
+    fan = _fanned(spark, sf).select("event_id", "path", "label", "dataset", "split", "augmentation")
+    sinks.write_partitioned(fan, out, "split", "augmentation")
+    back = spark.read.parquet(out).filter(F.col("augmentation") == "white_noise")
+    return PR.group_counts(back, "label")
+
+
+@register("mlp_evaluation", "M7 M9", notes="rows-only: trained model")
+def q_mlp_evaluation(spark, sf):
+    """Accuracy and log loss of the MLP on the test rows (Spark's evaluator)."""
+    from ..operators import train as TR
+    d, n_in, k = _design(spark, sf)
+    model = TR.fit_mlp(d.filter(F.col("split") == "train"), n_in, k, max_iter=50)
+    return TR.evaluate(model.transform(d.filter(F.col("split") == "test")))
