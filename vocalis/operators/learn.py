@@ -125,10 +125,14 @@ class NearestCentroid:
 
     @classmethod
     def fit(cls, df: DataFrame, vec_col: str = "features", label_col: str = "label") -> "NearestCentroid":
-        rows = (centroids(df, vec_col, label_col)
-                .groupBy(label_col).agg(F.array_sort(F.collect_list(F.struct("dim", "c"))).alias("v"))
-                .orderBy(label_col).collect())                 # k rows of d values
-        return cls([r[label_col] for r in rows], [[e["c"] for e in r["v"]] for r in rows])
+        from pyspark.ml.functions import array_to_vector
+        from pyspark.ml.stat import Summarizer
+        # one aggregation, partial per task: k rows of d means reach the driver
+        rows = (df.groupBy(label_col)
+                  .agg(Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>"))).alias("m"))
+                  .collect())
+        rows = sorted(rows, key=lambda r: r[label_col])
+        return cls([r[label_col] for r in rows], [[float(v) for v in r["m"]] for r in rows])
 
     def distances_sql(self, vec: str) -> str:
         """array<double> of squared distances to each centre, as SQL text

@@ -23,15 +23,15 @@ def class_name(idx: Column) -> Column:
         .otherwise(F.concat(F.lit("class_"), idx.cast("string")))
 
 
-def ranked(probs: Column, names: Column) -> Column:
-    """array<struct<pos, emotion, probability>> sorted by probability desc,
-    then by vocabulary position (a stable sort keeps that order on ties)."""
-    z = F.zip_with(names, probs, lambda n, p: F.struct(n.alias("emotion"), p.alias("probability")))
-    z = F.transform(z, lambda s, i: F.struct(i.alias("pos"), s.getField("emotion").alias("emotion"),
-                                             s.getField("probability").alias("probability")))
-    return F.array_sort(z, lambda a, b: F.when(a.probability > b.probability, -1)
-                        .when(a.probability < b.probability, 1)
-                        .otherwise(a.pos - b.pos))
+RANKED_SQL = ("array_sort(zip_with({names}, {probs}, (n, p) -> named_struct('emotion', n, 'probability', p)),"
+              " (a, b) -> CASE WHEN a.probability > b.probability THEN -1"
+              " WHEN a.probability < b.probability THEN 1 ELSE 0 END)")
+
+
+def ranked_sql(probs: str, names: str) -> str:
+    """T2 as SQL text: array<struct<emotion, probability>> sorted by
+    probability desc; ``array_sort`` is stable, so ties keep vocabulary order."""
+    return RANKED_SQL.format(names=names, probs=probs)
 
 
 def prediction_records(scored: DataFrame, key: str, names: Column) -> DataFrame:
@@ -47,7 +47,7 @@ def prediction_records(scored: DataFrame, key: str, names: Column) -> DataFrame:
 def ranked_probabilities(scored: DataFrame, key: str, names: Column) -> DataFrame:
     """One row per (record, rank), with display text; ``is_main`` marks
     rank 1 so the rest can be listed without it."""
-    r = scored.select(key, F.posexplode(ranked(F.col("probs"), names)).alias("rank0", "e"))
+    r = scored.withColumn("_names", names).selectExpr(key, f"posexplode({ranked_sql('probs', '_names')}) AS (rank0, e)")
     r = r.select(key, (F.col("rank0") + 1).cast("long").alias("rank"), F.col("e.emotion").alias("emotion"),
                  F.round(F.col("e.probability"), 4).alias("probability"))
     r = LB.with_display(r, "emotion")
