@@ -86,4 +86,9 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
+    # Audio rows are large: 10,000 clips per Arrow batch (Spark's default)
+    # would be gigabytes per batch. Lower it unless the user chose a value.
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, "64")
     _SHIPPED.add(app)
