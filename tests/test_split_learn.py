@@ -77,3 +77,17 @@ def test_one_hot_and_unseen(spark):
     enc = LN.with_index(df, voc).select("id", "idx", LN.one_hot(F.col("idx"), F.col("k")).alias("h"))
     got = {r["id"]: (r["idx"], list(r["h"])) for r in enc.collect()}
     assert got == {0: (1, [0, 1, 0]), 1: (0, [1, 0, 0]), 2: (2, [0, 0, 1])}
+
+
+def test_param_store_round_trip(spark, tmp_path):
+    f = V.feature_vectors(spark, SF_SMALL)
+    sc = LN.PopulationScaler.fit(f)
+    sc.save(spark, str(tmp_path / "scaler"))
+    sc2 = LN.PopulationScaler.load(spark, str(tmp_path / "scaler"))
+    assert sc2.mean == sc.mean and sc2.scale == sc.scale
+    nc = LN.NearestCentroid.fit(f)
+    nc.save(spark, str(tmp_path / "centroids"))
+    nc2 = LN.NearestCentroid.load(spark, str(tmp_path / "centroids"))
+    a = nc.transform(f).select("vec_id", "pred").collect()
+    b = nc2.transform(f).select("vec_id", "pred").collect()
+    assert sorted(a) == sorted(b)

@@ -97,6 +97,17 @@ class PopulationScaler:
     def transform(self, df: DataFrame, vec_col: str = "features", out_col: str = "scaled") -> DataFrame:
         return df.withColumn(out_col, self.transform_col(F.col(vec_col)))
 
+    def save(self, spark, path: str) -> None:
+        """Parameters as a (dim, mean, scale) Parquet table."""
+        rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(self.mean, self.scale))]
+        spark.createDataFrame(rows, "dim long, mean double, scale double").coalesce(1) \
+            .write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "PopulationScaler":
+        rows = spark.read.parquet(path).orderBy("dim").collect()       # one row per dimension
+        return cls([r["mean"] for r in rows], [r["scale"] for r in rows])
+
 
 def nan_inf_violations(df: DataFrame, vec_col: str) -> DataFrame:
     """M3: rows whose vector holds NaN or +-Inf."""
@@ -134,6 +145,16 @@ class NearestCentroid:
         rows = sorted(rows, key=lambda r: r[label_col])
         return cls([r[label_col] for r in rows], [[float(v) for v in r["m"]] for r in rows])
 
+    def save(self, spark, path: str) -> None:
+        """(label, centre array<double>) Parquet table."""
+        rows = [(c, [float(v) for v in cs]) for c, cs in zip(self.classes, self.centres)]
+        spark.createDataFrame(rows, ["label", "centre"]).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "NearestCentroid":
+        rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["label"])   # k rows
+        return cls([r["label"] for r in rows], [list(r["centre"]) for r in rows])
+
     def distances_sql(self, vec: str) -> str:
         """array<double> of squared distances to each centre, as SQL text
         (one expression; built with one call to the JVM)."""
