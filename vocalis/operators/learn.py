@@ -17,6 +17,17 @@ from pyspark.sql import functions as F
 from . import split as SP
 
 EPS = 1e-15
+MAX_CLASSES = 100_000          # bound on labels / centres brought to the driver
+MAX_DIMS = 1_000_000           # bound on feature dimensions
+
+
+def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
+    """Collect at most ``max_rows`` rows; more is an error, never a silent cap.
+    ``limit(max_rows + 1)`` keeps the driver's intake bounded either way."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows; refusing to collect")
+    return rows
 
 
 def _dbl(v: float) -> str:
@@ -52,8 +63,11 @@ def label_vocabulary(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 def with_index(df: DataFrame, vocab: DataFrame, label_col: str = "label") -> DataFrame:
     """M4: encode labels; unseen labels raise (inner join would drop them
-    silently, so rows without an index fail the query)."""
-    out = df.join(F.broadcast(vocab), label_col, "left")
+    silently, so rows without an index fail the query). The vocabulary is
+    broadcast only after its size is checked (at most MAX_CLASSES rows)."""
+    rows = collect_bounded(vocab.select(label_col, "idx", "k"), MAX_CLASSES, "label vocabulary")
+    small = df.sparkSession.createDataFrame(rows, vocab.select(label_col, "idx", "k").schema)
+    out = df.join(F.broadcast(small), label_col, "left")
     return out.withColumn("idx", F.when(F.col("idx").isNull(),
                                         F.raise_error(F.concat(F.lit("unseen label: "),
                                                                F.col(label_col).cast("string"))))
@@ -85,7 +99,7 @@ class PopulationScaler:
 
     @classmethod
     def fit(cls, df: DataFrame, vec_col: str = "features") -> "PopulationScaler":
-        rows = dim_stats(df, vec_col).orderBy("dim").collect()   # one row per dimension
+        rows = collect_bounded(dim_stats(df, vec_col).orderBy("dim"), MAX_DIMS, "scaler dimensions")
         return cls([r["mean"] for r in rows], [r["scale"] for r in rows])
 
     def transform_col(self, vec: Column) -> Column:
@@ -139,9 +153,9 @@ class NearestCentroid:
         from pyspark.ml.functions import array_to_vector
         from pyspark.ml.stat import Summarizer
         # one aggregation, partial per task: k rows of d means reach the driver
-        rows = (df.groupBy(label_col)
-                  .agg(Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>"))).alias("m"))
-                  .collect())
+        rows = collect_bounded(
+            df.groupBy(label_col).agg(Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>"))).alias("m")),
+            MAX_CLASSES, "class centres")
         rows = sorted(rows, key=lambda r: r[label_col])
         return cls([r[label_col] for r in rows], [[float(v) for v in r["m"]] for r in rows])
 
