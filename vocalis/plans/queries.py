@@ -273,7 +273,8 @@ SELECT clip_id, frame_no, round(sum(x[frame_no * {_HOP} + m + 1] * x[frame_no *
 FROM fr, range(0, {_NF}) t(m) GROUP BY clip_id, frame_no
 """)
 def q_frame_signal(spark, sf):
-    return SG.frame_energy(V.signals(spark, sf), _NF, _HOP).select("clip_id", "frame_no", _r("energy"))
+    return SG.frame_energy(V.signals(spark, sf), _NF, _HOP).select(
+        "clip_id", F.col("frame_no").cast("long").alias("frame_no"), _r("energy"))
 
 
 @register("clip_duration", "D14 D2 D2c", sql="WITH " + _SIG_CTE + f"""
@@ -283,8 +284,9 @@ SELECT clip_id, n AS n_samples, round(n / {V.SIGNAL_RATE}, 6) AS duration_s,
 FROM sig
 """)
 def q_clip_duration(spark, sf):
-    return SG.clip_duration(V.signals(spark, sf), _NF, _HOP).withColumn(
-        "duration_s", F.round("duration_s", 6))
+    return (SG.clip_duration(V.signals(spark, sf), _NF, _HOP)
+            .withColumn("duration_s", F.round("duration_s", 6))
+            .withColumn("n_samples", F.col("n_samples").cast("long")))
 
 
 _TIME_SQL = "WITH " + _SIG_CTE + f""",
@@ -493,7 +495,9 @@ SELECT count(*) AS n_rows, min(len(embedding)) AS min_len, max(len(embedding)) A
 FROM embeddings
 """)
 def q_feature_checks(spark, sf):
-    return PR.vector_profile(V.feature_vectors(spark, sf), "features", "label")
+    return (PR.vector_profile(V.feature_vectors(spark, sf), "features", "label")
+            .withColumn("min_len", F.col("min_len").cast("long"))
+            .withColumn("max_len", F.col("max_len").cast("long")))
 
 
 @register("label_vocabulary", "A6 M4", sql="""
@@ -585,12 +589,13 @@ pr AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0 END AS precision,
 f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1
       FROM pr)
 SELECT CAST(cls AS VARCHAR) AS class, round(precision, 6) AS precision, round(recall, 6) AS recall,
-       round(f1, 6) AS f1, support FROM f
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), sum(support) FROM f
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM f
+       round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+                 CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
                  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
-                 sum(support) FROM f
+                 CAST(sum(support) AS BIGINT) FROM f
 """)
 def q_classification_report(spark, sf):
     _, s = _nc_scored(spark, sf)
