@@ -173,3 +173,19 @@ def test_spectral_kernel_chunking_and_two_pass():
     for k in a:
         assert np.allclose(a[k], b[k], rtol=1e-9, atol=1e-9)
         assert np.allclose(a[k], c[k], rtol=1e-9, atol=1e-9)
+
+
+def test_kernel_and_native_time_domain_agree(spark):
+    rng = np.random.default_rng(11)
+    sigs = [rng.normal(0, 0.1, n).astype(np.float32) for n in (1500, 2048, 4099, 9000)]
+    df = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sigs)], "clip_id long, samples array<float>")
+    nat = {r["clip_id"]: r for r in SG.time_features(df).collect()}
+    for i, s in enumerate(sigs):
+        z, r, h = dsp.time_domain(s, vocab.N_FFT, vocab.HOP, vocab.ZCR_THRESHOLD)
+        assert abs(nat[i]["zcr"] - z) < 1e-12 and abs(nat[i]["rms"] - r) < 1e-9
+        assert (h is None and nat[i]["entropy"] is None) or abs(nat[i]["entropy"] - h) < 1e-9
+    clips = FT.with_status(df.withColumn("decode_status", F.lit("ok")))     # 1500 samples -> too_short
+    a = {r["clip_id"]: r["features"] for r in FT.extract_features(clips, time_domain="kernel").collect()}
+    b = {r["clip_id"]: r["features"] for r in FT.extract_features(clips, time_domain="native").collect()}
+    for k in a:
+        assert np.allclose(a[k], b[k], rtol=1e-6, atol=1e-6)
