@@ -89,3 +89,17 @@ def test_pitch_shift_moves_frequency():
     z = dsp.time_stretch(tone(440.0, 1.0).astype(np.float64), 1.2)
     f2 = np.argmax(np.abs(np.fft.rfft(z))) * vocab.SAMPLE_RATE / len(z)
     assert abs(f2 - 440) < 5
+
+
+def test_model_catalogue(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    from vocalis.operators import train as TR
+    df = spark.createDataFrame([(Vectors.dense([0.0, 1.0]), 0.0), (Vectors.dense([1.0, 0.0]), 1.0),
+                                (Vectors.dense([1.0, 1.0]), 2.0)], ["x", "y"])
+    TR.save_model(LogisticRegression(featuresCol="x", labelCol="y", maxIter=5).fit(df), str(tmp_path / "b_model"))
+    TR.save_model(TR.mlp(2, 3, max_iter=5).fit(df), str(tmp_path / "ser_conv1d_model"))
+    rows = TR.model_catalogue(spark, str(tmp_path)).collect()
+    assert [r["file_name"] for r in rows] == ["b_model", "ser_conv1d_model"]
+    assert [r["num_classes"] for r in rows] == [3, 3]
+    assert rows[1]["name"] == "Ser Conv1d Model"

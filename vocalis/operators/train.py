@@ -80,14 +80,34 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+MAX_MODELS = 10_000
+
+
+def _num_classes(root: str, file_name: str, model_class: str) -> int:
+    """Output class count of a saved model; 0 when it cannot be loaded."""
+    import importlib
+    try:
+        mod, cls = model_class.rsplit(".", 1)
+        py_mod = importlib.import_module(mod.replace("org.apache.spark.ml", "pyspark.ml"))
+        return int(getattr(py_mod, cls).load(f"{root.rstrip('/')}/{file_name}").numClasses)
+    except Exception:  # noqa: BLE001 - unloadable models are listed with 0
+        return 0
+
+
 def model_catalogue(spark: SparkSession, root: str) -> DataFrame:
-    """One row per saved model under ``root``: readable name (suffix
-    stripped, '_' -> ' ', title case), folder name, output class count read
-    from the saved parameters, sorted by folder name."""
+    """One row per saved model under ``root``, sorted by folder name:
+    readable name (suffix stripped, '_' -> ' ', title case), folder name,
+    model class and output class count (0 if the model cannot be loaded).
+    The metadata is read by Spark; the per-model load runs over the
+    (bounded) list of saved models."""
     meta = spark.read.json(f"{root.rstrip('/')}/*/metadata")
     folder = F.element_at(F.split(F.input_file_name(), "/"), -3)
-    layers = F.col("paramMap.layers")
-    out = meta.select(folder.alias("file_name"), F.col("class").alias("model_class"),
-                      F.when(layers.isNotNull(), F.element_at(layers, -1)).alias("num_classes"))
+    listed = meta.select(folder.alias("file_name"), F.col("class").alias("model_class"))
+    rows = listed.limit(MAX_MODELS + 1).collect()
+    if len(rows) > MAX_MODELS:
+        raise ValueError(f"more than {MAX_MODELS} saved models under {root}")
+    counts = [(r["file_name"], r["model_class"], _num_classes(root, r["file_name"], r["model_class"]))
+              for r in rows]
+    out = spark.createDataFrame(counts, "file_name string, model_class string, num_classes int")
     name = F.initcap(F.replace(F.replace(F.col("file_name"), F.lit(".keras"), F.lit("")), F.lit("_"), F.lit(" ")))
     return out.withColumn("name", name).orderBy("file_name")
