@@ -760,7 +760,7 @@ def q_history_best(spark, sf):
     return TR.history_best(q_train_classifier(spark, sf))
 
 
-@register("select_model", "M8", notes="rows-only: validation split inside train rows")
+@register("select_model", "M8", notes="rows-only: clip-keyed folds inside train rows")
 def q_select_model(spark, sf):
     from ..operators import train as TR
     d, n_in, k = _design(spark, sf)
