@@ -714,7 +714,29 @@ def q_wav_pipeline(spark, sf):
                     F.round(F.element_at("features", 1), 4).alias("mfcc0"))
 
 
-@register("audio_augment", "G1 G2 G3 G4 G5 D14 J2", notes="rows-only: phase vocoder has no SQL form")
+_WAV_CTE = """WITH base AS (
+  SELECT vec_id AS clip_id, CAST(floor((0.08::DOUBLE + label * 0.06::DOUBLE) * 22050) AS BIGINT) AS n,
+         CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 80
+              THEN 'train' ELSE 'test' END AS split
+  FROM embeddings
+)"""
+
+
+@register("audio_augment", "G1 G2 G3 G4 G5 D14 J2", sql=_WAV_CTE + """,
+fan AS (SELECT b.*, t.augmentation FROM base b,
+          unnest(CASE WHEN split = 'train' THEN ['original','pitch_shift','white_noise','time_stretch']
+                      ELSE ['original'] END) AS t(augmentation)),
+out AS (
+  SELECT clip_id, split, augmentation, n AS n_original,
+         CASE WHEN augmentation IN ('pitch_shift', 'time_stretch') AND n < 2048 THEN 'fallback' ELSE 'ok' END
+           AS augment_status,
+         CASE WHEN augmentation = 'time_stretch' AND n >= 2048 THEN CAST(round_even(n / 1.2, 0) AS BIGINT) ELSE n END
+           AS n_samples
+  FROM fan
+)
+SELECT clip_id, split, augmentation, augment_status, n_samples, round(n_samples / 22050, 6) AS duration_s, n_original
+FROM out
+""", notes="oracle checks lengths, statuses and durations; sample values are covered by tests")
 def q_audio_augment(spark, sf):
     """Decoded clips -> md5 split -> fan-out -> augmentation kernels; per
     version: length, duration and status, beside the original's length."""
@@ -723,13 +745,27 @@ def q_audio_augment(spark, sf):
     fan = FO.fan_out(SP.with_split(clips, "clip_id"))
     aug = AU.augment(fan, "clip_id")
     out = aug.select("clip_id", "split", "augmentation", "augment_status",
-                     F.size("samples").alias("n_samples"),
+                     F.size("samples").cast("long").alias("n_samples"),
                      F.round(F.size("samples") / F.lit(V.SIGNAL_RATE), 6).alias("duration_s"))
     orig = out.filter(F.col("augmentation") == "original").select(
         "clip_id", F.col("n_samples").alias("n_original"))
     return out.join(orig, "clip_id", "left")
 
 
+@register("wav_status", "S1 D1 D13 D14 P10", sql=_WAV_CTE + """
+SELECT clip_id, CASE WHEN n < 2048 THEN 'too_short' ELSE 'ok' END AS status, n AS n_samples,
+       CAST(185 AS BIGINT) AS n_features
+FROM base
+""")
+def q_wav_status(spark, sf):
+    """Per clip: decode/feature status, decoded length and vector length."""
+    from ..operators import features as FT
+    clips = FT.with_status(decoded_clips(spark, sf))
+    f = FT.extract_features(clips)
+    n = clips.select("clip_id", F.size("samples").cast("long").alias("n_samples"))
+    return f.select("clip_id", "status", F.size("features").cast("long").alias("n_features")).join(n, "clip_id")
+
+
 # --------------------------------------------------------------------------
 # 17/19. training, selection, history, scoring, model store
 # --------------------------------------------------------------------------
