@@ -23,6 +23,7 @@ def test_split_stable_under_repartition(spark):
 def test_no_overlap_and_fanout(spark):
     s = SP.with_split(LB.label_from_path(V.clip_paths(spark, SF_SMALL)))
     assert SP.split_overlap(s).first()["n_overlap"] == 0
+    SP.assert_disjoint(s)
     fan = FO.fan_out(s)
     chk = FO.fanout_check(fan, "event_id").first()
     assert chk["n_bad"] == 0 and chk["n_clips"] == s.count()

@@ -25,23 +25,6 @@ def emotion_code_sql(path: str, corpus: str) -> str:
     return f"CASE {whens} END"
 
 
-def corpus_tag(path: Column) -> Column:
-    expr = None
-    for needle, name in vocab.CORPUS_TAGS:
-        cond = path.contains(needle)
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr
-
-
-def emotion_code(path: Column, corpus: Column) -> Column:
-    expr = None
-    for name, (pattern, group) in vocab.CODE_PATTERNS.items():
-        cond = corpus == F.lit(name)
-        val = F.regexp_extract(path, pattern, group)
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr
-
-
 def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -123,10 +123,9 @@ class PopulationScaler:
         return cls([r["mean"] for r in rows], [r["scale"] for r in rows])
 
 
-def nan_inf_violations(df: DataFrame, vec_col: str) -> DataFrame:
-    """M3: rows whose vector holds NaN or +-Inf."""
-    v = F.col(vec_col)
-    return df.filter(F.exists(v, lambda x: F.isnan(x) | (F.abs(x) == F.lit(float("inf")))))
+def has_nan_inf(vec: Column) -> Column:
+    """M3: the vector holds NaN or +-Inf."""
+    return F.exists(vec, lambda x: F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
 
 
 # ---------------------------------------------------------------- nearest centroid

@@ -30,8 +30,9 @@ def cross_tab(df: DataFrame, row_key: str, col_key: str, values: list[str]) -> D
 def vector_profile(df: DataFrame, vec_col: str = "features", label_col: str = "label") -> DataFrame:
     """A1/A7/M1/M3/M6/P9/S8 in one pass: row count, vector length range,
     null labels, all-zero vectors, vectors holding NaN/Inf."""
+    from .learn import has_nan_inf
     v = F.col(vec_col)
-    bad = F.exists(v, lambda x: F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
+    bad = has_nan_inf(v)
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(F.size(v)).alias("min_len"),

@@ -1,9 +1,13 @@
-"""Reproducible train/test split (X1), disjointness check (X2/U2), size-driven
-repartitioning (X3)."""
+"""Reproducible train/test split (X1), disjointness check (X2/U2) and task
+sizing for CPU-heavy audio work (X3).
 
-from __future__ import annotations
+X3 in Spark terms: blobs are never shuffled to resize partitions (the
+reference's ``repartition(200)`` moved every clip). File scans already split
+by bytes (``spark.sql.files.maxPartitionBytes``); :func:`spread` only adds
+a parallelism floor for small inputs, on small rows, before they become audio.
+"""
 
-import math
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,22 +47,6 @@ def assert_disjoint(df: DataFrame, key: str = "path") -> None:
         raise AssertionError(f"{n} keys in both splits")
 
 
-def partitions_for_bytes(df: DataFrame, length_col: str = "length",
-                         target_bytes: int = 128 * 1024 * 1024) -> int:
-    """Partition count so each task holds about ``target_bytes`` of blobs.
-
-    Reads only the ``length`` metadata column (a one-row aggregate), never the
-    content."""
-    total = df.agg(F.sum(length_col).alias("b")).first()["b"] or 0
-    return max(1, math.ceil(total / target_bytes))
-
-
-def repartition_by_bytes(df: DataFrame, key: str = "path", length_col: str = "length",
-                         target_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """Hash-repartition by key into size-driven partitions (replaces a fixed 200)."""
-    return df.repartition(partitions_for_bytes(df, length_col, target_bytes), key)
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core on CPU-heavy work: when the input has fewer splits than
     the cluster's default parallelism, hash-repartition it by ``key`` to that

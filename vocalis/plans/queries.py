@@ -546,6 +546,21 @@ def q_standardize_apply(spark, sf):
                .select("vec_id", F.col("dim").cast("long").alias("dim"), F.round("z", 6).alias("z")))
 
 
+@register("scaled_checks", "M3 M2 M6", sql="WITH " + _FEAT_CTE + """,
+st AS (SELECT dim, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd
+       FROM lng WHERE split = 'train' GROUP BY dim),
+z AS (SELECT vec_id, split, (x - mean) / sd AS z FROM lng JOIN st USING (dim)),
+bad AS (SELECT vec_id, split, bool_or(isnan(z) OR isinf(z)) AS b FROM z GROUP BY vec_id, split)
+SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE b) AS n_nan_inf FROM bad GROUP BY split
+""")
+def q_scaled_checks(spark, sf):
+    """M3: rows holding NaN/Inf after scaling, per split (both must be 0)."""
+    f = _features(spark, sf)
+    scaled = LN.PopulationScaler.fit(f.filter(F.col("split") == "train")).transform(f)
+    return scaled.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                       F.count_if(LN.has_nan_inf(F.col("scaled"))).alias("n_nan_inf"))
+
+
 _NC_CTE = "WITH " + _FEAT_CTE + """,
 cent AS (SELECT label AS cls, dim, avg(x) AS c FROM lng WHERE split = 'train' GROUP BY label, dim),
 dist AS (SELECT l.vec_id, l.label, c.cls, sum((l.x - c.c) * (l.x - c.c)) AS d
