@@ -21,14 +21,24 @@ def fan_out(df: DataFrame, split_col: str = "split") -> DataFrame:
         F.explode(F.when(F.col(split_col) == "train", tags).otherwise(only_original)))
 
 
-def variant_pairs(fanned: DataFrame, key: str, value: str) -> DataFrame:
+def variant_pairs(fanned: DataFrame, key: str, value: str, values: list[str] | None = None) -> DataFrame:
     """Each clip's original beside its variants, one row per clip.
 
-    A single aggregation keyed by the clip with a fixed pivot list (no
-    distinct pass, no self-join): partial aggregation runs before the shuffle.
-    """
+    A single aggregation keyed by the clip with a fixed tag list (no distinct
+    pass, no self-join), combined map side. When the value vocabulary is
+    known, values travel as their integer position: fixed-width buffers keep
+    the hash aggregate (string max would fall back to a sort-based one)."""
     tags = vocab.AUGMENTATIONS
     aggs = [F.count(F.lit(1)).alias("n_versions")]
+    if values:
+        arr = F.array(*[F.lit(v) for v in values])
+        code = F.array_position(arr, F.col(value))
+        for t in tags:
+            aggs.append(F.max(F.when(F.col("augmentation") == t, code)).alias(f"_{t}"))
+        out = fanned.groupBy(key).agg(*aggs)
+        return out.select(key, "n_versions", *[
+            F.when(F.col(f"_{t}") > 0, F.element_at(arr, F.col(f"_{t}").cast("int"))).alias(f"{value}_{t}")
+            for t in tags])
     for t in tags:
         aggs.append(F.max(F.when(F.col("augmentation") == t, F.col(value))).alias(f"{value}_{t}"))
     return fanned.groupBy(key).agg(*aggs)
@@ -36,7 +46,9 @@ def variant_pairs(fanned: DataFrame, key: str, value: str) -> DataFrame:
 
 def variant_sample(fanned: DataFrame, order_cols: list[str], keep: list[str]) -> DataFrame:
     """One deterministic row per augmentation (smallest ``order_cols``),
-    via min over a struct: an aggregate, no window sort."""
+    via min over a struct: an aggregate with a map-side partial, no window.
+    (Comparing whole strings needs a sort-based aggregate; the result is one
+    row per tag, so only the map-side partials sort.)"""
     cols = list(dict.fromkeys(order_cols + keep))
     out = fanned.groupBy("augmentation").agg(F.min(F.struct(*cols)).alias("m"))
     return out.select("augmentation", *[F.col("m." + c).alias(c) for c in cols])

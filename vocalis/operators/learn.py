@@ -212,15 +212,18 @@ def classification_report(pred: DataFrame, true_col: str = "label", pred_col: st
     """Precision, recall, F1, support per class, then accuracy, macro and
     weighted averages (0 where a denominator is 0). All aggregates are over
     per-class counts (k rows)."""
-    # one pass over the scored rows -> at most k*k (true, pred) counts; the
-    # per-class tables below re-read that exchange (reused), not the data
+    # one pass over the scored rows -> at most k*k (true, pred) counts; each
+    # pair then counts once for its true class and once for its predicted
+    # class, so per-class support / predictions / hits come from one
+    # aggregation of k*k rows, no join
     pairs = pred.groupBy(F.col(true_col).alias("t"), F.col(pred_col).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    t = pairs.groupBy(F.col("t").alias("cls")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    p = pairs.groupBy(F.col("p").alias("cls")).agg(F.sum("n").alias("n_pred"))
-    per = (t.join(p, "cls", "full_outer")
-            .select(F.col("cls"), F.coalesce("support", F.lit(0)).alias("support"),
-                    F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("n_pred", F.lit(0)).alias("n_pred")))
+    roles = pairs.select(F.explode(F.array(
+        F.struct(F.col("t").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("long").alias("n_pred"),
+                 F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0).alias("tp")),
+        F.struct(F.col("p").alias("cls"), F.lit(0).cast("long").alias("support"), F.col("n").alias("n_pred"),
+                 F.lit(0).cast("long").alias("tp")))).alias("r")).select("r.*")
+    per = roles.groupBy("cls").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                                   F.sum("n_pred").alias("n_pred"))
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     per = per.withColumn("precision", prec).withColumn("recall", rec)

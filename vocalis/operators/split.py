@@ -34,11 +34,13 @@ def with_split(df: DataFrame, key: str = "path", train_percent: int = vocab.TRAI
 def split_overlap(df: DataFrame, key: str = "path") -> DataFrame:
     """Number of keys present on both sides, as a one-row report.
 
-    One aggregation keyed by ``key`` (min/max of the split tag, combined map
-    side) instead of two distincts and a semi-join: a key is on both sides
-    iff its min and max tags differ."""
-    per = df.groupBy(key).agg(F.min("split").alias("lo"), F.max("split").alias("hi"))
-    return per.agg(F.count_if(F.col("lo") != F.col("hi")).cast("long").alias("n_overlap"))
+    One aggregation keyed by ``key`` with two integer flags (fixed-width
+    buffers, so a hash aggregate combined map side; string min/max would fall
+    back to a sort-based aggregate) instead of two distincts and a semi-join."""
+    per = df.groupBy(key).agg(
+        F.max(F.when(F.col("split") == "train", 1).otherwise(0)).alias("in_train"),
+        F.max(F.when(F.col("split") == "test", 1).otherwise(0)).alias("in_test"))
+    return per.agg(F.count_if((F.col("in_train") == 1) & (F.col("in_test") == 1)).cast("long").alias("n_overlap"))
 
 
 def assert_disjoint(df: DataFrame, key: str = "path") -> None:

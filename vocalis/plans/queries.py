@@ -241,7 +241,7 @@ SELECT event_id, count(*) AS n_versions,
 FROM fanned GROUP BY event_id
 """)
 def q_variant_pairs(spark, sf):
-    return FO.variant_pairs(_fanned(spark, sf), "event_id", "label")
+    return FO.variant_pairs(_fanned(spark, sf), "event_id", "label", vocab.EMOTIONS_7)
 
 
 @register("variant_sample", "P7", sql=_FAN_SQL + """
