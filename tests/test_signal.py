@@ -189,3 +189,17 @@ def test_kernel_and_native_time_domain_agree(spark):
     b = {r["clip_id"]: r["features"] for r in FT.extract_features(clips, time_domain="native").collect()}
     for k in a:
         assert np.allclose(a[k], b[k], rtol=1e-6, atol=1e-6)
+
+
+def test_long_clip_path_matches_clip_at_once(spark):
+    rng = np.random.default_rng(21)
+    sigs = [(rng.normal(0, 0.1, n) * np.linspace(0.2, 1, n)).astype(np.float32) for n in (2100, 5000, 9999, 12288)]
+    sigs.append(tone(330.0, 0.6))
+    df = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sigs)], "clip_id long, samples array<float>")
+    clips = FT.with_status(df.withColumn("decode_status", F.lit("ok")))
+    a = {r["clip_id"]: r["features"] for r in FT.extract_features(clips, long_clip_samples=None).collect()}
+    b = {r["clip_id"]: r["features"] for r in
+         FT.extract_features(clips, long_clip_samples=2048, frames_per_chunk=3).collect()}   # all clips chunked
+    assert a.keys() == b.keys()
+    for k in a:
+        assert np.allclose(a[k], b[k], rtol=1e-5, atol=1e-4), k

@@ -715,7 +715,8 @@ def decoded_clips(spark, sf):
     """Decode once, store in the shared folder, read back (lineage cut)."""
     from ..sources import audio, sinks
     raw = V.wav_clips(spark, sf)
-    dec = audio.decode(raw).select("clip_id", "label", "samples", "sample_rate", "decode_status")
+    dec = audio.decode(raw).select("clip_id", "label", "samples", "sample_rate", "decode_status",
+                                   F.size("samples").cast("long").alias("n_samples"))
     return sinks.materialize(dec, shared_dir(spark, "clips-" + uuid.uuid4().hex))
 
 
