@@ -103,3 +103,13 @@ def test_model_catalogue(spark, tmp_path):
     assert [r["file_name"] for r in rows] == ["b_model", "ser_conv1d_model"]
     assert [r["num_classes"] for r in rows] == [3, 3]
     assert rows[1]["name"] == "Ser Conv1d Model"
+
+
+def test_label_plan_does_not_read_content(spark):
+    root = tempfile.mkdtemp(prefix="vocalis-wav-prune-")
+    _write_corpus(root)
+    lab = LB.label_from_path(audio.scan_audio(spark, root).select("path", "length"))
+    plan = lab._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan" in ln or "Scan binaryFile" in ln or "ReadSchema" in ln]
+    assert scan and not any("content" in ln for ln in scan), scan
+    assert lab.count() == 4
