@@ -113,3 +113,11 @@ def test_label_plan_does_not_read_content(spark):
     scan = [ln for ln in plan.splitlines() if "FileScan" in ln or "Scan binaryFile" in ln or "ReadSchema" in ln]
     assert scan and not any("content" in ln for ln in scan), scan
     assert lab.count() == 4
+
+
+def test_streamed_time_stretch_equals_whole_clip():
+    x = tone(440.0, 1.3).astype(np.float64) + np.random.default_rng(2).normal(0, 0.01, int(22050 * 1.3))
+    for rate in (1.2, 2 ** (-4 / 12)):
+        a = dsp.time_stretch_whole(x, rate)
+        b = dsp.time_stretch(x, rate, block=5)
+        assert len(a) == len(b) and np.allclose(a, b, atol=1e-10)
