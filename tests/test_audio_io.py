@@ -98,11 +98,11 @@ def test_model_catalogue(spark, tmp_path):
     df = spark.createDataFrame([(Vectors.dense([0.0, 1.0]), 0.0), (Vectors.dense([1.0, 0.0]), 1.0),
                                 (Vectors.dense([1.0, 1.0]), 2.0)], ["x", "y"])
     TR.save_model(LogisticRegression(featuresCol="x", labelCol="y", maxIter=5).fit(df), str(tmp_path / "b_model"))
-    TR.save_model(TR.mlp(2, 3, max_iter=5).fit(df), str(tmp_path / "ser_conv1d_model"))
+    TR.save_model(TR.mlp(2, 3, max_iter=5).fit(df), str(tmp_path / "voice_conv1d_model"))
     rows = TR.model_catalogue(spark, str(tmp_path)).collect()
-    assert [r["file_name"] for r in rows] == ["b_model", "ser_conv1d_model"]
+    assert [r["file_name"] for r in rows] == ["b_model", "voice_conv1d_model"]
     assert [r["num_classes"] for r in rows] == [3, 3]
-    assert rows[1]["name"] == "Ser Conv1d Model"
+    assert rows[1]["name"] == "Voice Conv1d Model"
 
 
 def test_label_plan_does_not_read_content(spark):

@@ -100,7 +100,7 @@ def _num_classes(root: str, file_name: str, model_class: str) -> int:
 
 def model_catalogue(spark: SparkSession, root: str) -> DataFrame:
     """One row per saved model under ``root``, sorted by folder name:
-    readable name (suffix stripped, '_' -> ' ', title case), folder name,
+    readable name (extension stripped, '_' -> ' ', title case), folder name,
     model class and output class count (0 if the model cannot be loaded).
     The metadata is read by Spark; the per-model load runs over the
     (bounded) list of saved models."""
@@ -113,5 +113,6 @@ def model_catalogue(spark: SparkSession, root: str) -> DataFrame:
     counts = [(r["file_name"], r["model_class"], _num_classes(root, r["file_name"], r["model_class"]))
               for r in rows]
     out = spark.createDataFrame(counts, "file_name string, model_class string, num_classes int")
-    name = F.initcap(F.replace(F.replace(F.col("file_name"), F.lit(".keras"), F.lit("")), F.lit("_"), F.lit(" ")))
+    stem = F.regexp_replace(F.col("file_name"), r"\.[^.]*$", "")          # drop a file extension
+    name = F.initcap(F.replace(stem, F.lit("_"), F.lit(" ")))
     return out.withColumn("name", name).orderBy("file_name")

@@ -831,17 +831,17 @@ def q_batch_score(spark, sf):
     d, n_in, k = _design(spark, sf)
     train = d.filter(F.col("split") == "train")
     root = shared_dir(spark, "models-" + uuid.uuid4().hex)
-    TR.save_model(TR.fit_mlp(train, n_in, k, max_iter=50), f"{root}/ser_mlp_model")
+    TR.save_model(TR.fit_mlp(train, n_in, k, max_iter=50), f"{root}/emotion_mlp_model")
     TR.save_model(LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", maxIter=50).fit(train),
-                  f"{root}/ser_logreg_model")
+                  f"{root}/emotion_logreg_model")
     cat = TR.model_catalogue(spark, root)
-    asked = F.element_at(F.array(F.lit("ser_mlp_model"), F.lit("ser_logreg_model"), F.lit("ser_cnn_model")),
+    asked = F.element_at(F.array(F.lit("emotion_mlp_model"), F.lit("emotion_logreg_model"), F.lit("emotion_cnn_model")),
                          (F.col("vec_id") % 3 + 1).cast("int"))
     req = d.filter(F.col("split") == "test").withColumn("model_name", asked)
     known = [r["file_name"] for r in cat.select("file_name").collect()]       # catalogue: a few rows
     zero = F.forall("features", lambda v: v == 0)
     names = F.array(*[SC.class_name(F.lit(i)) for i in range(k)])
-    loaders = {"ser_mlp_model": MultilayerPerceptronClassificationModel, "ser_logreg_model": LogisticRegressionModel}
+    loaders = {"emotion_mlp_model": MultilayerPerceptronClassificationModel, "emotion_logreg_model": LogisticRegressionModel}
     parts = []
     for m in known:
         model = loaders[m].load(f"{root}/{m}")
