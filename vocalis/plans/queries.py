@@ -720,8 +720,8 @@ def decoded_clips(spark, sf):
     return sinks.materialize(dec, shared_dir(spark, "clips-" + uuid.uuid4().hex))
 
 
-@register("wav_pipeline", "S1 D1 D12 D13 G6 P10", notes="rows-only: WAV codec has no SQL form")
-def q_wav_pipeline(spark, sf):
+@register("wav_features", "S1 D1 D12 D13 G6 P10", notes="rows-only: WAV codec has no SQL form")
+def q_wav_features(spark, sf):
     from ..operators import features as FT
     clips = FT.with_status(decoded_clips(spark, sf))
     f = FT.extract_features(clips, keep_parts=True)
