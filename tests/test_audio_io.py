@@ -121,3 +121,23 @@ def test_streamed_time_stretch_equals_whole_clip():
         a = dsp.time_stretch_whole(x, rate)
         b = dsp.time_stretch(x, rate, block=5)
         assert len(a) == len(b) and np.allclose(a, b, atol=1e-10)
+
+
+def test_build_corpus_end_to_end(spark, tmp_path):
+    from vocalis.plans.corpus import build_corpus
+    root = tempfile.mkdtemp(prefix="vocalis-corpus-")
+    _write_corpus(root)
+    t = build_corpus(spark, root, str(tmp_path / "out"))
+    rows = t.collect()
+    per_path = {}
+    for r in rows:
+        per_path.setdefault(r["path"], []).append(r)
+    assert len(per_path) == 4
+    for path, rs in per_path.items():
+        split = {r["split"] for r in rs}
+        assert len(split) == 1
+        want = 4 if split == {"train"} else 1
+        assert len(rs) == want and all(len(r["features"]) == 185 for r in rs)
+    man = spark.read.option("header", True).csv(str(tmp_path / "out" / "manifest"))
+    assert man.count() == 4
+    assert t.filter("augmentation = 'white_noise'").count() == sum(1 for rs in per_path.values() if len(rs) == 4)
