@@ -141,3 +141,20 @@ def test_build_corpus_end_to_end(spark, tmp_path):
     man = spark.read.option("header", True).csv(str(tmp_path / "out" / "manifest"))
     assert man.count() == 4
     assert t.filter("augmentation = 'white_noise'").count() == sum(1 for rs in per_path.values() if len(rs) == 4)
+
+
+def test_stream_picks_up_only_new_files(spark):
+    root = tempfile.mkdtemp(prefix="vocalis-wav-incr-")
+    _write_corpus(root)
+    out = tempfile.mkdtemp(prefix="vocalis-incr-out-")
+
+    def transform(batch):
+        return batch.select("path", "length")
+
+    ST.run_to_table(audio.read_stream_audio(spark, root), transform, out + "/t", out + "/ckpt")
+    assert spark.read.parquet(out + "/t").count() == 4
+    with open(os.path.join(root, "Savee", "DC_n05.wav"), "wb") as fh:
+        fh.write(wav_bytes(tone(550.0, 0.1)))
+    ST.run_to_table(audio.read_stream_audio(spark, root), transform, out + "/t", out + "/ckpt")
+    rows = spark.read.parquet(out + "/t").collect()
+    assert len(rows) == 5 and len({r["epoch"] for r in rows}) == 2
