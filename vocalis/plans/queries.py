@@ -594,8 +594,7 @@ def q_confusion_matrix(spark, sf):
     return LN.confusion(s, model.classes)
 
 
-@register("classification_report", "M10", sql=_NC_CTE + """,
-t AS (SELECT label AS cls, count(*) AS support, count(*) FILTER (WHERE label = pred) AS tp FROM pred GROUP BY label),
+_REPORT_TAIL = """t AS (SELECT label AS cls, count(*) AS support, count(*) FILTER (WHERE label = pred) AS tp FROM pred GROUP BY label),
 p AS (SELECT pred AS cls, count(*) AS n_pred FROM pred GROUP BY pred),
 per AS (SELECT coalesce(t.cls, p.cls) AS cls, coalesce(support, 0) AS support, coalesce(tp, 0) AS tp,
                coalesce(n_pred, 0) AS n_pred FROM t FULL OUTER JOIN p ON t.cls = p.cls),
@@ -611,7 +610,11 @@ UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), r
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
                  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
                  CAST(sum(support) AS BIGINT) FROM f
-""")
+"""
+
+
+@register("classification_report", "M10", sql=_NC_CTE + """,
+""" + _REPORT_TAIL + """""")
 def q_classification_report(spark, sf):
     _, s = _nc_scored(spark, sf)
     r = LN.classification_report(s)
@@ -903,3 +906,53 @@ def q_mlp_evaluation(spark, sf):
     d, n_in, k = _design(spark, sf)
     model = TR.fit_mlp(d.filter(F.col("split") == "train"), n_in, k, max_iter=50)
     return TR.evaluate(model.transform(d.filter(F.col("split") == "test")))
+
+
+
+# --------------------------------------------------------------------------
+# the other given tables: labels (binary true/pred pair), pages (parser on
+# real-world strings), documents (keyed split)
+# --------------------------------------------------------------------------
+
+@register("binary_report", "M10 M11", sql="""WITH pred AS (SELECT doc_id AS vec_id, quality AS label, toxic AS pred
+                                             FROM labels),
+""" + _REPORT_TAIL)
+def q_binary_report(spark, sf):
+    """The report on a second, binary (true, pred) pair: labels.quality vs labels.toxic."""
+    p = table(spark, sf, "labels", "quality", "toxic").select(F.col("quality").alias("label"),
+                                                             F.col("toxic").alias("pred"))
+    r = LN.classification_report(p)
+    return r.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@register("binary_confusion", "M11", sql="""
+SELECT quality AS label, count(*) FILTER (WHERE toxic = 0) AS pred_0, count(*) FILTER (WHERE toxic = 1) AS pred_1
+FROM labels GROUP BY quality
+""")
+def q_binary_confusion(spark, sf):
+    p = table(spark, sf, "labels", "quality", "toxic").select(F.col("quality").alias("label"),
+                                                             F.col("toxic").alias("pred"))
+    return LN.confusion(p, [0, 1])
+
+
+@register("url_filename_label", "P8", sql=_FN_SQL.replace(
+    V.CLIP_PATHS_SQL, "WITH clip_paths AS (SELECT page_id AS event_id, url AS path FROM pages)").replace(
+    "SELECT event_id, path,\n  CASE", "SELECT event_id AS page_id, path AS url,\n  CASE"))
+def q_url_filename_label(spark, sf):
+    """The filename-only parser on real-world strings (page URLs)."""
+    pg = table(spark, sf, "pages", "page_id", "url")
+    return LB.with_filename_label(pg, "url").select("page_id", "url", "fn_label")
+
+
+@register("document_split", "X1 A2", sql="""
+WITH s AS (
+  SELECT lang, n_chars,
+         CASE WHEN ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 80
+              THEN 'train' ELSE 'test' END AS split
+  FROM documents)
+SELECT split, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM s GROUP BY split, lang
+""")
+def q_document_split(spark, sf):
+    """The keyed md5 split on another table (documents by doc_id), per language."""
+    d = SP.with_split(table(spark, sf, "documents", "doc_id", "lang", "n_chars"), "doc_id")
+    return d.groupBy("split", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
