@@ -1,4 +1,5 @@
-"""Every registered query vs its DuckDB oracle at sf0.001 (row multiset, 5 decimals)."""
+"""Every registered query vs its DuckDB oracle at sf0.001: exact row multiset
+(both sides round floats to 6 decimals inside the query; no extra tolerance)."""
 
 import math
 
@@ -12,13 +13,13 @@ from vocalis.sources.tables import TABLES
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 5)
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if hasattr(v, "__float__") and not isinstance(v, (int, bool)):
-        return round(float(v), 5)
+        return float(v)
     return v
 
 

@@ -1,6 +1,9 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
 usage: python tools/compare.py [sf_dir] [name ...]
+
+Rows are compared as exact multisets (both sides round floats inside the
+query); set VOCALIS_COMPARE_DIGITS=5 to re-round for a looser look.
 """
 
 from __future__ import annotations
@@ -19,17 +22,24 @@ from vocalis.session import build_session  # noqa: E402
 from vocalis.sources.tables import TABLES  # noqa: E402
 
 
+DIGITS = os.environ.get("VOCALIS_COMPARE_DIGITS")
+
+
+def _r(v: float):
+    return round(v, int(DIGITS)) if DIGITS else v
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 5)
+        return _r(v)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
         return tuple(norm(x) for x in v)
     if hasattr(v, "__float__") and not isinstance(v, (int, bool)):
-        return round(float(v), 5)
+        return _r(float(v))
     return v
 
 
