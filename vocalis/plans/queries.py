@@ -956,3 +956,46 @@ def q_document_split(spark, sf):
     """The keyed md5 split on another table (documents by doc_id), per language."""
     d = SP.with_split(table(spark, sf, "documents", "doc_id", "lang", "n_chars"), "doc_id")
     return d.groupBy("split", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@register("wav_time_features", "D1 D3 D4 D5 D12 D13 G6", sql="""
+WITH e AS (
+  SELECT vec_id AS clip_id, CAST(embedding AS DOUBLE[]) AS emb,
+         CAST(floor((0.08::DOUBLE + label * 0.06::DOUBLE) * 22050) AS BIGINT) AS n
+  FROM embeddings
+),
+fr AS (SELECT clip_id, n, emb, unnest(range(0, n // 512 + 1)) AS i FROM e WHERE n >= 2048),
+val AS (
+  SELECT clip_id, n, i, m,
+         CASE WHEN i * 512 - 1024 + m BETWEEN 0 AND n - 1
+              THEN round_even(greatest(least(emb[((i * 512 - 1024 + m) % 64) + 1], 1.0), -1.0) * 32767, 0) / 32768
+         END AS v
+  FROM fr CROSS JOIN range(0, 2048) t(m)
+),
+lagged AS (SELECT *, lag(v) OVER (PARTITION BY clip_id, i ORDER BY m) AS vp FROM val),
+per AS (
+  SELECT clip_id, n, i,
+         count(*) FILTER (WHERE v IS NOT NULL AND vp IS NOT NULL AND (v < -1e-10) <> (vp < -1e-10)) / 2048.0 AS zc,
+         coalesce(sum(v * v), 0) AS ss,
+         (i * 512 - 1024 >= 0 AND i * 512 - 1024 + 2048 <= n) AS whole
+  FROM lagged GROUP BY clip_id, n, i
+),
+agg AS (
+  SELECT clip_id, avg(zc) AS zcr, avg(sqrt(ss / 2048.0)) AS rms,
+         sum(ss) FILTER (WHERE whole) AS e_tot, sum(ss * log2(ss)) FILTER (WHERE whole AND ss > 0) AS s_tot,
+         count(*) FILTER (WHERE whole) AS nf
+  FROM per GROUP BY clip_id
+)
+SELECT e.clip_id, CASE WHEN e.n < 2048 THEN 'too_short' ELSE 'ok' END AS status,
+       round(zcr, 6) AS zcr, round(rms, 6) AS rms,
+       round(CASE WHEN nf IS NULL OR nf = 0 THEN NULL
+                  WHEN e_tot > 0 THEN log2(e_tot) - coalesce(s_tot, 0) / e_tot ELSE 0 END, 6) AS entropy
+FROM e LEFT JOIN agg USING (clip_id)
+""", notes="SQL rebuilds the decoded 16-bit samples from embeddings; checks codec + kernel time features")
+def q_wav_time_features(spark, sf):
+    """ZCR, RMS and energy entropy of the encoded -> decoded WAV clips, as the
+    185-vector extraction computes them (kernel pass)."""
+    from ..operators import features as FT
+    clips = FT.with_status(decoded_clips(spark, sf))
+    f = FT.extract_features(clips, keep_parts=True)
+    return f.select("clip_id", "status", *[F.round(c, 6).alias(c) for c in ("zcr", "rms", "entropy")])
