@@ -350,12 +350,9 @@ FROM tones GROUP BY event_id
 def q_tone_signal(spark, sf):
     """One 10 ms tone per event at 20*value Hz, summarised natively."""
     ev = table(spark, sf, "events", "event_id", "value").withColumn("freq", F.col("value") * 20)
-    t = ev.select("event_id", "freq", SG.tone(F.col("freq"), _TONE_DUR).alias("y"))
-    yd = F.transform("y", lambda v: v.cast("double"))
-    return t.select(
-        "event_id", F.round("freq", 6).alias("freq"), F.size("y").cast("long").alias("n_samples"),
-        F.round(F.aggregate(yd, F.lit(0.0), lambda a, v: a + v * v), 6).alias("energy"),
-        F.size(F.filter("y", lambda v: v < 0)).cast("long").alias("n_negative"))
+    t = SG.tone_summary(ev, "event_id", "freq", _TONE_DUR)
+    return t.select("event_id", F.round("freq", 6).alias("freq"), "n_samples", F.round("energy", 6).alias("energy"),
+                    "n_negative")
 
 
 # --------------------------------------------------------------------------
