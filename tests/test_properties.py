@@ -1,32 +1,14 @@
-"""Property tests: the native filename parser (P8) against a plain-Python
-statement of the same ordered rules, on generated file names."""
-
-import re
+"""Property test: the native filename parser (P8) against the independent
+DuckDB form of the same ordered rules (the oracle SQL of ``filename_label``),
+on generated file names."""
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vocalis.functions import vocab
 from vocalis.operators import labels as LB
-
-
-def rules(path: str) -> str:
-    fn = path.split("/")[-1].lower()
-    stem = fn.replace(".wav", "")
-    if fn.startswith(vocab.FN_RAVDESS_PREFIX) or fn.count("-") >= vocab.FN_RAVDESS_MIN_DASHES:
-        parts = stem.split("-")
-        if len(parts) >= 3:
-            return vocab.FN_RAVDESS.get(parts[2], vocab.UNKNOWN)
-    if "_" in fn:
-        parts = stem.split("_")
-        if len(parts) == 3 and parts[2] in vocab.FN_TESS_WORDS:
-            return parts[2]
-        if len(parts) >= 3:
-            return vocab.FN_CREMA.get(parts[2].upper(), vocab.UNKNOWN)
-        letters = re.sub(r"[^a-z]", "", parts[-1])
-        return vocab.FN_SAVEE.get(letters, vocab.UNKNOWN)
-    return vocab.UNKNOWN
-
+from vocalis.plans import queries as Q
+from vocalis.plans import views as V
 
 TOKENS = ["03", "01", "05", "08", "09", "oaf", "back", "angry", "ps", "sad", "ANG", "Fea", "dc", "sa01",
           "su13", "a", "n07", "x2", "XX", "calm", ""]
@@ -38,10 +20,17 @@ names = st.builds(
 dirs = st.sampled_from(["", "Dataset/Tess/", "a/b-c_d/"])
 
 
+def duck_labels(paths):
+    values = ", ".join(f"({i}, '{p}')" for i, p in enumerate(paths))
+    sql = Q._FN_SQL.replace(V.CLIP_PATHS_SQL,
+                            f"WITH clip_paths AS (SELECT * FROM (VALUES {values}) t(event_id, path))")
+    return {int(r[0]): r[2] for r in duckdb.sql(sql).fetchall()}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(dirs, names), min_size=20, max_size=40))
-def test_filename_parser_matches_rules(spark, batch):
+def test_filename_parser_matches_sql_rules(spark, batch):
     paths = [d + n for d, n in batch]
     df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "id long, path string")
     got = {r["id"]: r["fn_label"] for r in LB.with_filename_label(df).collect()}
-    assert got == {i: rules(p) for i, p in enumerate(paths)}
+    assert got == duck_labels(paths)
