@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,8 +27,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # Audio rows are large: keep Arrow batches to a few dozen clips.
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():
@@ -40,14 +39,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a scratch folder is created and registered, so on a cluster
-    nothing is ever written to a machine-local temp folder.
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset and
+    the master is ``local`` a scratch folder is made and registered; on a
+    cluster an unset folder is an error, as executors don't share local disks.
     """
     base = spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         base = tempfile.mkdtemp(prefix="vocalis-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
@@ -86,9 +88,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
-    # Audio rows are large: 10,000 clips per Arrow batch (Spark's default)
-    # would be gigabytes per batch. Lower it unless the user chose a value.
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, "10000") == "10000":
-        spark.conf.set(key, "64")
     _SHIPPED.add(app)
