@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, packing, quality_rules, sharding, simhash_dedup, url_filters
+from . import (
+    ann, language_id, mixing, packing, quality_classifier, quality_rules, sharding, simhash_dedup, suffix_dedup,
+    url_filters,
+)
 from .common import cut, n_words_of, numbered, ready, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +38,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+@query
+def op2_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 @query
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
@@ -66,6 +75,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return docs.select("doc_id", n.alias("n_bytes"), (n - F.octet_length("kept")).alias("n_removed"),
+                       "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -76,6 +93,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op8_attention_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", bucket(F.col("doc_id"), 5) == 0)
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality").filter(bucket(F.col("doc_id"), 5) != 0)
+    model = quality_classifier.train(docs.select("doc_id", "text"), labels)
+    return quality_classifier.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn(
