@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, ready
+from .common import cut, n_words_of, numbered, ready
 
 #: Documents (or residuals) that one task rounds together at each level.
 FAN_IN = 128
@@ -148,3 +148,22 @@ def mix(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeat: fl
     full = sizes.join(copies, "uid").withColumn("_salt", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).cast("int"))
     same = full["source"].eqNullSafe(per["source"]) & (full["_salt"] == per["_salt"])
     return full.join(per, same).select(full["uid"], full["source"], "size", "source_size", "target", "copies")
+
+
+def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+                  weights: tuple[float, ...] = (5, 2, 1), max_repeat: float = 3, seed: int = 11) -> DataFrame:
+    """``docs`` with every row as often as the mixture takes it (0 to
+    ``max_repeat`` times). Rows that agree in key, source and text are one
+    item of their joint size and get the same number of copies each."""
+    ready(docs)
+    its = docs.withColumn("_h", F.xxhash64(text))
+    items = its.select(F.col(key).alias("_k"), F.col(source).cast("string").alias("source"), F.col("_h").alias("_th"),
+                       n_words_of(F.col(text)).alias("size"))
+    items = items.groupBy("_k", "source", "_th").agg(F.sum("size").alias("size"))
+    items = cut(numbered(items, ["_k", "size", "source", "_th"]))
+    taken = mix(items, weights, max_repeat, seed).filter("copies > 0").select("uid", "copies")
+    taken = items.join(taken, "uid").select("_k", F.col("source").alias("_s"), "_th", F.col("copies").alias("_c"))
+    same = (F.col(key).eqNullSafe(F.col("_k")) & F.col(source).cast("string").eqNullSafe(F.col("_s"))
+            & (F.col("_h") == F.col("_th")))
+    out = its.join(cut(taken).hint("shuffle_hash"), same)
+    return out.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_c")))).select(*docs.columns)

@@ -55,13 +55,13 @@ def base_features(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
     df = df.withColumn("_r", F.array_sort(at))
     steps = F.transform("_r", lambda x, k: F.least(
         F.coalesce(F.get(F.col("_r"), k + 1) - x, F.lit(window)), F.lit(window)).cast("long"))
-    return (
-        df.withColumn("n_repeat_words", F.coalesce(
-            F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")))
-        .withColumn("base_failed", (F.col("n_words") < 20)
-                    | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-        .drop("_w", "_l", "_h", "_p", "_r")
-    )
+    df = df.withColumn("n_repeat_words", F.coalesce(
+        F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    # A generator of one row: filters on the features stay above it, instead
+    # of being rewritten into repeated evaluations of the arrays below.
+    own = [c for c in docs.columns if c not in names]
+    return df.select(*own, F.inline(F.array(F.struct(*names[:-1], failed.alias("base_failed")))))
 
 
 def normal_line(line: Column) -> Column:

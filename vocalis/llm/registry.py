@@ -11,7 +11,7 @@ from . import (
     ann, language_id, mixing, packing, quality_classifier, quality_rules, sharding, simhash_dedup, suffix_dedup,
     url_filters,
 )
-from .common import cut, n_words_of, numbered, ready, table
+from .common import cut, n_words_of, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,9 +111,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    ready(docs)
-    rows = cut(simhash_dedup.fingerprints(docs).select("doc_id", "fp"))
-    per = simhash_dedup.labelled(rows, "doc_id", 3)
-    return rows.join(per, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select(F.col("key").alias("doc_id"),
+                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -243,29 +243,42 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     shingle: int = 3, reach: int = 3) -> DataFrame:
-    """``docs`` with ``fp`` and ``component_id``: the smallest ``key`` among
-    all documents that chains of fingerprints at ``reach`` bits or less lead
-    to, its own included.
+    """``key, h, fp, root, component_id`` for each row of ``docs``: ``h`` hashes
+    the text, ``root`` names the component and ``component_id`` is the
+    smallest ``key`` among all documents that chains of fingerprints at
+    ``reach`` bits or less lead to, its own included.
 
     Equal fingerprints count as one point, so a group of copies of any size is
     one row in the search. Null or wordless texts have fingerprint 0 and are
     linked like any other; null keys are passed over by the minimum (a group
-    of nulls alone gets null). An empty table gives an empty result; other
-    columns are kept, existing ``fp`` and ``component_id`` replaced.
+    of nulls alone gets null). Repeated rows stay. An empty table gives an
+    empty result. Texts are read once and not shuffled.
     """
     ready(docs)
-    kept = docs.drop("fp", "component_id")
-    rows = cut(fingerprints(kept.select(key, text), text, shingle).select(key, "fp"))
-    per = labelled(rows, key, reach)
-    full = fingerprints(kept, text, shingle)
-    return full.join(per, "fp").select(*kept.columns, "fp", "component_id")
+    plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = cut(fingerprints(plain, "text", shingle).select("key", "h", "fp"))
+    return rows.join(labelled(rows, "key", reach), "fp").select("key", "h", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text",
+             shingle: int = 3, reach: int = 3) -> DataFrame:
+    """``docs`` with one row of each component: that of the least key (nulls
+    last), among its rows the one of the least text hash. All columns stay."""
+    rows = near_duplicates(docs, key, text, shingle, reach)
+    order = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("k"), F.col("h").alias("h"))
+    best = cut(rows.groupBy("root").agg(F.min(order).alias("b")).select(
+        F.col("b.k").alias("_bk"), F.col("b.h").alias("_bh")))
+    its = docs.withColumn("_h", F.xxhash64(text))
+    its = its.join(best.hint("shuffle_hash"), its[key].eqNullSafe(best["_bk"]) & (its["_h"] == best["_bh"]))
+    # Repeated rows of a survivor meet in its own partition.
+    return its.dropDuplicates([key, "_h"]).drop("_h", "_bk", "_bh")
 
 
 def labelled(rows: DataFrame, key: str, reach: int) -> DataFrame:
-    """``fp, component_id`` for stored rows ``key, fp``."""
+    """``fp, root, component_id`` for stored rows ``key, fp``."""
     per = cut(rows.groupBy("fp").agg(F.min(key).alias("least")))
     found = components(links(per.select("fp"), reach))
     per = per.join(found, per["fp"] == found["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = per.groupBy("root").agg(F.min("least").alias("component_id"))
-    return per.join(ids, "root").select("fp", "component_id")
+    return per.join(ids, "root").select("fp", "root", "component_id")

@@ -115,14 +115,13 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInPandas(run, "h long, sh long, k1 long, k2 int, s long, e long")
 
 
-def _repeated(rows: list[bytes], many: list[bool], length: int) -> list[np.ndarray]:
-    """For the distinct segments of one anchor, joined into one text: see
-    ``repeated_strings``. Symbols: end 0, separator 1, bytes from 2."""
+def _joined(rows: list[bytes]) -> np.ndarray:
+    """Segments as one text: bytes from 2 on, 1 between, 0 at the end."""
     parts = []
     for r in rows:
         parts += [np.frombuffer(r, dtype=np.uint8).astype(np.int64) + 2, np.ones(1, dtype=np.int64)]
     parts[-1] = np.zeros(1, dtype=np.int64)
-    return parts
+    return np.concatenate(parts)
 
 
 def repeated_strings(groups: list[tuple[list[bytes], list[bool]]], length: int) -> list[list[np.ndarray]]:
@@ -134,7 +133,7 @@ def repeated_strings(groups: list[tuple[list[bytes], list[bool]]], length: int)
     first ``length`` bytes are neighbours."""
     masks = [[np.full(len(r) - length + 1, m) for r, m in zip(rows, many)] for rows, many in groups]
     todo = [g for g, (rows, many) in enumerate(groups) if not all(many)]
-    texts = [np.concatenate(_repeated(*groups[g], length)) for g in todo]
+    texts = [_joined(groups[g][0]) for g in todo]
     for g, text, sa in zip(todo, texts, suffix_arrays(texts)):
         rows = groups[g][0]
         sizes = np.array([len(r) + 1 for r in rows])
@@ -260,3 +259,17 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
         .withColumn("n_spans", F.coalesce("n_spans", F.lit(0)).cast("long"))
         .drop("_k1", "_k2", "_b", "ranges")
     )
+
+
+#: Whole UTF-8 characters in a run, bytes written as code points 0 to 255.
+_WHOLE = (r"(?s)((?:[\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|[\xE0-\xEF][\x80-\xBF]{2}"
+          r"|[\xF0-\xF4][\x80-\xBF]{3})++)|.")
+
+
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of ``text``; a character that
+    lost some of its bytes goes. Every row stays, an emptied text too."""
+    out = remove_repeats(docs, text, length, gram)
+    plain = F.regexp_replace(F.decode("kept", "ISO-8859-1"), _WHOLE, "$1")
+    mended = F.encode(plain, "ISO-8859-1").cast("string")
+    return out.withColumn(text, F.when(F.col("n_spans") > 0, mended).otherwise(F.col(text))).select(*docs.columns)
