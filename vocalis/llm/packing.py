@@ -104,11 +104,11 @@ def tokenizer(path: str) -> WordTokenizer:
 
 def tokenize(docs: DataFrame, vocabulary: str, text: str = "text", end: int = 0,
              window: int = 1024) -> DataFrame:
-    """``docs`` without the text, with ``ids`` (16-bit little-endian, ``end``
-    last; a null text is empty), ``n_ids``, ``rest`` (length after the full
-    windows), ``part`` (task) and ``nth`` (rank among the task's rows of the
+    """``docs`` without the text, with ``_ids`` (16-bit little-endian, ``end``
+    last; a null text is empty), ``_n_ids``, ``_rest`` (length after the full
+    windows), ``_part`` (task) and ``_nth`` (rank among the task's rows of the
     same rest). Store it before use: ranks hold for one run of the tasks."""
-    kept = [c for c in docs.columns if c not in (text, "ids", "n_ids", "rest", "part", "nth")]
+    kept = [c for c in docs.columns if c not in (text, "_ids", "_n_ids", "_rest", "_part", "_nth")]
     closing = np.array([end], dtype="<u2").tobytes()
     schema = docs.select(*kept, F.col(text).cast("string").alias(text)).schema
 
@@ -124,11 +124,11 @@ def tokenize(docs: DataFrame, vocabulary: str, text: str = "text", end: int = 0,
                 nth = pd.Series(rest).groupby(rest).cumcount().to_numpy() + seen[rest]
                 seen += np.bincount(rest, minlength=window)
                 out = some[kept].copy()
-                out["ids"], out["n_ids"], out["rest"], out["part"], out["nth"] = ids, n, rest, part, nth
+                out["_ids"], out["_n_ids"], out["_rest"], out["_part"], out["_nth"] = ids, n, rest, part, nth
                 yield out
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != text)
-    out_schema = (columns + ", " if columns else "") + "ids binary, n_ids long, rest long, part int, nth long"
+    out_schema = (columns + ", " if columns else "") + "_ids binary, _n_ids long, _rest long, _part int, _nth long"
     return docs.select(*kept, F.col(text).cast("string").alias(text)).mapInPandas(run, out_schema)
 
 
@@ -303,15 +303,14 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", end: int = 0,
     docs = docs.drop(*own)
     kept = [c for c in docs.columns if c != text]
     stored = cut(tokenize(docs, vocabulary, text, end, window))
-    per = cut(stored.groupBy("part", "rest").agg(
-        F.count("*").alias("n"), F.sum(F.floor(F.col("n_ids") / window)).alias("full")))
+    per = cut(stored.groupBy("_part", "_rest").agg(F.count("*").alias("n")))
     histogram = np.zeros(window, dtype=np.int64)
-    for r in per.groupBy("rest").agg(F.sum("n").alias("n")).collect():
-        histogram[r["rest"]] = r["n"]
+    for r in per.groupBy("_rest").agg(F.sum("n").alias("n")).collect():
+        histogram[r["_rest"]] = r["n"]
     held = spark.sparkContext.broadcast(pack_plan(histogram, window))  # bounded by the window
-    before = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per.select("part", "rest", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"))
-    rows = stored.join(offsets, ["part", "rest"])
+    before = Window.partitionBy("_rest").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per.select("_part", "_rest", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n0"))
+    rows = stored.join(offsets, ["_part", "_rest"])
 
     def cut_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place = held.value.place
@@ -321,7 +320,7 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", end: int = 0,
             for a in range(0, len(pdf), 256):
                 some = pdf.iloc[a:a + 256]
                 at, start, length, ids, sequence, offset = [], [], [], [], [], []
-                for i, (raw, rest, rank) in enumerate(zip(some["ids"], some["rest"], some["n0"] + some["nth"])):
+                for i, (raw, rest, rank) in enumerate(zip(some["_ids"], some["_rest"], some["_n0"] + some["_nth"])):
                     doc = np.frombuffer(raw, dtype="<u2").astype("<u4")
                     full = len(doc) - rest
                     for s in range(0, full, window):
@@ -335,10 +334,10 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", end: int = 0,
                         sequence.append(q), offset.append(o)
                 out = some[kept].iloc[at].copy()
                 out["start"], out["length"], out["ids"] = start, length, ids
-                out["doc_tokens"] = some["n_ids"].to_numpy()[at]
+                out["doc_tokens"] = some["_n_ids"].to_numpy()[at]
                 out["sequence_id"], out["offset"] = sequence, offset
                 yield out
 
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text]
     schema = ", ".join([*columns, "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"])
-    return rows.select(*kept, "ids", "n_ids", "rest", "nth", "n0").mapInPandas(cut_pieces, schema)
+    return rows.select(*kept, "_ids", "_n_ids", "_rest", "_nth", "_n0").mapInPandas(cut_pieces, schema)

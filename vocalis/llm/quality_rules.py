@@ -15,6 +15,8 @@ from .common import SPACE, ascii_lower, ready, words_of
 #: A line is template text of a host if more than this many of its distinct
 #: documents hold it, and more than this share of them.
 MIN_DOCS, MIN_SHARE = 20, 0.001
+#: ... whose other lines differ: at least so many kinds of company per text.
+MIN_SPREAD = 0.2
 #: A document is depleted if more than this share of its words goes.
 MAX_REMOVED = 0.5
 #: Words of a window whose repeats are counted.
@@ -71,9 +73,8 @@ def normal_line(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame, host: str, text: str) -> DataFrame:
-    """A row for each distinct normalised line with a word, of each distinct
-    (host, text): ``host, key, line`` (hash), ``words`` (over its repeats) and
-    ``others``: the least hash among the text's other lines."""
+    """A row for each normalised line with a word of each text: ``host, key, line`` (hashes), ``words`` and ``others``: the
+    least hash among the text's other lines, or the text's own."""
     per = (
         docs.select(F.col(host).cast("string").alias("host"), F.coalesce(F.col(text), F.lit("")).alias("t"))
         .withColumn("key", F.md5(F.col("t")))
@@ -86,16 +87,20 @@ def line_table(docs: DataFrame, host: str, text: str) -> DataFrame:
     per = per.withColumn("_m", F.slice(least, 1, 2)).select("host", "key", "_m", F.explode("l").alias("x"))
     others = F.when(F.get("_m", F.lit(0)) != F.col("x.h"), F.get("_m", F.lit(0))).otherwise(
         F.coalesce(F.get("_m", F.lit(1)), F.col("key")))
-    return per.select("host", "key", F.col("x.h").alias("line"), F.col("x.n").alias("words"), others.alias("others"))
+    return per.select("host", F.xxhash64("key").alias("key"), F.xxhash64("x.h").alias("line"),
+                      F.col("x.n").alias("words"), F.xxhash64(others).alias("others"))
 
 
 def template_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, min_share: float) -> DataFrame:
-    """``_th, _tl`` (host, line) of the lines above both limits. Documents that agree in
-    their ``others`` hash are copies of one text and count once, so a text
-    that was copied often doesn't turn into template text."""
+    """``_th, _tl`` (host, line) of the lines above the limits. Texts that
+    agree in their ``others`` hash count as one document, and there must be
+    MIN_SPREAD as many of those as texts: the lines of a text that was copied,
+    exactly or nearly, keep the same company and are no template text."""
     found = (
-        lines.select("host", "line", "others").distinct()
-        .groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") > min_docs)
+        lines.select("host", "line", "others", "key").distinct()
+        .groupBy("host", "line", "others").agg(F.count("*").alias("n"))
+        .groupBy("host", "line").agg(F.count("*").alias("docs"), F.sum("n").alias("texts"))
+        .filter((F.col("docs") > min_docs) & (F.col("docs") >= MIN_SPREAD * F.col("texts")))
     )
     per = hosts.select(F.col("host").alias("_h"), "host_docs")
     return (
@@ -121,7 +126,8 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text",
     ready(docs)
     names = ("n_removed_words", "depleted", "kept")
     lines = line_table(docs, host, text)
-    texts = docs.select(F.col(host).cast("string").alias("host"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("key"))
+    own_key = F.xxhash64(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    texts = docs.select(F.col(host).cast("string").alias("host"), own_key.alias("key"))
     hosts = texts.distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     template = template_lines(lines, hosts, min_docs, min_share)
     same = F.col("host").eqNullSafe(F.col("_th")) & (F.col("line") == F.col("_tl"))
@@ -131,7 +137,7 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text",
     # Each copy has given the text's lines once more.
     both = F.col("_host").eqNullSafe(F.col("_ch")) & (F.col("_key") == F.col("_ck"))
     removed = hits.join(copies, both).select("_host", "_key", (F.col("_w") / F.col("_c")).cast("long").alias("_gone"))
-    rows = base_features(docs.drop(*names), text).withColumn("_k", F.md5(F.coalesce(F.col(text), F.lit(""))))
+    rows = base_features(docs.drop(*names), text).withColumn("_k", own_key)
     its = F.col(host).cast("string").eqNullSafe(F.col("_host")) & (F.col("_k") == F.col("_key"))
     return (
         rows.join(removed.hint("shuffle_hash"), its, "left")

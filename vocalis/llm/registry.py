@@ -11,7 +11,7 @@ from . import (
     ann, language_id, mixing, packing, quality_classifier, quality_rules, sharding, simhash_dedup, suffix_dedup,
     url_filters,
 )
-from .common import cut, n_words_of, numbered, table
+from .common import LOWER, UPPER, cut, n_words_of, numbered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,6 +59,50 @@ URL_RULES = (
 )
 
 
+_SPACE = r"[\x20\x09-\x0D]+"
+#: The same rules over rows: windows, lines and their counts are joins here.
+ORACLES["op3_line_frequency"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS t, md5(coalesce(text, '')) AS key,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+win AS (SELECT rid, i, array_to_string(w[i:i+7], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT rid, sum(least(8, coalesce(nx - i, 8))) AS n
+  FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nx FROM rep) GROUP BY rid),
+base AS (
+  SELECT d.rid, doc_id, host, key, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN cov USING (rid)),
+once AS (
+  SELECT DISTINCT host, key, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(
+    regexp_replace(translate(x, '{UPPER}', '{LOWER}'), '[0-9]+', '0', 'g'), '{_SPACE}', ' ', 'g'))), lambda x: x <> '') AS n
+  FROM d),
+line AS (
+  SELECT host, key, md5(x) AS h, len(string_split(x, ' ')) AS words,
+    list_sort(list_distinct(list_transform(n, lambda y: md5(y)))) AS hs
+  FROM (SELECT host, key, n, unnest(n) AS x FROM once)),
+hosts AS (SELECT host, count(DISTINCT key) AS host_docs FROM d GROUP BY host),
+often AS (SELECT host, h, count(DISTINCT coalesce(CASE WHEN hs[1] <> h THEN hs[1] ELSE hs[2] END, key)) AS docs,
+    count(DISTINCT key) AS texts FROM line GROUP BY host, h),
+template AS (SELECT often.host, h FROM often JOIN hosts ON often.host IS NOT DISTINCT FROM hosts.host
+  WHERE docs > {quality_rules.MIN_DOCS} AND docs >= {quality_rules.MIN_SPREAD} * texts AND docs > {quality_rules.MIN_SHARE} * host_docs),
+gone AS (SELECT line.host, key, sum(words) AS n FROM line JOIN template
+  ON line.host IS NOT DISTINCT FROM template.host AND line.h = template.h GROUP BY line.host, key),
+final AS (SELECT base.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
+  FROM base LEFT JOIN gone ON base.host IS NOT DISTINCT FROM gone.host AND base.key = gone.key)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed_words,
+  n_removed_words > {quality_rules.MAX_REMOVED} * n_words AS depleted,
+  NOT base_failed AND NOT (n_removed_words > {quality_rules.MAX_REMOVED} * n_words) AS kept
+FROM final"""
+
+
 @query
 def op4_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filters.host_rule(*r) for r in URL_RULES]
@@ -66,6 +110,18 @@ def op4_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+ORACLES["op4_url_automaton"] = f"""
+WITH p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(verdict, rhost, rpath) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+m AS (SELECT page_id, rhost || rpath AS rule, r.verdict,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC) AS k
+  FROM p JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT p.page_id, host, path, rule, coalesce(m.verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN m ON p.page_id = m.page_id AND k = 1"""
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -93,6 +149,24 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: CRC32 from its rule: a table of 256 remainders, then byte after byte.
+ORACLES["op7_sharding"] = """
+WITH tbl AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT doc_id, CAST(size AS BIGINT) AS size, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(size - 16), lambda i: CAST(
+      16 * (instr('0123456789ABCDEF', h[2*i+1]) - 1) + instr('0123456789ABCDEF', h[2*i+2]) - 1 AS BIGINT))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM d, tbl),
+o AS (SELECT *, sum(size) OVER w AS upto, sum(size) OVER () AS total, row_number() OVER w AS n FROM c
+  WINDOW w AS (ORDER BY doc_id NULLS FIRST, size, text_crc32 ROWS UNBOUNDED PRECEDING)),
+s AS (SELECT *, least(39, ((2 * upto - size) * 40) // (2 * total)) AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  n - min(n) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s"""
+
+
 @query
 def op8_attention_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", bucket(F.col("doc_id"), 5) == 0)

@@ -44,10 +44,9 @@ def byte_shards(rows: DataFrame, order_by: list[str], size: str = "size",
         stored.withColumn("_upto", F.sum(bytes_).over(inside))
         .withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy("_at")))
         .join(F.broadcast(offsets), "_part")  # as many rows as range partitions
-        .withColumn("shard", F.when(F.col("_all") > 0, F.least(
-            F.lit(n_shards - 1), (middle.cast("decimal(38,0)") * n_shards
-                                                / (2 * F.col("_all"))).cast("long")))
-            .otherwise(F.lit(0)).cast("int"))
+        .withColumn("_mid", middle)
+        .withColumn("shard", F.expr(
+            f"if(_all > 0, least({n_shards - 1}, (_mid * {n_shards}) div (2 * _all)), 0)").cast("int"))
         .withColumn("_row", F.col("_n0") + F.col("_row") - 1)
     )
     placed = cut(placed.select(*own, "shard", "_row"))

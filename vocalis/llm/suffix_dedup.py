@@ -250,14 +250,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     ranges = repeated_ranges(docs, text, length, gram)
     its = docs.drop("kept", "n_spans").withColumn("_b", F.coalesce(F.col(text), F.lit("")).cast("binary"))
     its = its.withColumn("_k1", F.xxhash64("_b")).withColumn("_k2", F.hash("_b"))
-    ranges = cut(ranges).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "ranges", "n_spans")
-    kept = F.aggregate("ranges", F.lit("").cast("binary"), lambda b, r: F.concat(
+    ranges = cut(ranges).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),
+                                F.col("ranges").alias("_r"), F.col("n_spans").alias("_n"))
+    kept = F.aggregate("_r", F.lit("").cast("binary"), lambda b, r: F.concat(
         b, F.substring(F.col("_b"), (r["start"] + 1).cast("int"), r["size"].cast("int"))))
     return (
         its.join(ranges.hint("shuffle_hash"), ["_k1", "_k2"], "left")
-        .withColumn("kept", F.when(F.col("ranges").isNull(), F.col("_b")).otherwise(kept))
-        .withColumn("n_spans", F.coalesce("n_spans", F.lit(0)).cast("long"))
-        .drop("_k1", "_k2", "_b", "ranges")
+        .withColumn("kept", F.when(F.col("_r").isNull(), F.col("_b")).otherwise(kept))
+        .withColumn("n_spans", F.coalesce("_n", F.lit(0)).cast("long"))
+        .drop("_k1", "_k2", "_b", "_r", "_n")
     )
 
 
