@@ -23,7 +23,8 @@ from .common import cut, ready
 #: candidate goes if its scaled partial distance exceeds (1 + SLACK / sqrt(d))
 #: times the k-th best distance.
 COLUMNS, SLACK = 16, 2.1
-#: Share of the lists that a query scans. Vectors without structure need much.
+#: Of n lists a query scans this share and twice the root of n. Vectors
+#: without structure need that much; clustered ones far less.
 PROBE_SHARE = 0.5
 #: The lists' centroids are fitted on at most this many vectors and bytes.
 SAMPLE_ROWS, SAMPLE_BYTES = 16_384, 32_000_000
@@ -143,7 +144,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     ``queries`` are rows of ``vectors`` (by id). Vectors that are null, zero,
     of another length or with null or non-finite components take no part; nor
     do rows with a null id. Equal vectors are one index row with their k + 1
-    smallest ids, so a vector of any frequency costs one comparison; equal
+    smallest ids (an id of several vectors is listed once, at its best), so a
+    vector of any frequency costs one comparison; equal
     queries are searched once. A list of any size is dealt to several blocks.
     With fewer candidates than k all are returned; an empty table gives an
     empty result.
@@ -154,8 +156,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     rows, asked = plain(vectors), plain(queries)
     firsts = Window.partitionBy("vec").orderBy("id")
     distinct = cut(
-        rows.withColumn("_n", F.row_number().over(firsts)).filter(F.col("_n") <= k + 1)
-        .groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))  # k + 1 at most
+        rows.withColumn("_n", F.dense_rank().over(firsts)).filter(F.col("_n") <= k + 1)
+        .groupBy("vec").agg(F.sort_array(F.collect_set("id")).alias("ids"))  # k + 1 at most
         .withColumn("rep", F.get("ids", F.lit(0)))
     )
     n = distinct.count()
@@ -163,7 +165,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
         return spark.createDataFrame([], schema)
     dims = len(distinct.select("vec").first()["vec"])
     centers, turn = fit_lists(distinct, n, dims), rotation(dims)
-    probes = max(1, math.ceil(len(centers) * probe_share))
+    probes = math.ceil(len(centers) * probe_share + 2 * math.sqrt(len(centers)))
     held = spark.sparkContext.broadcast((centers, turn))  # sqrt(n) and dims rows of dims
 
     @F.pandas_udf("int")
@@ -206,6 +208,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         its.distinct().join(found, "rep").filter("vec_id <> query_id")
+        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

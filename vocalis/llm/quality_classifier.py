@@ -65,9 +65,11 @@ def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if len(first):
         # Each byte belongs to the word that it follows, so to its passage.
         to_word = np.cumsum(starts, dtype=np.int32)
-        to_word[ends[:-1]] = 0  # a text's first byte, if it is no word's, counts to none
+        text_of = np.repeat(np.arange(len(texts)), np.diff(np.r_[0, ends]))
+        to_word[np.r_[-1, owner][to_word] != text_of] = 0  # before a text's first word: to none
         pair = kind.copy()
         pair[1:] += KINDS * kind[:-1]
+        pair[0] += KINDS * _CLASS[ord("\n")]  # as after another text
         spot = np.r_[rows, passage][to_word] * (KINDS * KINDS) + pair
         counts = np.bincount(spot, minlength=(rows + 1) * KINDS * KINDS)[:rows * KINDS * KINDS]
         counts = counts.reshape(rows, KINDS * KINDS).astype(np.float32)

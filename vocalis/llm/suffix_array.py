@@ -17,6 +17,8 @@ import numpy as np
 
 #: Fewer texts than this of a size class are run one by one.
 IN_STEP = 48
+#: Symbols of the texts that run in step together: what caches hold.
+AT_ONCE = 400_000
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -177,18 +179,19 @@ def _in_step(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def suffix_arrays(texts: list[np.ndarray]) -> list[np.ndarray]:
     """The suffix array of each text, an integer array whose last symbol is
-    its unique least. Texts of like size (within a quarter) run in step."""
+    its unique least. Texts of like size (within two fifths) run in step."""
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(texts)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    kind = np.ceil(np.log(np.maximum(sizes, 1)) / np.log(1.25)).astype(np.int64)
+    kind = np.ceil(np.log(np.maximum(sizes, 1)) / np.log(1.4)).astype(np.int64)
     for k in np.unique(kind):
         rows = np.flatnonzero(kind == k)
         if len(rows) < IN_STEP:
             for r in rows:
                 out[r] = np.array(suffix_array(texts[r].tolist()), dtype=np.int64)
             continue
-        for a in range(0, len(rows), 4096):
-            some = rows[a:a + 4096]
+        step = max(IN_STEP, AT_ONCE // int(sizes[rows].max()))
+        for a in range(0, len(rows), step):
+            some = rows[a:a + step]
             flat = np.concatenate([texts[r] for r in some]).astype(np.int64)
             sa = _in_step(flat, sizes[some])
             starts = np.cumsum(sizes[some]) - sizes[some]

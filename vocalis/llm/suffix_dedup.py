@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from .common import cut, ready
 from .suffix_array import suffix_arrays
 
-LENGTH, GRAM = 200, 40
+LENGTH, GRAM = 200, 32
 #: Bytes hashed at once inside a task, and bytes of segments sorted in one.
-AT_ONCE, SORTED = 1_000_000, 2_000_000
+AT_ONCE, SORTED = 1_000_000, 4_000_000
 
 
 @lru_cache(maxsize=1)
@@ -39,8 +39,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def text_segments(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """For all texts: text number, anchor hash, segment hash, first string and
-    last string + 1, of each run of strings with one anchor.
+    """For all texts: text number, anchor hash, segment hash, first string,
+    last string + 1 and the anchor's place after the first, of each run of
+    strings with one anchor.
 
     Hashes are sums of bytes times powers, wrapped at 64 bits, so every hash
     is a difference of two prefix sums; the least hash of a string's grams
@@ -54,7 +55,7 @@ def text_segments(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarra
             shift.append(a)
     none = np.zeros(0, dtype=np.int64)
     if not pieces:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
     power, back = _powers(max(len(flat), 2 * AT_ONCE + 2 * length))
     total = np.zeros(len(flat) + 1, dtype=np.uint64)
@@ -85,13 +86,13 @@ def text_segments(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarra
     piece = np.searchsorted(starts, first, side="right") - 1
     move = (np.array(shift) - starts)[piece]
     return (np.array(owner)[piece], grams[anchor[first]].view(np.int64), whole.view(np.int64),
-            first + move, stop + move)
+            first + move, stop + move, anchor[first] - first)
 
 
 def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``h, sh, k1, k2, s, e``: anchor, segment, text and string range of all
-    texts ``k1, k2, text``. A task passes on a text it has seen twice no
-    further: two are enough to know that all of it repeats."""
+    """``h, sh, k1, k2, s, e, o``: anchor, segment, text, string range, place of
+    the anchor, of all texts ``k1, k2, text``. A task passes on a text it has
+    seen twice no further: two are enough to know that all of it repeats."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[tuple[int, int], int] = {}
@@ -107,46 +108,52 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         rows.append(a)
                         size += len(raw[a])
                     a += 1
-                of, h, sh, s, e = text_segments([bytes(raw[r]) for r in rows], length, gram)
+                of, h, sh, s, e, o = text_segments([bytes(raw[r]) for r in rows], length, gram)
                 at = np.array(rows, dtype=np.int64)[of] if len(of) else of
                 yield pd.DataFrame({"h": h, "sh": sh, "k1": k1[at], "k2": k2[at],
-                                    "s": s.astype(np.int64), "e": e.astype(np.int64)})
+                                    "s": s.astype(np.int64), "e": e.astype(np.int64), "o": o.astype(np.int32)})
 
-    return texts.mapInPandas(run, "h long, sh long, k1 long, k2 int, s long, e long")
+    return texts.mapInPandas(run, "h long, sh long, k1 long, k2 int, s long, e long, o int")
 
 
-def _joined(rows: list[bytes]) -> np.ndarray:
-    """Segments as one text: bytes from 2 on, 1 between, 0 at the end."""
-    parts = []
-    for r in rows:
-        parts += [np.frombuffer(r, dtype=np.uint8).astype(np.int64) + 2, np.ones(1, dtype=np.int64)]
-    parts[-1] = np.zeros(1, dtype=np.int64)
-    return np.concatenate(parts)
+def _joined(rows: list[bytes], at: list[int], length: int) -> tuple[np.ndarray, int]:
+    """An anchor's segments as one text, and the symbols of a string in it:
+    bytes from 2 on, 1 between segments, 0 at the end. What every string of
+    every segment holds (the anchor and more) is one symbol from 300 on."""
+    low = max(len(r) - length - o for r, o in zip(rows, at))  # last string's start
+    high = min(length - o for o in at)  # first string's end
+    parts, names = [], {}
+    for r, o in zip(rows, at):
+        block = names.setdefault(r[o + low:o + high], 300 + len(names))
+        parts += [np.frombuffer(r, dtype=np.uint8, count=o + low).astype(np.int64) + 2, [block],
+                  np.frombuffer(r, dtype=np.uint8, offset=o + high).astype(np.int64) + 2, [1]]
+    parts[-1] = [0]
+    return np.concatenate(parts).astype(np.int64), length - (high - low) + 1
 
 
-def repeated_strings(groups: list[tuple[list[bytes], list[bool]]], length: int) -> list[list[np.ndarray]]:
-    """For each anchor's distinct segments, and whether a segment occurs more
-    than once: a mask over its strings that occur anywhere else.
+def repeated_strings(groups: list[tuple[list[bytes], list[bool], list[int]]], length: int) -> list[list[np.ndarray]]:
+    """For each anchor's distinct segments, whether a segment occurs more than
+    once, and the anchor's places: a mask over each segment's strings that
+    occur anywhere else.
 
     All strings of a segment that occurs twice do. The others are found in the
-    suffix array of all the anchor's segments, where suffixes that share their
-    first ``length`` bytes are neighbours."""
-    masks = [[np.full(len(r) - length + 1, m) for r, m in zip(rows, many)] for rows, many in groups]
-    todo = [g for g, (rows, many) in enumerate(groups) if not all(many)]
-    texts = [_joined(groups[g][0]) for g in todo]
-    for g, text, sa in zip(todo, texts, suffix_arrays(texts)):
-        rows = groups[g][0]
-        sizes = np.array([len(r) + 1 for r in rows])
+    suffix array of all the anchor's segments, where suffixes that begin with
+    the same string are neighbours."""
+    masks = [[np.full(len(r) - length + 1, m) for r, m in zip(rows, many)] for rows, many, _ in groups]
+    todo = [g for g, (_, many, _) in enumerate(groups) if not all(many)]
+    texts = [_joined(groups[g][0], groups[g][2], length) for g in todo]
+    for g, (text, wide), sa in zip(todo, texts, suffix_arrays([t for t, _ in texts])):
+        sizes = np.array([len(m) + wide for m in masks[g]])
         starts = np.cumsum(sizes) - sizes
         valid = np.zeros(len(text), dtype=bool)
-        for s, m in zip(starts, sizes):
-            valid[s:s + m - length] = True
+        for s, m in zip(starts, masks[g]):
+            valid[s:s + len(m)] = True
         order = sa[valid[sa]]
         if len(order) < 2:
             continue
         a, b = order[:-1], order[1:]
-        near = np.flatnonzero((text[a + length - 1] == text[b + length - 1]) & (text[a] == text[b]))
-        view = np.lib.stride_tricks.sliding_window_view(text, length)
+        near = np.flatnonzero((text[a + wide - 1] == text[b + wide - 1]) & (text[a] == text[b]))
+        view = np.lib.stride_tricks.sliding_window_view(text, wide)
         hit = np.zeros(len(text), dtype=bool)
         for k in range(0, len(near), 4096):
             x, y = a[near[k:k + 4096]], b[near[k:k + 4096]]
@@ -178,34 +185,37 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
     found = cut(
         segments(keyed, length, gram).repartition("h")
         .withColumn("n", F.count("*").over(of_anchor)).filter("n > 1")
-        .groupBy("h", "sh", "k1", "k2", "s", "e").agg(F.count("*").alias("n"))
+        .groupBy("h", "sh", "k1", "k2", "s", "e", "o").agg(F.count("*").alias("n"))
     )
     # Each distinct segment is read in one text.
     distinct = cut(
-        found.groupBy("h", "sh").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "s", "e")).alias("r"))
+        found.groupBy("h", "sh").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "s", "e", "o")).alias("r"))
         .select("h", "sh", (F.col("n") > 1).alias("many"), "r.*")
     )
     size = distinct.agg(F.sum(F.col("e") - F.col("s") + length)).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SORTED))
-    wanted = distinct.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "sh", "many", "s", "e")).alias("list"))
+    fields = ("h", "sh", "many", "s", "e", "o")
+    wanted = distinct.groupBy("k1", "k2").agg(F.collect_list(F.struct(*fields)).alias("list"))
     texts = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for raw, rows in zip(pdf["text"], pdf["list"]):
-                yield pd.DataFrame({
-                    "h": [r["h"] for r in rows], "sh": [r["sh"] for r in rows], "many": [r["many"] for r in rows],
-                    "bytes": [bytes(raw[r["s"]:r["e"] + length - 1]) for r in rows]})
+            columns = {f: np.concatenate(pdf[f].tolist()) for f in fields}
+            raw, a = [], 0
+            for text, n in zip(pdf["text"], pdf["h"].map(len)):
+                raw += [text[s:e + length - 1] for s, e in zip(columns["s"][a:a + n].tolist(), columns["e"][a:a + n].tolist())]
+                a += n
+            yield pd.DataFrame({"h": columns["h"], "sh": columns["sh"], "many": columns["many"], "o": columns["o"], "bytes": raw})
 
-    cut_out = texts.join(wanted, ["k1", "k2"]).select("text", "list").mapInPandas(
-        read, "h long, sh long, many boolean, bytes binary")
+    cut_out = texts.join(wanted, ["k1", "k2"]).select("text", *[F.col(f"list.{f}").alias(f) for f in fields]).mapInPandas(
+        read, "h long, sh long, many boolean, o int, bytes binary")
 
     def sort(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "sh"], kind="stable")
         h = pdf["h"].to_numpy()
-        raw, many = [bytes(x) for x in pdf["bytes"]], pdf["many"].tolist()
+        raw, many, at = pdf["bytes"].tolist(), pdf["many"].tolist(), pdf["o"].tolist()
         edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]).tolist() + [len(h)]
-        groups = [(raw[a:b], many[a:b]) for a, b in zip(edge, edge[1:])]
+        groups = [(raw[a:b], many[a:b], at[a:b]) for a, b in zip(edge, edge[1:])]
         masks = [m for group in repeated_strings(groups, length) for m in group]
         return pd.DataFrame({"h": h, "sh": pdf["sh"].to_numpy(), "runs": [_runs(m) for m in masks]})
 
@@ -248,17 +258,17 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     stays empty.
     """
     ranges = repeated_ranges(docs, text, length, gram)
-    its = docs.drop("kept", "n_spans").withColumn("_b", F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    its = its.withColumn("_k1", F.xxhash64("_b")).withColumn("_k2", F.hash("_b"))
+    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    its = docs.drop("kept", "n_spans").withColumn("_k1", F.xxhash64(raw)).withColumn("_k2", F.hash(raw))
     ranges = cut(ranges).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),
                                 F.col("ranges").alias("_r"), F.col("n_spans").alias("_n"))
     kept = F.aggregate("_r", F.lit("").cast("binary"), lambda b, r: F.concat(
-        b, F.substring(F.col("_b"), (r["start"] + 1).cast("int"), r["size"].cast("int"))))
+        b, F.substring(raw, (r["start"] + 1).cast("int"), r["size"].cast("int"))))
     return (
         its.join(ranges.hint("shuffle_hash"), ["_k1", "_k2"], "left")
-        .withColumn("kept", F.when(F.col("_r").isNull(), F.col("_b")).otherwise(kept))
+        .withColumn("kept", F.when(F.col("_r").isNull(), raw).otherwise(kept))
         .withColumn("n_spans", F.coalesce("_n", F.lit(0)).cast("long"))
-        .drop("_k1", "_k2", "_b", "_r", "_n")
+        .drop("_k1", "_k2", "_r", "_n")
     )
 
 
