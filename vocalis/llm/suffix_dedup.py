@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, ready
@@ -180,16 +180,14 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
         .filter(F.octet_length("text") >= length)
         .select(F.xxhash64("text").alias("k1"), F.hash("text").alias("k2"), "text")
     )
-    # Anchors that occur once go; the rest is stored, equal rows as one.
-    of_anchor = Window.partitionBy("h")
-    found = cut(
-        segments(keyed, length, gram).repartition("h")
-        .withColumn("n", F.count("*").over(of_anchor)).filter("n > 1")
-        .groupBy("h", "sh", "k1", "k2", "s", "e", "o").agg(F.count("*").alias("n"))
-    )
+    # Anchors that occur once go. Counts combine before they are shuffled, and
+    # Spark splits a frequent anchor's rows in the join.
+    every = segments(keyed, length, gram)
+    often = cut(every.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
+    found = cut(every.join(often, "h"))
     # Each distinct segment is read in one text.
     distinct = cut(
-        found.groupBy("h", "sh").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "s", "e", "o")).alias("r"))
+        found.groupBy("h", "sh").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "s", "e", "o")).alias("r"))
         .select("h", "sh", (F.col("n") > 1).alias("many"), "r.*")
     )
     size = distinct.agg(F.sum(F.col("e") - F.col("s") + length)).first()[0] or 0
@@ -223,7 +221,9 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
         cut_out.withColumn("part", F.pmod(F.hash("h"), F.lit(parts))).repartition(parts, "part")
         .groupBy("part").applyInPandas(sort, "h long, sh long, runs array<int>").filter(F.size("runs") > 0)
     )
-    spans = found.join(hits, ["h", "sh"]).groupBy("k1", "k2").agg(F.collect_list(F.struct("s", "runs")).alias("list"))
+    # A text's own spans; those of its copies are equal.
+    spans = found.select("h", "sh", "k1", "k2", "s").join(cut(hits), ["h", "sh"]).groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("s", "runs")).alias("list"))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
