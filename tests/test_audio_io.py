@@ -66,7 +66,8 @@ def test_audio_stream(spark):
 
 def test_augment_invariants(spark):
     x = tone(440.0, 1.0)
-    rows = [(1, t, x.tolist()) for t in vocab.AUGMENTATIONS] + [(2, "time_stretch", x[:1000].tolist())]
+    rows = [(1, t, x.tolist()) for t in vocab.AUGMENTATIONS] + [(2, "time_stretch", x[:1000].tolist()),
+                                                                      (3, "pitch_shift", None)]
     df = spark.createDataFrame(rows, "clip_id long, augmentation string, samples array<float>")
     a = {(r["clip_id"], r["augmentation"]): r for r in AU.augment(df, "clip_id").collect()}
     n = len(x)
@@ -77,8 +78,10 @@ def test_augment_invariants(spark):
     assert abs(noise.std() - 0.005) < 5e-4
     again = {(r["clip_id"], r["augmentation"]): r for r in AU.augment(df, "clip_id").collect()}
     assert again[(1, "white_noise")]["samples"] == a[(1, "white_noise")]["samples"]   # repeatable
-    assert a[(2, "time_stretch")]["augment_status"] == "fallback"                      # G5
-    assert a[(2, "time_stretch")]["samples"] == rows[-1][2]
+    assert a[(2, "time_stretch")]["augment_status"] == "ok"              # shorter than a frame
+    assert abs(len(a[(2, "time_stretch")]["samples"]) - 1000 / 1.2) <= 1
+    assert a[(3, "pitch_shift")]["augment_status"] == "fallback"                       # G5
+    assert not a[(3, "pitch_shift")]["samples"]
 
 
 def test_pitch_shift_moves_frequency():
@@ -102,7 +105,7 @@ def test_model_catalogue(spark, tmp_path):
     rows = TR.model_catalogue(spark, str(tmp_path)).collect()
     assert [r["file_name"] for r in rows] == ["b_model", "voice_conv1d_model"]
     assert [r["num_classes"] for r in rows] == [3, 3]
-    assert rows[1]["name"] == "Voice Conv1d Model"
+    assert rows[1]["name"] == "Voice Conv1D Model"
 
 
 def test_label_plan_does_not_read_content(spark):
@@ -158,3 +161,45 @@ def test_stream_picks_up_only_new_files(spark):
     ST.run_to_table(audio.read_stream_audio(spark, root), transform, out + "/t", out + "/ckpt")
     rows = spark.read.parquet(out + "/t").collect()
     assert len(rows) == 5 and len({r["epoch"] for r in rows}) == 2
+
+
+def test_build_corpus_elsewhere_loses_nothing(tmp_path):
+    """From another folder, without the package on the workers' path: every
+    scanned clip, also one that is no WAV file, has a row for each version."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = tmp_path / "in"
+    root.mkdir()
+    _write_corpus(str(root))
+    next(root.rglob("1001_DFA_SAD_XX.wav")).with_name("1002_DFA_ANG_XX.wav").write_bytes(b"no sound at all")
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from vocalis.session import build_session
+from vocalis.plans.corpus import build_corpus
+spark = build_session("local[2]", shuffle_partitions=2)
+for store in (False, True):
+    rows = build_corpus(spark, {str(root)!r}, {str(tmp_path)!r} + "/out" + str(store), store_audio=store).collect()
+    by = {{}}
+    for r in rows:
+        by.setdefault(r["path"].split("/")[-1], []).append(r)
+    assert len(by) == 5, sorted(by)
+    for name, its in by.items():
+        assert len(its) == (4 if its[0]["split"] == "train" else 1), name
+        assert all(len(r["features"]) == 185 for r in its)
+    assert all(r["status"] == "decode_error" and not any(r["features"]) for r in by["1002_DFA_ANG_XX.wav"])
+print("kept all")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=300)
+    assert "kept all" in out.stdout, out.stderr[-2000:]
+
+
+def test_title_case(spark):
+    from vocalis.functions.labels import title_case
+    words = ["voice conv1d model", "o'brien's", "x-ray 3d", "ÉTÉ à", "", None, "a1b2 c"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", title_case(F.col("w")).alias("t")).collect()
+    for r in got:
+        assert r["t"] == (None if r["w"] is None else r["w"].title())

@@ -60,3 +60,10 @@ def filename_label(path: Column) -> Column:
               F.coalesce(F.try_element_at(_map_lit(vocab.FN_SAVEE), last_letters), unknown))
         .otherwise(unknown)
     )
+
+
+def title_case(c: Column) -> Column:
+    """First letter of every run of letters upper, the others lower case (a
+    run also starts after a digit or a sign, which ``initcap`` doesn't see)."""
+    apart = F.regexp_replace(c, "(?<=[^\\p{L}\\s])(?=\\p{L})", "\u0001 ")
+    return F.replace(F.initcap(apart), F.lit("\u0001 "), F.lit(""))

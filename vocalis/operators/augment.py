@@ -1,7 +1,6 @@
 """Audio augmentation over the fanned-out clip table.
 
-Rows tagged 'original' pass through without leaving the JVM. The other tags
-go through one Arrow-batched kernel; the noise seed is ``xxhash64(key)``
+All tags go through one Arrow-batched kernel ('original' comes back as it is); the noise seed is ``xxhash64(key)``
 computed natively, so a re-run (or a recomputed partition after a lost
 executor) yields the same samples. A kernel failure returns the original
 samples under the variant's tag (the reference's fallback) and says so in
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dsp, vocab
+from ..session import ship_package
 
 AUG_TYPE = T.StructType([
     T.StructField("samples", T.ArrayType(T.FloatType(), False)),
@@ -27,8 +27,10 @@ AUG_TYPE = T.StructType([
 def _one(x, tag: str, seed: int):
     x = np.asarray(x if x is not None else [], dtype=np.float64)
     try:
-        if len(x) < vocab.N_FFT and tag in ("pitch_shift", "time_stretch"):
-            raise ValueError("shorter than one frame")
+        if tag == "original":
+            return x.astype(np.float32), "ok"
+        if not len(x):
+            raise ValueError("no samples")  # undecoded: kept as it is under the tag
         if tag == "white_noise":
             y = dsp.white_noise(x, vocab.NOISE_FACTOR, seed)
         elif tag == "pitch_shift":
@@ -50,14 +52,13 @@ def augment_udf(samples: pd.Series, tag: pd.Series, seed: pd.Series) -> pd.DataF
 
 def augment(fanned: DataFrame, key: str, samples: str = "samples", quantize: bool = False) -> DataFrame:
     """fanned(key, augmentation, samples, ...) -> same rows, samples replaced
-    for variants, plus ``augment_status``."""
-    orig = fanned.filter(F.col("augmentation") == "original").withColumn("augment_status", F.lit("ok"))
-    var = fanned.filter(F.col("augmentation") != "original")
+    for variants, plus ``augment_status``. Every row stays: a clip without
+    samples keeps its tag and says ``fallback``. One pass over the audio."""
+    ship_package(fanned.sparkSession)
     seed = F.xxhash64(F.col(key).cast("string"), F.col("augmentation"))
-    var = var.withColumn("_a", augment_udf(F.col(samples), F.col("augmentation"), seed))
-    var = (var.withColumn(samples, F.col("_a.samples")).withColumn("augment_status", F.col("_a.status"))
+    out = fanned.withColumn("_a", augment_udf(F.col(samples), F.col("augmentation"), seed))
+    out = (out.withColumn(samples, F.col("_a.samples")).withColumn("augment_status", F.col("_a.status"))
               .drop("_a"))
-    out = orig.unionByName(var)
     if quantize:
         # The 16-bit PCM grid a re-encoded WAV would hold
         out = out.withColumn(samples, F.transform(samples, lambda v: (F.round(

@@ -44,14 +44,13 @@ def variant_pairs(fanned: DataFrame, key: str, value: str, values: list[str] | N
     return fanned.groupBy(key).agg(*aggs)
 
 
-def variant_sample(fanned: DataFrame, order_cols: list[str], keep: list[str]) -> DataFrame:
-    """One deterministic row per augmentation (smallest ``order_cols``),
-    via min over a struct: an aggregate with a map-side partial, no window.
-    (Comparing whole strings needs a sort-based aggregate; the result is one
-    row per tag, so only the map-side partials sort.)"""
+def variant_sample(fanned: DataFrame, order_cols: list[str], keep: list[str], key: str) -> DataFrame:
+    """The four versions of one clip: that of the smallest ``order_cols``
+    among the train rows, chosen once (an aggregate with a map-side partial)."""
     cols = list(dict.fromkeys(order_cols + keep))
-    out = fanned.groupBy("augmentation").agg(F.min(F.struct(*cols)).alias("m"))
-    return out.select("augmentation", *[F.col("m." + c).alias(c) for c in cols])
+    train = fanned.filter(F.col("split") == "train")
+    one = train.agg(F.min(F.struct(*order_cols)).alias("m")).select(F.col("m." + key).alias("_key"))
+    return train.join(F.broadcast(one), F.col(key) == F.col("_key")).select("augmentation", *cols)
 
 
 def fanout_check(fanned: DataFrame, key: str) -> DataFrame:

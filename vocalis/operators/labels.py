@@ -70,11 +70,11 @@ def with_filename_label(df: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def with_display(df: DataFrame, label_col: str = "label", prefix: str = "") -> DataFrame:
-    """Label -> (French text, emoji), default (initcap(label), '❓')."""
+    """Label -> (French text, emoji), default (title case, '❓')."""
     spark = df.sparkSession
     d = display_table(spark).select(
         F.col("label").alias("_dlabel"), F.col("label_fr").alias("_dfr"), F.col("emoji").alias("_demoji"))
     out = df.join(F.broadcast(d), F.col(label_col) == F.col("_dlabel"), "left")
-    return (out.withColumn(prefix + "label_fr", F.coalesce(F.col("_dfr"), F.initcap(F.col(label_col))))
+    return (out.withColumn(prefix + "label_fr", F.coalesce(F.col("_dfr"), L.title_case(F.col(label_col))))
                .withColumn(prefix + "emoji", F.coalesce(F.col("_demoji"), F.lit(vocab.DISPLAY_DEFAULT_EMOJI)))
                .drop("_dlabel", "_dfr", "_demoji"))

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ from . import split as SP
 
 EPS = 1e-15
 MAX_CLASSES = 100_000          # bound on labels / centres brought to the driver
+#: Numbers of one distance block inside a task.
+BLOCK_VALUES = 2_000_000
 MAX_DIMS = 1_000_000           # bound on feature dimensions
 
 
@@ -61,13 +66,16 @@ def label_vocabulary(df: DataFrame, label_col: str = "label") -> DataFrame:
              .withColumn("k", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))))
 
 
-def with_index(df: DataFrame, vocab: DataFrame, label_col: str = "label") -> DataFrame:
-    """M4: encode labels; unseen labels raise (inner join would drop them
-    silently, so rows without an index fail the query). The vocabulary is
-    broadcast only after its size is checked (at most MAX_CLASSES rows)."""
+def with_index(df: DataFrame, vocab: DataFrame, label_col: str = "label", unseen: str = "raise") -> DataFrame:
+    """M4: encode labels by a vocabulary fitted on train rows. A label outside
+    it raises or, with ``unseen="status"``, keeps its row with a null index
+    and ``status`` 'unseen_label' (else 'ok'). The vocabulary is broadcast
+    only after its size is checked (at most MAX_CLASSES rows)."""
     rows = collect_bounded(vocab.select(label_col, "idx", "k"), MAX_CLASSES, "label vocabulary")
     small = df.sparkSession.createDataFrame(rows, vocab.select(label_col, "idx", "k").schema)
     out = df.join(F.broadcast(small), label_col, "left")
+    if unseen == "status":
+        return out.withColumn("status", F.when(F.col("idx").isNull(), "unseen_label").otherwise("ok"))
     return out.withColumn("idx", F.when(F.col("idx").isNull(),
                                         F.raise_error(F.concat(F.lit("unseen label: "),
                                                                F.col(label_col).cast("string"))))
@@ -82,13 +90,18 @@ def one_hot(idx: Column, k: Column) -> Column:
 # ---------------------------------------------------------------- standardiser (A10, M2, M3)
 
 def dim_stats(df: DataFrame, vec_col: str = "features") -> DataFrame:
-    """Per-dimension mean and population std; zero std -> divisor 1.
-    posexplode + groupBy(dim): the partial aggregate leaves one row per
-    dimension per task before the shuffle."""
-    long = df.select(F.posexplode(vec_col).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-    st = long.groupBy("dim").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
-    return (st.withColumn("dim", F.col("dim").cast("long"))
-              .withColumn("scale", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std"))))
+    """Per-dimension mean and population std; zero std -> divisor 1. One
+    vector aggregate: a task adds up its rows' vectors before the shuffle."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    m = df.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("v")).agg(
+        Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("m")).filter("m.count > 0")
+    n = F.col("m.count").cast("double")
+    pop = F.sqrt(F.when(n > 1, F.col("x.variance") * (n - 1) / n).otherwise(F.lit(0.0)))
+    both = F.arrays_zip(vector_to_array("m.mean").alias("mean"), vector_to_array("m.variance").alias("variance"))
+    st = m.select("m", F.posexplode(both).alias("dim", "x")).select(
+        F.col("dim").cast("long").alias("dim"), F.col("x.mean").alias("mean"), pop.alias("std"))
+    return st.withColumn("scale", F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")))
 
 
 @dataclass
@@ -168,30 +181,34 @@ class NearestCentroid:
         rows = sorted(spark.read.parquet(path).collect(), key=lambda r: r["label"])   # k rows
         return cls([r["label"] for r in rows], [list(r["centre"]) for r in rows])
 
-    def distances_sql(self, vec: str) -> str:
-        """array<double> of squared distances to each centre, as SQL text
-        (one expression; built with one call to the JVM)."""
-        parts = []
-        for c in self.centres:
-            lit = "array(" + ", ".join(_dbl(v) for v in c) + ")"
-            parts.append(f"aggregate(zip_with({vec}, {lit}, (a, b) -> (CAST(a AS DOUBLE) - b) * (CAST(a AS DOUBLE) - b)),"
-                         f" 0D, (s, t) -> s + t)")
-        return "array(" + ", ".join(parts) + ")"
-
     def transform(self, df: DataFrame, vec_col: str = "features") -> DataFrame:
         """Adds pred, dist, probs (softmax of -distance, in class order), classes.
-        Each intermediate array is its own projection so no lambda re-evaluates
-        the distance computation per element."""
+
+        Rows meet the centres in Arrow batches as matrices, in blocks of at
+        most BLOCK_VALUES numbers; the centres (k x d, bounded by MAX_CLASSES
+        and MAX_DIMS) are broadcast once."""
+        held = df.sparkSession.sparkContext.broadcast(np.array(self.centres, dtype=np.float64))
+
+        @F.pandas_udf("best int, d double, probs array<double>")
+        def score(rows: pd.Series) -> pd.DataFrame:
+            centres = held.value
+            step = max(1, BLOCK_VALUES // max(1, centres.size))
+            best, low, probs = [], [], []
+            for a in range(0, len(rows), step):
+                x = np.array([np.asarray(r, dtype=np.float64) for r in rows.iloc[a:a + step]])
+                gap = x[:, None, :] - centres[None, :, :]
+                d = np.einsum("nkd,nkd->nk", gap, gap)
+                # argmin on distance rounded to 9 places, ties -> smallest class
+                best += np.argmin(np.round(d, 9), axis=1).tolist()
+                low += np.round(d.min(axis=1), 9).tolist()
+                e = np.exp(d.min(axis=1, keepdims=True) - d)
+                probs += list(e / e.sum(axis=1, keepdims=True))
+            return pd.DataFrame({"best": best, "d": low, "probs": probs})
+
         classes = F.array(*[F.lit(c) for c in self.classes])
-        out = df.selectExpr("*", f"{self.distances_sql(vec_col)} AS _d")
-        # argmin on distance rounded to 9 places, ties -> smallest class
-        out = out.withColumn("classes", classes)
-        out = out.selectExpr("*", "array_min(zip_with(_d, classes, (a, c) -> named_struct('d', round(a, 9), 'c', c)))"
-                                  " AS _best", "array_min(_d) AS _mn")
-        out = out.selectExpr("*", "transform(_d, a -> exp(_mn - a)) AS _ex")
-        out = out.selectExpr("*", "aggregate(_ex, 0D, (s, t) -> s + t) AS _tot")
-        out = out.selectExpr("*", "_best.c AS pred", "_best.d AS dist", "transform(_ex, e -> e / _tot) AS probs")
-        return out.drop("_d", "_best", "_mn", "_ex", "_tot")
+        out = df.withColumn("classes", classes).withColumn("_s", score(F.col(vec_col)))
+        return (out.withColumn("pred", F.get("classes", F.col("_s.best"))).withColumn("dist", F.col("_s.d"))
+                   .withColumn("probs", F.col("_s.probs")).drop("_s"))
 
 
 def log_loss(probs: Column, classes: Column, label: Column) -> Column:

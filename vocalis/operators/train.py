@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.labels import title_case
 from . import learn as LN
 
 
@@ -86,13 +87,17 @@ def save_model(model, path: str) -> None:
 MAX_MODELS = 10_000
 
 
+def load_model(path: str, model_class: str):
+    """A saved model by the class that its metadata names."""
+    import importlib
+    mod, cls = model_class.rsplit(".", 1)
+    return getattr(importlib.import_module(mod.replace("org.apache.spark.ml", "pyspark.ml")), cls).load(path)
+
+
 def _num_classes(root: str, file_name: str, model_class: str) -> int:
     """Output class count of a saved model; 0 when it cannot be loaded."""
-    import importlib
     try:
-        mod, cls = model_class.rsplit(".", 1)
-        py_mod = importlib.import_module(mod.replace("org.apache.spark.ml", "pyspark.ml"))
-        return int(getattr(py_mod, cls).load(f"{root.rstrip('/')}/{file_name}").numClasses)
+        return int(load_model(f"{root.rstrip('/')}/{file_name}", model_class).numClasses)
     except Exception:  # noqa: BLE001 - unloadable models are listed with 0
         return 0
 
@@ -113,5 +118,5 @@ def model_catalogue(spark: SparkSession, root: str) -> DataFrame:
               for r in rows]
     out = spark.createDataFrame(counts, "file_name string, model_class string, num_classes int")
     stem = F.regexp_replace(F.col("file_name"), r"\.[^.]*$", "")          # drop a file extension
-    name = F.initcap(F.replace(stem, F.lit("_"), F.lit(" ")))
+    name = title_case(F.replace(stem, F.lit("_"), F.lit(" ")))
     return out.withColumn("name", name).orderBy("file_name")

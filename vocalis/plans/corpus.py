@@ -10,8 +10,6 @@ audio is decoded once into a stored clip table that every later stage reads.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +18,20 @@ from ..operators import fanout as FO
 from ..operators import features as FT
 from ..operators import labels as LB
 from ..operators import split as SP
-from ..session import shared_dir
+from ..session import ship_package
 from ..sources import audio, sinks
 
 
-def build_corpus(spark: SparkSession, root: str, out: str, glob: str = "*.wav") -> DataFrame:
+def build_corpus(spark: SparkSession, root: str, out: str, glob: str = "*.wav",
+                 store_audio: bool = False) -> DataFrame:
     """Build ``out/features`` (and ``out/manifest``) from the audio under
     ``root``; returns the stored feature table.
 
     Columns: path, label, dataset, split, augmentation, augment_status,
-    status, features array<float>[185]."""
+    status, features array<float>[185]. Its rows are the sum of all clips'
+    versions, failed clips included. ``store_audio`` also writes the augmented
+    samples (``out/augmented``) and lets very long recordings be split."""
+    ship_package(spark)
     meta = audio.scan_audio(spark, root, glob).select("path", "length", "modificationTime")
     labelled = SP.with_split(LB.label_from_path(meta), "path")                 # metadata only
     sinks.write_manifest(labelled, f"{out}/manifest")
@@ -38,15 +40,20 @@ def build_corpus(spark: SparkSession, root: str, out: str, glob: str = "*.wav")
     # in place (broadcast 29-row lookup) and never shuffled.
     raw = audio.scan_audio(spark, root, glob).select("path", "content")
     clips = audio.decode(SP.with_split(LB.label_from_path(raw), "path"))
-    clips = clips.select("path", "label", "dataset", "split", "samples", "decode_status",
-                         F.size("samples").cast("long").alias("n_samples"))
-    clips = sinks.materialize(clips, shared_dir(spark, "corpus-clips-" + uuid.uuid4().hex))
-    # augment once and store (the reference's augmented table); features read it
-    versions = AU.augment(FO.fan_out(clips.filter(F.col("decode_status") == "ok")), "path")
-    versions = versions.withColumn("vid", F.concat_ws("|", "path", "augmentation")) \
-                       .withColumn("n_samples", F.size("samples").cast("long"))
-    versions = sinks.materialize(versions, shared_dir(spark, "corpus-versions-" + uuid.uuid4().hex))
-    meta = ["path", "label", "dataset", "split", "augmentation", "augment_status"]
-    table = FT.extract_features(FT.with_status(versions), key="vid", carry=meta).drop("vid")
+    # Every clip stays: one that can't be decoded keeps its tags, a status and
+    # the zero vector. Decode, fan-out, augmentation and features are one
+    # narrow stage; only the features are stored.
+    versions = AU.augment(FO.fan_out(clips.select("path", "label", "dataset", "split", "samples", "decode_status")), "path")
+    if store_audio:
+        keep = versions.select("path", "label", "dataset", "split", "augmentation", "augment_status",
+                               "decode_status", "samples")
+        sinks.write_partitioned(keep, f"{out}/augmented", "split", "augmentation")
+        versions = spark.read.parquet(f"{out}/augmented")
+    versions = versions.withColumn("vid", F.concat_ws("|", "path", "augmentation"))
+    carry = ["path", "label", "dataset", "split", "augmentation", "augment_status"]
+    # Long recordings are split over tasks only from stored audio: the check
+    # for them must not decode the corpus a second time.
+    table = FT.extract_features(FT.with_status(versions), key="vid", carry=carry,
+                                long_clip_samples=FT.LONG_CLIP_SAMPLES if store_audio else None).drop("vid")
     sinks.write_partitioned(table, f"{out}/features", "split", "augmentation")
     return spark.read.parquet(f"{out}/features")

@@ -245,13 +245,11 @@ def q_variant_pairs(spark, sf):
 
 
 @register("variant_sample", "P7", sql=_FAN_SQL + """
-SELECT augmentation, path, event_id, label FROM (
-  SELECT augmentation, path, event_id, label,
-         row_number() OVER (PARTITION BY augmentation ORDER BY path, event_id) AS rn
-  FROM fanned) WHERE rn = 1
+SELECT augmentation, path, event_id, label FROM fanned
+WHERE split = 'train' AND event_id = (SELECT event_id FROM fanned WHERE split = 'train' ORDER BY path, event_id LIMIT 1)
 """)
 def q_variant_sample(spark, sf):
-    return FO.variant_sample(_fanned(spark, sf), ["path", "event_id"], ["label"])
+    return FO.variant_sample(_fanned(spark, sf), ["path", "event_id"], ["label"], "event_id")
 
 
 # --------------------------------------------------------------------------
@@ -505,16 +503,33 @@ def q_label_vocabulary(spark, sf):
     return LN.label_vocabulary(V.feature_vectors(spark, sf))
 
 
-@register("one_hot", "M4 M5", sql="""
+_TRAIN = "('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 80"
+
+
+@register("unseen_labels", "M4", sql=f"""
+WITH v AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS idx
+           FROM (SELECT DISTINCT label FROM embeddings WHERE {_TRAIN} AND label < 7))
+SELECT e.vec_id, e.label, v.idx, CASE WHEN v.idx IS NULL THEN 'unseen_label' ELSE 'ok' END AS status
+FROM embeddings e LEFT JOIN v USING (label)
+""")
+def q_unseen_labels(spark, sf):
+    """A vocabulary fitted on the train rows of seven labels, applied to all:
+    the others come out with a status, not an error or a lost row."""
+    f = _features(spark, sf)
+    voc = LN.label_vocabulary(f.filter((F.col("split") == "train") & (F.col("label") < 7)))
+    return LN.with_index(f, voc, unseen="status").select("vec_id", "label", "idx", "status")
+
+
+@register("one_hot", "M4 M5", sql=f"""
 WITH v AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS idx, count(*) OVER () AS k
-           FROM (SELECT DISTINCT label FROM embeddings))
+           FROM (SELECT DISTINCT label FROM embeddings WHERE {_TRAIN}))
 SELECT e.vec_id, e.label, v.idx,
        array_to_string(list_transform(range(0, v.k), lambda i: CASE WHEN i = v.idx THEN 1 ELSE 0 END), ',') AS one_hot
 FROM embeddings e JOIN v USING (label)
 """)
 def q_one_hot(spark, sf):
-    f = V.feature_vectors(spark, sf)
-    voc = LN.label_vocabulary(f)
+    f = _features(spark, sf)
+    voc = LN.label_vocabulary(f.filter(F.col("split") == "train"))
     enc = LN.with_index(f, voc)
     return enc.select("vec_id", "label", "idx",
                       F.array_join(LN.one_hot(F.col("idx"), F.col("k")).cast("array<string>"), ",").alias("one_hot"))
@@ -743,11 +758,8 @@ fan AS (SELECT b.*, t.augmentation FROM base b,
           unnest(CASE WHEN split = 'train' THEN ['original','pitch_shift','white_noise','time_stretch']
                       ELSE ['original'] END) AS t(augmentation)),
 out AS (
-  SELECT clip_id, split, augmentation, n AS n_original,
-         CASE WHEN augmentation IN ('pitch_shift', 'time_stretch') AND n < 2048 THEN 'fallback' ELSE 'ok' END
-           AS augment_status,
-         CASE WHEN augmentation = 'time_stretch' AND n >= 2048 THEN CAST(round_even(n / 1.2, 0) AS BIGINT) ELSE n END
-           AS n_samples
+  SELECT clip_id, split, augmentation, n AS n_original, 'ok' AS augment_status,
+         CASE WHEN augmentation = 'time_stretch' THEN CAST(round_even(n / 1.2, 0) AS BIGINT) ELSE n END AS n_samples
   FROM fan
 )
 SELECT clip_id, split, augmentation, augment_status, n_samples, round(n_samples / 22050, 6) AS duration_s, n_original
@@ -757,15 +769,11 @@ def q_audio_augment(spark, sf):
     """Decoded clips -> md5 split -> fan-out -> augmentation kernels; per
     version: length, duration and status, beside the original's length."""
     from ..operators import augment as AU
-    clips = decoded_clips(spark, sf).filter(F.col("decode_status") == "ok")
-    fan = FO.fan_out(SP.with_split(clips, "clip_id"))
-    aug = AU.augment(fan, "clip_id")
-    out = aug.select("clip_id", "split", "augmentation", "augment_status",
-                     F.size("samples").cast("long").alias("n_samples"),
-                     F.round(F.size("samples") / F.lit(V.SIGNAL_RATE), 6).alias("duration_s"))
-    orig = out.filter(F.col("augmentation") == "original").select(
-        "clip_id", F.col("n_samples").alias("n_original"))
-    return out.join(orig, "clip_id", "left")
+    clips = decoded_clips(spark, sf).withColumnRenamed("n_samples", "n_original")
+    aug = AU.augment(FO.fan_out(SP.with_split(clips, "clip_id")), "clip_id")
+    return aug.select("clip_id", "split", "augmentation", "augment_status",
+                      F.size("samples").cast("long").alias("n_samples"),
+                      F.round(F.size("samples") / F.lit(V.SIGNAL_RATE), 6).alias("duration_s"), "n_original")
 
 
 @register("wav_status", "S1 D1 D13 D14 P10", sql=_WAV_CTE + """
@@ -777,9 +785,44 @@ def q_wav_status(spark, sf):
     """Per clip: decode/feature status, decoded length and vector length."""
     from ..operators import features as FT
     clips = FT.with_status(decoded_clips(spark, sf))
-    f = FT.extract_features(clips)
-    n = clips.select("clip_id", F.size("samples").cast("long").alias("n_samples"))
-    return f.select("clip_id", "status", F.size("features").cast("long").alias("n_features")).join(n, "clip_id")
+    f = FT.extract_features(clips, carry=["n_samples"])
+    return f.select("clip_id", "status", F.size("features").cast("long").alias("n_features"), "n_samples")
+
+
+@register("failed_clips", "D1 D12 D13 P10 G4 G5 S1", sql=_WAV_CTE + """,
+bad AS (SELECT clip_id, split, CASE clip_id % 10 WHEN 3 THEN 'decode_error' WHEN 4 THEN 'empty' WHEN 5 THEN 'empty'
+          ELSE 'ok' END AS decode_status, n FROM base),
+fan AS (SELECT b.*, t.augmentation FROM bad b,
+          unnest(CASE WHEN split = 'train' THEN ['original','pitch_shift','white_noise','time_stretch']
+                      ELSE ['original'] END) AS t(augmentation)),
+len AS (SELECT *, CASE WHEN decode_status <> 'ok' THEN 0 WHEN augmentation = 'time_stretch'
+          THEN CAST(round_even(n / 1.2, 0) AS BIGINT) ELSE n END AS n_samples FROM fan)
+SELECT clip_id, augmentation, decode_status,
+       CASE WHEN decode_status <> 'ok' AND augmentation <> 'original' THEN 'fallback' ELSE 'ok' END AS augment_status,
+       CASE WHEN decode_status <> 'ok' THEN decode_status WHEN n_samples < 2048 THEN 'too_short' ELSE 'ok' END AS status,
+       n_samples, CAST(185 AS BIGINT) AS n_features,
+       decode_status <> 'ok' OR n_samples < 2048 AS all_zero
+FROM len
+""")
+def q_failed_clips(spark, sf):
+    """Every tenth clip's bytes are garbage, null or of length 0: each version
+    of each clip comes out with its statuses and a vector of full length."""
+    from ..operators import augment as AU
+    from ..operators import features as FT
+    from ..sources import audio
+    raw = V.wav_clips(spark, sf)
+    kind = F.col("clip_id") % 10
+    raw = raw.withColumn("content", F.when(kind == 3, F.lit("no sound").cast("binary")).when(kind == 5, F.lit("").cast("binary"))
+                         .when(kind != 4, F.col("content")))
+    clips = audio.decode(raw).select("clip_id", "samples", "decode_status")
+    fan = AU.augment(FO.fan_out(SP.with_split(clips, "clip_id")), "clip_id")
+    fan = fan.withColumn("vid", F.concat_ws("|", "clip_id", "augmentation")).withColumn(
+        "n_samples", F.size("samples").cast("long"))
+    f = FT.extract_features(FT.with_status(fan), key="vid", long_clip_samples=None,
+                            carry=["augmentation", "decode_status", "augment_status", "n_samples"])
+    return f.select(F.split("vid", "[|]")[0].cast("long").alias("clip_id"), "augmentation", "decode_status",
+                    "augment_status", "status", "n_samples", F.size("features").cast("long").alias("n_features"),
+                    F.forall("features", lambda v: v == 0).alias("all_zero"))
 
 
 # --------------------------------------------------------------------------
@@ -789,7 +832,7 @@ def q_wav_status(spark, sf):
 def _design(spark, sf):
     from ..operators import train as TR
     f = _features(spark, sf)
-    voc = LN.label_vocabulary(f)
+    voc = LN.label_vocabulary(f.filter(F.col("split") == "train"))
     f = LN.with_index(f, voc).withColumn("y", F.col("idx").cast("double"))
     scaler = LN.PopulationScaler.fit(f.filter(F.col("split") == "train"))
     d = TR.design(f, scaler)
@@ -825,7 +868,6 @@ def q_batch_score(spark, sf):
     (S7), then score requests table-in/table-out: each test row asks for a
     model by file name; unknown names and all-zero vectors become statuses
     (R4) instead of errors, and are kept as rows."""
-    from pyspark.ml.classification import LogisticRegressionModel, MultilayerPerceptronClassificationModel
     from pyspark.ml.classification import LogisticRegression
     from ..operators import train as TR
     d, n_in, k = _design(spark, sf)
@@ -838,18 +880,18 @@ def q_batch_score(spark, sf):
     asked = F.element_at(F.array(F.lit("emotion_mlp_model"), F.lit("emotion_logreg_model"), F.lit("emotion_cnn_model")),
                          (F.col("vec_id") % 3 + 1).cast("int"))
     req = d.filter(F.col("split") == "test").withColumn("model_name", asked)
-    known = [r["file_name"] for r in cat.select("file_name").collect()]       # catalogue: a few rows
-    zero = F.forall("features", lambda v: v == 0)
+    known = {r["file_name"]: r["model_class"] for r in cat.collect()}       # catalogue: a few rows
+    # null-safe: a vector with a null or only zeros, or a null model name, is rejected
+    zero = F.coalesce(F.forall("features", lambda v: v == 0) | F.exists("features", lambda v: v.isNull()), F.lit(True))
     names = F.array(*[SC.class_name(F.lit(i)) for i in range(k)])
-    loaders = {"emotion_mlp_model": MultilayerPerceptronClassificationModel, "emotion_logreg_model": LogisticRegressionModel}
     parts = []
     for m in known:
-        model = loaders[m].load(f"{root}/{m}")
+        model = TR.load_model(f"{root}/{m}", known[m])
         sub = req.filter((F.col("model_name") == m) & ~zero)
         scored = TR.probabilities(model.transform(sub))
         parts.append(SC.prediction_records(scored, "vec_id", names)
                      .withColumn("model_name", F.lit(m)).withColumn("status", F.lit("ok")))
-    rejected = req.filter(zero | ~F.col("model_name").isin(known)).select(
+    rejected = req.filter(zero | ~F.coalesce(F.col("model_name").isin(list(known)), F.lit(False))).select(
         "vec_id", "model_name",
         F.when(zero, F.lit("no_features")).otherwise(F.lit("unknown_model")).alias("status"))
     out = parts[0]
@@ -932,12 +974,20 @@ def q_binary_confusion(spark, sf):
     return LN.confusion(p, [0, 1])
 
 
+_URL_FILES = ("03-01-05-01-02-01-24.wav", "oaf_back_fear.wav", "1001_dfa_ang_xx.wav", "dc_a01.wav", "x.wav",
+              "03-01-99-01.wav", "yaf_dog_ps.wav", "1001_dfa_zzz_xx.wav", "jk_su07.wav")
+
+
 @register("url_filename_label", "P8", sql=_FN_SQL.replace(
-    V.CLIP_PATHS_SQL, "WITH clip_paths AS (SELECT page_id AS event_id, url AS path FROM pages)").replace(
+    V.CLIP_PATHS_SQL, "WITH clip_paths AS (SELECT page_id AS event_id, url || '/' || "
+    f"{list(_URL_FILES)}[page_id % {len(_URL_FILES)} + 1] AS path FROM pages)").replace(
     "SELECT event_id, path,\n  CASE", "SELECT event_id AS page_id, path AS url,\n  CASE"))
 def q_url_filename_label(spark, sf):
-    """The filename-only parser on real-world strings (page URLs)."""
+    """The filename-only parser on recordings under page URLs: a file of each
+    rule and of each miss."""
+    files = F.array(*[F.lit(x) for x in _URL_FILES])
     pg = table(spark, sf, "pages", "page_id", "url")
+    pg = pg.withColumn("url", F.concat_ws("/", "url", F.get(files, (F.col("page_id") % len(_URL_FILES)).cast("int"))))
     return LB.with_filename_label(pg, "url").select("page_id", "url", "fn_label")
 
 
