@@ -1046,3 +1046,62 @@ def q_wav_time_features(spark, sf):
     clips = FT.with_status(decoded_clips(spark, sf))
     f = FT.extract_features(clips, keep_parts=True)
     return f.select("clip_id", "status", *[F.round(c, 6).alias(c) for c in ("zcr", "rms", "entropy")])
+
+
+_NAME_SQL = ("CASE WHEN cls < 8 THEN ["
+             + ", ".join(f"'{n}'" for n in vocab.EMOTIONS_8) + "][cls + 1] ELSE 'class_' || cls END")
+
+
+@register("score_requests", "R1 R2 R4 R5 S6 T2 T5", sql="WITH " + _FEAT_CTE + """,
+st AS (SELECT dim, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS sd
+       FROM lng WHERE split = 'train' GROUP BY dim),
+z AS (SELECT vec_id, label, split, dim, x, (x - mean) / sd AS z FROM lng JOIN st USING (dim)),
+req AS (SELECT DISTINCT vec_id, CASE vec_id % 8 WHEN 0 THEN 'centroid_plain' WHEN 6 THEN 'centroid_plain'
+          WHEN 4 THEN 'emotion_cnn_model' WHEN 7 THEN NULL ELSE 'centroid_scaled' END AS model_name,
+        CASE vec_id % 8 WHEN 2 THEN 'empty_input' WHEN 3 THEN 'no_features' WHEN 4 THEN 'unknown_model'
+          WHEN 5 THEN 'error' WHEN 7 THEN 'unknown_model' ELSE 'ok' END AS status FROM base),
+cent AS (SELECT 'centroid_plain' AS model_name, label AS cls, dim, avg(x) AS c FROM z WHERE split = 'train' GROUP BY ALL
+         UNION ALL SELECT 'centroid_scaled', label, dim, avg(z) FROM z WHERE split = 'train' GROUP BY ALL),
+dist AS (SELECT vec_id, model_name, cls, sum((v - c) * (v - c)) AS d FROM (
+           SELECT z.vec_id, req.model_name, dim, CASE WHEN req.model_name = 'centroid_plain' THEN x ELSE z END AS v
+           FROM z JOIN req USING (vec_id) WHERE status = 'ok') JOIN cent USING (model_name, dim) GROUP BY ALL),
+mx AS (SELECT *, exp(-d - max(-d) OVER (PARTITION BY vec_id)) AS ex FROM dist),
+soft AS (SELECT vec_id, cls, """ + _NAME_SQL + """ AS name, ex / sum(ex) OVER (PARTITION BY vec_id) AS p FROM mx),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, cls) AS rn FROM soft),
+rec AS (SELECT vec_id, max(name) FILTER (WHERE rn = 1) AS main_emotion,
+    round(max(p) FILTER (WHERE rn = 1), 4) AS confidence,
+    string_agg(name || '=' || CAST(CAST(round(p, 4) AS DECIMAL(6, 4)) AS VARCHAR), ' ' ORDER BY rn) FILTER (WHERE rn > 1) AS others,
+    count(*) AS n_probabilities
+  FROM ranked GROUP BY vec_id)
+SELECT req.vec_id, req.model_name, status, main_emotion, confidence, others, n_probabilities
+FROM req LEFT JOIN rec ON req.vec_id = rec.vec_id
+""")
+def q_score_requests(spark, sf):
+    """Requests of every outcome against two stored models, one with a stored
+    scaler; records go to the history, the rest to the rejects, both by append
+    sinks and read back. ``others`` lists the ranks after the main class."""
+    from ..operators import serve
+    f = _features(spark, sf)
+    train = f.filter(F.col("split") == "train")
+    root = shared_dir(spark, "serve-" + uuid.uuid4().hex)
+    scaler = LN.PopulationScaler.fit(train)
+    serve.save(spark, f"{root}/models", "centroid_plain", LN.NearestCentroid.fit(train))
+    serve.save(spark, f"{root}/models", "centroid_scaled",
+               LN.NearestCentroid.fit(scaler.transform(train, "features", "features")), scaler)
+    kind = F.col("vec_id") % 8
+    v = F.col("features").cast("array<double>")
+    zero = F.transform(v, lambda x: F.lit(0.0))
+    req = f.select(
+        "vec_id",
+        F.when(kind.isin(0, 6), "centroid_plain").when(kind == 4, "emotion_cnn_model")
+         .when(kind != 7, "centroid_scaled").alias("model_name"),
+        F.when(kind == 3, zero).when(kind == 5, F.slice(v, 1, 10)).when(kind != 2, v).alias("features"))
+    rec, rejects = serve.score_requests(spark, req, f"{root}/models", "vec_id")
+    serve.with_json(rec).write.mode("append").parquet(f"{root}/history")
+    rejects.write.mode("append").parquet(f"{root}/rejects")
+    rec, rejects = spark.read.parquet(f"{root}/history"), spark.read.parquet(f"{root}/rejects")
+    others = F.array_join(F.transform(F.slice("ranked", 2, 1000), lambda r: F.concat(
+        r["emotion"], F.lit("="), r["probability"].cast("decimal(6,4)").cast("string"))), " ")
+    rec = rec.select("vec_id", "model_name", F.lit("ok").alias("status"), "main_emotion", "confidence",
+                     others.alias("others"), F.size(F.map_keys("probabilities")).cast("long").alias("n_probabilities"))
+    return rec.unionByName(rejects, allowMissingColumns=True)
