@@ -64,6 +64,14 @@ def test_word_by_word_ids_equal_the_whole(texts):
         assert np.frombuffer(raw, dtype="<u2").tolist() == reference.encode(t, add_special_tokens=False).ids
 
 
+def test_long_texts_in_windows(monkeypatch):
+    monkeypatch.setattr(P, "WINDOW_CHARS", 50)
+    reference = Tokenizer.from_file(PATH)
+    for t in ("some words. and more\n" * 40, "x" * 300, "a  b " * 60, " lead " + "b c\n \nd " * 50):
+        want = reference.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(P.tokenizer(PATH).long_ids(t), dtype="<u2").tolist() == want
+
+
 def test_ids_of_the_table_equal_the_whole(spark, reference):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()][:3000]
     words = P.tokenizer(PATH)

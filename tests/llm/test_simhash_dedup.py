@@ -97,4 +97,5 @@ def test_long_texts_are_hashed_whole(monkeypatch):
     text = prose(8, 3000)
     monkeypatch.setattr(S, "AT_ONCE", 100)
     assert S.fingerprint(text) == fingerprint(text)
+    assert S.fingerprint("x " * 5000 + "y" * 900 + "  \n") == fingerprint("x " * 5000 + "y" * 900 + "  \n")
     assert S.fingerprint("One two") == xxhash.xxh64_intdigest(b"one two", 42)

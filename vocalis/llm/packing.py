@@ -31,6 +31,9 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PLAIN = re.compile("[\t\n\r -~\u00a1-\u024f]*").fullmatch
 #: A single space inside more white space: no place to cut.
 SPACES = re.compile(r"\s \s").search
+BETWEEN = re.compile(r"(?<=\S) (?=\S)").search
+#: Characters of one text that are encoded at once.
+WINDOW_CHARS = 1_000_000
 LONG_RUN = re.compile(r"\S{2000}").search
 #: Strategies taken into the solution at once.
 BLOCK = 64
@@ -75,10 +78,11 @@ class WordTokenizer:
         split, whole = {}, []
         for i, t in enumerate(texts):
             parts = t.split(" ")
-            if "" in parts or SPACES(t):
+            first = 1 if len(parts) > 1 and not parts[0] else 0  # it opens with a space
+            if "" in parts[first:] or SPACES(t):
                 whole.append(i)
             else:
-                split[i] = [parts[0], *[" " + p for p in parts[1:]]]
+                split[i] = [*parts[:1 - first], *[" " + p for p in parts[1:]]]
         known = self.known
         new = list({p for parts in split.values() for p in parts if p not in known})
         if len(known) + len(new) > CACHE:
@@ -90,6 +94,15 @@ class WordTokenizer:
             out[i] = b"".join([known[p] for p in parts])
         return [out[i] for i in range(len(texts))]
 
+    def long_ids(self, text: str) -> bytes:
+        """The same for one text of any length, window after window, each cut
+        at a single space between two others."""
+        out = []
+        while len(text) > WINDOW_CHARS and (space := BETWEEN(text, WINDOW_CHARS)):
+            out += self.ids([text[:space.start()]])
+            text = text[space.start():]
+        return b"".join([*out, *self.ids([text])])
+
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
@@ -118,7 +131,9 @@ def tokenize(docs: DataFrame, vocabulary: str, text: str = "text", end: int = 0,
         for pdf in batches:
             for a in range(0, len(pdf), 256):
                 some = pdf.iloc[a:a + 256]
-                ids = [x + closing for x in words.ids(["" if t is None else t for t in some[text]])]
+                texts = ["" if t is None else t for t in some[text]]
+                ids = words.ids([t if len(t) <= WINDOW_CHARS else "" for t in texts])
+                ids = [(x if len(t) <= WINDOW_CHARS else words.long_ids(t)) + closing for t, x in zip(texts, ids)]
                 n = np.array([len(x) // 2 for x in ids], dtype=np.int64)
                 rest = n % window
                 nth = pd.Series(rest).groupby(rest).cumcount().to_numpy() + seen[rest]

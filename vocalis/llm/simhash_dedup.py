@@ -10,6 +10,7 @@ together; only a spanning forest of the links leaves a task.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,27 +25,31 @@ from .common import cut, ready
 #: the top tree, and the size below which a tree node is compared directly.
 SHARD, SAMPLE, LEAF = 8_000, 16_384, 128
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-#: Shingle hashes whose bits are counted at once.
-AT_ONCE = 65_536
+#: Bytes of text whose shingles are counted at once.
+AT_ONCE = 400_000
+_SPACE = re.compile(rb"[\x20\x09-\x0D]").search
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     """A bit is 1 if set in over half of the shingles' XXH64 hashes."""
     if text is None:
         return 0
-    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
-        return 0
-    h = xxhash.xxh64_intdigest
-    if len(words) <= shingle:
-        return h(b" ".join(words), seed)
-    n = len(words) - shingle + 1
-    counts = np.zeros(64, dtype=np.int64)
-    for a in range(0, n, AT_ONCE):
-        part = words[a:a + AT_ONCE + shingle - 1]
-        hashes = [h(b" ".join(s), seed) for s in zip(*[part[k:] for k in range(shingle)])]
-        bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
+    h, raw = xxhash.xxh64_intdigest, text.encode("utf-8", "surrogatepass").translate(_LOWER)
+    counts, n, held, at = np.zeros(64, dtype=np.int64), 0, [], 0
+    while at < len(raw):
+        end = at + AT_ONCE
+        space = _SPACE(raw, end) if end < len(raw) else None
+        end = space.start() if space else len(raw)
+        words = held + raw[at:end].split()
+        at = end
+        hashes = [h(b" ".join(s), seed) for s in zip(*[words[k:] for k in range(shingle)])]
+        if hashes:
+            bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += bits.sum(axis=0, dtype=np.int64)
+            n += len(hashes)
+        held = words[-(shingle - 1):] if shingle > 1 else []
+    if not n:  # fewer words than a shingle has
+        return h(b" ".join(held), seed) if held else 0
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 

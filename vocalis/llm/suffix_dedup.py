@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, ready
+from .common import chunks, cut, ready
 from .suffix_array import suffix_arrays
 
 LENGTH, GRAM = 200, 32
@@ -50,14 +50,24 @@ def text_segments(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarra
     pieces, owner, shift = [], [], []
     for i, t in enumerate(texts):
         for a in range(0, len(t) - length + 1, AT_ONCE):
-            pieces.append(t[a:a + AT_ONCE + length - 1])
+            pieces.append((t, a))
             owner.append(i)
             shift.append(a)
-    none = np.zeros(0, dtype=np.int64)
-    if not pieces:
-        return none, none, none, none, none, none
+    found = []
+    for a, b in chunks(pieces, [min(AT_ONCE, len(t) - at) for t, at in pieces], AT_ONCE):
+        some = [t[at:at + AT_ONCE + length - 1] for t, at in pieces[a:b]]
+        piece, h, sh, first, stop, place = _piece_segments(some, length, gram)
+        move = np.array(shift[a:b])[piece]
+        found.append((np.array(owner[a:b])[piece], h, sh, first + move, stop + move, place))
+    if not found:
+        return (np.zeros(0, dtype=np.int64),) * 6
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _piece_segments(pieces: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """``text_segments`` of a few megabytes: pieces of ``length`` bytes or more."""
     flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-    power, back = _powers(max(len(flat), 2 * AT_ONCE + 2 * length))
+    power, back = _powers(max(len(flat), 2 * AT_ONCE + 4 * length))
     total = np.zeros(len(flat) + 1, dtype=np.uint64)
     np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[:len(flat)], out=total[1:])
     grams = _mix((total[gram:] - total[:-gram]) * back[:len(flat) - gram + 1])
@@ -84,9 +94,8 @@ def text_segments(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarra
     stop = np.flatnonzero(use & np.r_[~use[1:] | edge[1:], True]) + 1
     whole = _mix((total[stop + length - 1] - total[first]) * back[first] + (stop - first).astype(np.uint64))
     piece = np.searchsorted(starts, first, side="right") - 1
-    move = (np.array(shift) - starts)[piece]
-    return (np.array(owner)[piece], grams[anchor[first]].view(np.int64), whole.view(np.int64),
-            first + move, stop + move, anchor[first] - first)
+    return (piece, grams[anchor[first]].view(np.int64), whole.view(np.int64),
+            first - starts[piece], stop - starts[piece], anchor[first] - first)
 
 
 def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
