@@ -24,7 +24,7 @@ from .common import chunks, ready
 PASSAGE, AT_ONCE = 64, 500_000
 #: Labelled rows that a model is fitted on at most, half of each label, of
 #: texts of at most this many characters.
-FIT_ROWS, FIT_CHARS = 3_000, 60_000
+FIT_ROWS, FIT_CHARS = 2_000, 60_000
 #: Byte classes: space, newline, a-z, A-Z, digits, each kind of sign, the rest.
 _GROUPS = (b" \t\r\x0b\x0c", b"\n", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789",
            b".", b",;:", b"!?", b"|", b"#*", b"$%&", b"'\"()", b"-_/\\", b"<>@=+~^{}[]", bytes(range(128, 256)))
@@ -154,17 +154,24 @@ def fit(texts: list[str], labels: np.ndarray, hidden: int = 24, gate: int = 12,
     equally; the passage gradients flow through the attention weights."""
     if not len(texts) or labels.min() == labels.max():
         return Model({}, float(labels.mean()) if len(texts) else 0.5)
-    x, of = passage_features([t.encode("utf-8", "surrogatepass") for t in texts])
+    raw, parts, owners = [t.encode("utf-8", "surrogatepass") for t in texts], [], []
+    for a, b in chunks(raw, [len(t) for t in raw], AT_ONCE):  # the work arrays are many times the text
+        part, of = passage_features(raw[a:b])
+        parts.append(part)
+        owners.append(of + a)
+    x, of = np.concatenate(parts), np.concatenate(owners)
     starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
     y = labels.astype(np.float64)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y).mean()) / len(y)
     rng = np.random.default_rng(seed)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 0.05
-    x = (x - mean) / scale
+    x = ((x - mean) / scale).astype(np.float32)
     p = {"enc": rng.normal(0, WIDTH ** -0.5, (WIDTH, hidden)), "enc0": np.zeros(hidden),
          "v": rng.normal(0, hidden ** -0.5, (hidden, gate)), "u": rng.normal(0, hidden ** -0.5, (hidden, gate)),
          "w": rng.normal(0, 0.3, gate), "c": rng.normal(0, hidden ** -0.5, hidden), "c0": np.zeros(1)}
-    m1, m2 = {k: 0.0 for k in p}, {k: 0.0 for k in p}
+    p = {k: v.astype(np.float32) for k, v in p.items()}
+    weight, y = weight.astype(np.float32), y.astype(np.float32)
+    m1, m2 = {k: np.float32(0) for k in p}, {k: np.float32(0) for k in p}
     for t in range(1, steps + 1):
         h = np.tanh(x @ p["enc"] + p["enc0"])
         tv, su = np.tanh(h @ p["v"]), 1 / (1 + np.exp(-(h @ p["u"])))
@@ -185,8 +192,9 @@ def fit(texts: list[str], labels: np.ndarray, hidden: int = 24, gate: int = 12,
         for k in p:
             grad = g[k] + (1e-4 * p[k] if k not in ("enc0", "c0") else 0)
             m1[k], m2[k] = 0.9 * m1[k] + 0.1 * grad, 0.999 * m2[k] + 0.001 * grad ** 2
-            p[k] = p[k] - 0.01 * (m1[k] / (1 - 0.9 ** t)) / (np.sqrt(m2[k] / (1 - 0.999 ** t)) + 1e-8)
+            p[k] = p[k] - np.float32(0.01) * (m1[k] / (1 - 0.9 ** t)) / (np.sqrt(m2[k] / (1 - 0.999 ** t)) + 1e-8)
     # The scaling becomes part of the encoder.
+    p = {k: v.astype(np.float64) for k, v in p.items()}
     p["enc0"] = p["enc0"] - (mean / scale) @ p["enc"]
     p["enc"] = p["enc"] / scale[:, None]
     return Model({k: np.asarray(v, dtype=np.float64) for k, v in p.items()})
