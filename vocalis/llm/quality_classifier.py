@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, ready
@@ -202,17 +202,23 @@ def fit(texts: list[str], labels: np.ndarray, hidden: int = 24, gate: int = 12,
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id",
           text: str = "text", rows: int = FIT_ROWS) -> Model:
-    """Fit on a bounded sample of labelled documents: at most ``rows / 2`` of
-    either label (1 or 0), those of the least hash of the key, with texts of
-    at most FIT_CHARS characters. Null keys and labels are passed over."""
+    """Fit on a bounded sample of labelled documents: about ``rows / 2`` of
+    either label (1 or 0) at most, by hash of the key, with texts of at most
+    FIT_CHARS characters. Null keys and labels are passed over."""
     ready(docs)
     some = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).filter("_k is not null and _y in (0, 1)")
-    best = Window.partitionBy("_y").orderBy(F.xxhash64("_k"), "_k")
-    some = some.dropDuplicates().withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= rows // 2)
+    some = some.dropDuplicates()
+    # Both labels thinned out by hash to the same number of rows.
+    counts = {r["_y"]: r["count"] for r in some.groupBy("_y").count().collect()}
+    keep = F.lit(False)
+    for y, n in counts.items():
+        share = -(-n // (rows // 2))
+        keep = keep | ((F.col("_y") == y) & (F.pmod(F.xxhash64("_k"), F.lit(share)) == 0))
+    some = some.filter(keep).limit(2 * rows)
     found = (
         docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
         .filter(F.char_length("_t") <= FIT_CHARS)
-        .join(F.broadcast(some), F.col("_key") == F.col("_k"))  # at most ``rows`` rows
+        .join(F.broadcast(some), F.col("_key") == F.col("_k"))  # at most 2 * rows
         .select("_k", "_t", "_y").limit(2 * rows).toPandas()
     ).sort_values(["_k", "_t"], kind="stable")
     return fit(found["_t"].tolist(), found["_y"].to_numpy())
