@@ -95,3 +95,26 @@ def test_long_texts_in_pieces(monkeypatch):
     strings = sorted((s, e) for s, e in zip(whole[3].tolist(), whole[4].tolist()))
     assert strings[0][0] == 0 and strings[-1][1] == len(text) - 199
     assert all(a[1] == b[0] for a, b in zip(strings, strings[1:]))
+
+
+def test_a_frequent_anchor_is_split(spark, monkeypatch):
+    """A short phrase in 300 texts, longer passages around it in some."""
+    most, whole = 4_000, D.repeated_strings
+
+    def bounded(groups, length):
+        assert all(sum(map(len, rows)) <= most for rows, _, _ in groups), "one group holds too many bytes"
+        return whole(groups, length)
+
+    monkeypatch.setattr(D, "SPLIT", most, raising=False)
+    monkeypatch.setattr(D, "repeated_strings", bounded)
+    phrase = "Licensed under the terms of the general public licence, version 2"
+    rows = [(i, prose(3 * i, 30) + phrase + prose(3 * i + 1, 30), "a") for i in range(300)]
+    for n in (60, 66, 67, 68, 75, 160):  # phrases of up to, at and above 200 bytes
+        around = prose(7000, 20)[-n:] + phrase + prose(7001, 20)[:n]
+        rows += [(400 + 10 * n + i, prose(9000 + n + 40 * i, 25) + around + prose(9500 + n + 40 * i, 25), "b") for i in range(5)]
+    rows += [(5000 + i, rows[i][1], "c") for i in range(4)] + [(5010 + i, rows[-i][1][5:], "c") for i in range(1, 4)]
+    got = D.remove_repeats(documents(spark, rows)).collect()
+    raw = [t.encode() for _, t, _ in rows]
+    want = Counter((d, k, n) for (d, _, _), (k, n) in zip(rows, kept_bytes(raw)))
+    assert sum(n for _, _, n in want) > 30
+    assert Counter((r["doc_id"], bytes(r["kept"]), r["n_spans"]) for r in got) == want

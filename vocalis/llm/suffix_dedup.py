@@ -4,7 +4,9 @@ A string of LENGTH bytes that occurs twice picks the same anchor in both
 places: the GRAM-byte string of least hash inside it. So neighbouring strings
 with one anchor form a segment, segments meet by anchor, and each anchor's
 distinct segments get a suffix array (``suffix_array``), in which equal
-strings are neighbours. Texts with anchors of their own never move.
+strings are neighbours. Texts with anchors of their own never move. The strings
+of an anchor with more than SPLIT bytes of distinct segments meet in Spark
+instead, by the anchor, its place in the string and the string's hash.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from .suffix_array import suffix_arrays
 LENGTH, GRAM = 200, 32
 #: Bytes hashed at once inside a task, and bytes of segments sorted in one.
 AT_ONCE, SORTED = 1_000_000, 4_000_000
+#: Bytes of one anchor's distinct segments that are sorted together.
+SPLIT = 500_000
+#: Strings of one anchor that are looked at together before they are split.
+BLOCK = 16
 
 
 @lru_cache(maxsize=1)
@@ -174,6 +180,64 @@ def repeated_strings(groups: list[tuple[list[bytes], list[bool], list[int]]], le
     return masks
 
 
+def string_hashes(row: bytes, o: int, length: int) -> tuple[np.ndarray, ...]:
+    """The hash of each string of a segment, and for each of its blocks the
+    number, the first string and the hash of the bytes all strings of that
+    block share. A block holds the strings whose anchor's place is in one
+    range of BLOCK, so equal strings are in blocks of equal number and hash."""
+    raw = np.frombuffer(row, dtype=np.uint8)
+    power, back = _powers(2 * AT_ONCE + 4 * length)
+    total = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=total[1:])
+    n, wide = len(raw) - length + 1, min(BLOCK, length)
+    strings = _mix((total[length:] - total[:n]) * back[:n])
+    block = (o - np.arange(n)) // wide
+    first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    a = o - wide * block[first]
+    cores = _mix((total[a + length - wide + 1] - total[a]) * back[a])
+    return strings.view(np.int64), block[first], first, cores.view(np.int64)
+
+
+def split_anchors(rows: DataFrame, length: int) -> DataFrame:
+    """``h, sh, runs`` of the distinct segments ``h, sh, many, o, bytes``: the
+    runs of strings that occur anywhere else, found without bringing an
+    anchor's segments together. Blocks that occur once go before their strings
+    are spread; counts combine before each shuffle, and Spark splits frequent
+    blocks and strings in the joins."""
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for h, sh, o, row in zip(pdf["h"], pdf["sh"], pdf["o"], pdf["bytes"]):
+                strings, block, first, cores = string_hashes(row, o, length)
+                ends = np.r_[first[1:], len(strings)]
+                out += [(h, sh, o - a, b, c, a, strings[a:z]) for b, a, z, c in zip(
+                    block.tolist(), first.tolist(), ends.tolist(), cores.tolist())]
+            yield pd.DataFrame(out, columns=["h", "sh", "d", "b", "c", "i", "g"])
+
+    def in_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            runs = []
+            for at in pdf["at"]:
+                mask = np.zeros(max(at) + 1, dtype=bool)
+                mask[at] = True
+                runs.append(_runs(mask))
+            yield pd.DataFrame({"h": pdf["h"], "sh": pdf["sh"], "runs": runs})
+
+    def again(df: DataFrame, *by: str) -> DataFrame:
+        often = cut(df.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1").select(*by))
+        return df.join(often, list(by))
+
+    blocks = rows.mapInPandas(hashed, "h long, sh long, d int, b int, c long, i int, g array<long>")
+    strings = cut(again(blocks, "h", "b", "c").select("h", "sh", "d", "i", F.posexplode("g").alias("k", "g")).select(
+        "h", "sh", (F.col("d") - F.col("k")).alias("d"), (F.col("i") + F.col("k")).alias("i"), "g"))
+    # All strings of a segment that occurs twice do.
+    whole = rows.filter("many").select("h", "sh", F.array(F.lit(0), (F.octet_length("bytes") - length + 1)).alias("runs"))
+    others = again(strings, "h", "d", "g").join(whole.select("h", "sh"), ["h", "sh"], "left_anti")
+    found = others.groupBy("h", "sh").agg(F.collect_list("i").alias("at")).mapInPandas(in_runs, "h long, sh long, runs array<int>")
+    return found.unionByName(whole)
+
+
 def _runs(mask: np.ndarray) -> list[int]:
     d = np.diff(np.r_[0, mask.astype(np.int8), 0])
     return np.stack([np.flatnonzero(d == 1), np.flatnonzero(d == -1)], axis=1).ravel().tolist()
@@ -201,7 +265,12 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
     )
     size = distinct.agg(F.sum(F.col("e") - F.col("s") + length)).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SORTED))
-    fields = ("h", "sh", "many", "s", "e", "o")
+    large = cut(
+        distinct.groupBy("h").agg(F.sum(F.col("e") - F.col("s") + length).alias("n")).filter(F.col("n") > SPLIT)
+        .select("h", F.lit(True).alias("_l"))
+    )
+    distinct = distinct.join(large, "h", "left").withColumn("large", F.coalesce("_l", F.lit(False)))
+    fields = ("h", "sh", "many", "large", "s", "e", "o")
     wanted = distinct.groupBy("k1", "k2").agg(F.collect_list(F.struct(*fields)).alias("list"))
     texts = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"))
 
@@ -212,10 +281,10 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
             for text, n in zip(pdf["text"], pdf["h"].map(len)):
                 raw += [text[s:e + length - 1] for s, e in zip(columns["s"][a:a + n].tolist(), columns["e"][a:a + n].tolist())]
                 a += n
-            yield pd.DataFrame({"h": columns["h"], "sh": columns["sh"], "many": columns["many"], "o": columns["o"], "bytes": raw})
+            yield pd.DataFrame({f: columns[f] for f in ("h", "sh", "many", "large", "o")} | {"bytes": raw})
 
-    cut_out = texts.join(wanted, ["k1", "k2"]).select("text", *[F.col(f"list.{f}").alias(f) for f in fields]).mapInPandas(
-        read, "h long, sh long, many boolean, o int, bytes binary")
+    cut_out = cut(texts.join(wanted, ["k1", "k2"]).select("text", *[F.col(f"list.{f}").alias(f) for f in fields]).mapInPandas(
+        read, "h long, sh long, many boolean, large boolean, o int, bytes binary"))
 
     def sort(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "sh"], kind="stable")
@@ -227,9 +296,9 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
         return pd.DataFrame({"h": h, "sh": pdf["sh"].to_numpy(), "runs": [_runs(m) for m in masks]})
 
     hits = (
-        cut_out.withColumn("part", F.pmod(F.hash("h"), F.lit(parts))).repartition(parts, "part")
+        cut_out.filter("not large").withColumn("part", F.pmod(F.hash("h"), F.lit(parts))).repartition(parts, "part")
         .groupBy("part").applyInPandas(sort, "h long, sh long, runs array<int>").filter(F.size("runs") > 0)
-    )
+    ).unionByName(split_anchors(cut_out.filter("large"), length))
     # A text's own spans; those of its copies are equal.
     spans = found.select("h", "sh", "k1", "k2", "s").join(cut(hits), ["h", "sh"]).groupBy("k1", "k2").agg(
         F.collect_set(F.struct("s", "runs")).alias("list"))
