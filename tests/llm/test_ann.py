@@ -66,6 +66,14 @@ def test_edges(spark):
     assert [j for j, _ in collect(ann.nearest(two, two.filter("vec_id = 0")))[0]] == [1]
 
 
+def test_queries_have_the_length_of_the_table(spark):
+    """Most vectors have 3 numbers, most of the queries 2."""
+    rows = [(i, [1.0 + i, 2.0, 3.0]) for i in range(6)] + [(10, [1.0, 2.0]), (11, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collect(ann.nearest(df, df.filter("vec_id in (0, 10, 11)"), probe_share=1.0))
+    assert set(got) == {0} and [j for j, _ in got[0]] == [1, 2, 3, 4, 5]
+
+
 def test_the_test_abandons_far_candidates():
     rng = np.random.default_rng(0)
     near, far = rng.normal(0, 0.01, (10, 64)), rng.normal(0, 1, (500, 64)) + 3

@@ -32,12 +32,14 @@ SAMPLE_ROWS, SAMPLE_BYTES = 16_384, 32_000_000
 BLOCK_ROWS, QUERY_ROWS = 1_024, 4_096
 
 
-def usable(vectors: DataFrame, vector: str) -> DataFrame:
-    """Rows whose vector has the table's commonest length, no null or
-    non-finite component, and isn't zero."""
+def usable(vectors: DataFrame, vector: str, dims: int | None = None) -> DataFrame:
+    """Rows whose vector has length ``dims`` (the table's commonest if None),
+    no null or non-finite component, and isn't zero."""
     x = F.col(vector)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     good = vectors.filter(x.isNotNull() & (F.size(x) > 0)).filter(~bad & F.exists(x, lambda v: v != 0))
+    if dims is not None:
+        return good.filter(F.size(x) == dims)
     top = good.groupBy(F.size(x).alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     return good.filter(F.size(x) == (top[0]["n"] if top else -1))
 
@@ -152,8 +154,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     """
     spark = ready(vectors)
     schema = "query_id long, rank int, vec_id long, score double"
-    plain = lambda df: usable(df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")).filter("id is not null"), "vec")
-    rows, asked = plain(vectors), plain(queries)
+    plain = lambda df, dims=None: usable(df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")).filter("id is not null"), "vec", dims)
+    rows = plain(vectors)
     firsts = Window.partitionBy("vec").orderBy("id")
     distinct = cut(
         rows.withColumn("_n", F.dense_rank().over(firsts)).filter(F.col("_n") <= k + 1)
@@ -173,7 +175,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
         for x in batches:
             yield pd.Series((_unit(x)[1] @ held.value[0].T).argmax(axis=1).astype(np.int32) if len(x) else np.zeros(0, np.int32))
 
-    asked = cut(asked.select(F.col("id").alias("query_id"), "vec"))
+    asked = cut(plain(queries, dims).select(F.col("id").alias("query_id"), "vec"))
     points = cut(asked.select("vec").distinct().join(distinct.select("vec", "rep"), "vec").select("rep", "vec"))
     n_points = points.count()
     blocks, turns = max(1, math.ceil(n / BLOCK_ROWS)), max(1, math.ceil(n_points / QUERY_ROWS))
