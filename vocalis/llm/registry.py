@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, language_id, mixing, packing, quality_classifier, quality_rules, sharding, simhash_dedup, suffix_dedup,
-    url_filters,
+    ann, collocations, decontamination, language_id, mixing, packing, quality_classifier, quality_rules, sharding,
+    simhash_dedup, suffix_dedup, url_filters, vector_codes,
 )
 from .common import LOWER, UPPER, cut, n_words_of, numbered, table
 
@@ -188,3 +188,100 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return rows.select(F.col("key").alias("doc_id"),
                        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op11_count_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents", "text", "lang"))
+    return collocations.top(found).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+ORACLES["op11_count_streams"] = rf"""
+WITH p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p
+  FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents)),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+total AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, m, g, count(*) AS f
+  FROM (SELECT lang, m, array_to_string(w[i:i+m-1], ' ') AS g
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS m)))
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, m, g, f AS a, string_split(g, ' ') AS s, unnest(range(1, m)) AS k FROM g WHERE m > 1),
+scores AS (SELECT c.lang, c.g, c.a, k, l.f AS l, r.f AS r, n,
+    (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM cuts c JOIN total USING (lang)
+  JOIN g l ON l.lang = c.lang AND l.g = array_to_string(c.s[1:k], ' ')
+  JOIN g r ON r.lang = c.lang AND r.g = array_to_string(c.s[k+1:], ' ')),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (SELECT DISTINCT lang, f, array_to_string(s[i:j], ' ') AS g
+  FROM (SELECT lang, f, s, i, unnest(range(i + 1, len(s) + 1)) AS j
+    FROM (SELECT lang, f, string_split(g, ' ') AS s, unnest(range(1, m)) AS i FROM g WHERE m > 2))
+  WHERE j - i + 1 < len(s)),
+kept AS (SELECT b.* FROM best b WHERE NOT EXISTS (
+  SELECT 1 FROM inner_ x WHERE x.lang = b.lang AND x.g = b.g AND 100 * x.f >= 100 * b.a))
+SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase,
+    CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+    CAST(score AS BIGINT) AS score FROM kept) WHERE rank <= 2000"""
+
+
+@query
+def op12_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                          table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+#: Words as lists: every window length that an item has is joined on its own.
+ORACLES["op12_aho_corasick"] = rf"""
+WITH item AS (SELECT item_id, {{words}} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, w[i:i+n-1] AS g
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT *, least(10, len(w)) AS n FROM item WHERE len(w) > 0))),
+doc AS (SELECT row_number() OVER () AS rid, doc_id, {{words}} AS w FROM documents),
+place AS (SELECT rid, n, i, w[i:i+n-1] AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win))),
+met AS (SELECT rid, i, place.n, item_id FROM place JOIN win USING (n, g)),
+hit AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS j FROM met) GROUP BY rid),
+ids AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM met WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)""".replace("{words}", (
+    f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select(F.col("key").alias("vec_id"), code.alias("code"), "error", "label_error",
+                        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+def _codes_sql() -> str:
+    """Codebooks and codes round by round, a common table each."""
+    steps = ["""v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             """p AS MATERIALIZED (SELECT rid, part, c[16*part+1:16*part+16] AS c FROM v, (SELECT unnest(range(4)) AS part))""",
+             """b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, c FROM p WHERE rid <= 256)"""]
+    near = """a{k} AS MATERIALIZED (SELECT p.rid, p.part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT p.rid, p.part, b.entry, list_sum(list_transform(list_zip(p.c, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM p JOIN b{k} b ON p.part = b.part) p GROUP BY p.rid, p.part)"""
+    mean = """b{j} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN (
+  SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c
+  FROM (SELECT a.part, a.entry, i, sum(p.c[i]) AS s, count(*) AS n
+    FROM a{k} a JOIN p USING (rid, part), (SELECT unnest(range(1, 17)) AS i) GROUP BY a.part, a.entry, i)
+  GROUP BY part, entry) m USING (part, entry))"""
+    for k in range(4):
+        steps += [near.format(k=k), mean.format(k=k, j=k + 1)]
+    steps += [near.format(k=4), """r AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a4 GROUP BY rid)""",
+              """s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS h FROM b4)"""]
+    return "WITH " + ",\n".join(steps) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN r USING (rid), s"""
+
+
+ORACLES["op13_vector_codes"] = _codes_sql()
