@@ -74,6 +74,41 @@ def test_sharded_search_equals_all_pairs(spark, seed, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, ours.values()))
 
 
+@pytest.mark.parametrize("n", [50_000, 250_000, 1_000_000, 4_000_000])
+def test_copies_do_not_grow(n):
+    """Four copies of each fingerprint and bounded shards, at any size."""
+    points = np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64)
+    weights = np.stack([np.bincount(((points >> np.uint64(16 * j)) & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
+                        for j in range(4)])
+    rows, shard, own = S.Router(weights, 3, S.SHARD).route(points)
+    assert len(rows) == 4 * n and own.all()
+    assert np.unique(shard, return_counts=True)[1].max() <= S.SHARD
+
+
+def test_values_too_big_for_a_shard_are_cut_again():
+    """One value of a word holds a third of all: pairs still meet, in smaller shards."""
+    rng = np.random.default_rng(2)
+    points = rng.integers(0, 2**64, 6000, dtype=np.uint64)
+    points[:2000] = (points[:2000] & ~np.uint64(0xFFFF)) | np.uint64(77)
+    flips = np.uint64(1) << rng.integers(16, 64, (2000, 3)).astype(np.uint64)
+    near = points[:2000] ^ flips[:, 0] ^ flips[:, 1] ^ flips[:, 2]
+    points = np.unique(np.concatenate([points, near]))
+    weights = np.stack([np.bincount(((points >> np.uint64(16 * j)) & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
+                        for j in range(4)])
+    rows, shard, own = S.Router(weights, 3, 200).route(points)
+    assert len(rows) < 40 * len(points)
+    at = {}
+    for r, x, o in zip(rows.tolist(), shard.tolist(), own.tolist()):
+        at.setdefault(int(points[r]), [set(), set()])[0].add(x)
+        if o:
+            at[int(points[r])][1].add(x)
+    assert max(np.unique(shard, return_counts=True)[1]) < 2000
+    for a in range(0, len(points), 500):
+        i, j = np.nonzero(np.bitwise_count(points[a:a + 500, None] ^ points[None]) <= 3)
+        for x, y in zip(points[a:a + 500][i].tolist(), points[j].tolist()):
+            assert at[x][0] & at[y][1]  # x visits a shard of y's
+
+
 def test_edges(spark):
     base = prose(3, 200)
     rows = edge_rows() + [(50, base, "a"), (51, base + " tail", "a"), (52, base.upper(), "a"), (49, "\n" + base, "b")]

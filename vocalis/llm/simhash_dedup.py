@@ -1,15 +1,18 @@
 """SimHash near-duplicates: vantage-point trees over Hamming distance.
 
-A sampled tree of vantage points cuts the fingerprint space into shards. A
-fingerprint lives in one shard and also visits, as a query, every shard whose
-boundary lies within the maximum distance of it (triangle bounds), so each
-exact pair meets in a shard. There a tree is descended for all queries
-together; only a spanning forest of the links leaves a task.
+Two fingerprints at distance 3 or less agree in one of four 16-bit words, so a
+tree of vantage points over the values of each word, descended with reach 0,
+brings each such pair together in a shard of that word: a fingerprint lies in
+one shard a word, whatever the table's size. A word's value that alone is too
+big for a shard is cut again by the trees of the other words, in one of which
+the pair differs in a bit at most; there a fingerprint lives in one shard and
+visits, as a query, those that the triangle bounds don't exclude. Inside a
+shard a tree over the whole 64 bits is descended for all queries together;
+only a spanning forest of the links leaves a task.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
@@ -21,9 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import cut, ready
 
-#: Distinct fingerprints that one shard should hold, fingerprints sampled for
-#: the top tree, and the size below which a tree node is compared directly.
-SHARD, SAMPLE, LEAF = 8_000, 16_384, 128
+#: Distinct fingerprints that one shard should hold, and the size below which
+#: a tree node is compared directly.
+SHARD, LEAF = 8_000, 128
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Bytes of text whose shingles are counted at once.
 AT_ONCE = 400_000
@@ -88,36 +91,84 @@ def _vantage(points: np.ndarray) -> tuple[np.uint64, int] | None:
     return best and (best[1], best[2])
 
 
-class TopTree:
-    """Vantage points in heap order down to ``depth``; leaves are shards."""
+class WordTree:
+    """Vantage points over the values of a word of ``bits`` bits, cut at the
+    weighted median distance until a leaf weighs ``most`` or is one value."""
 
-    def __init__(self, sample: np.ndarray, depth: int):
-        self.depth, self.nodes = depth, {}
-        todo = [(1, sample, 0)]
+    def __init__(self, weights: np.ndarray, most: float):
+        self.nodes: dict[int, tuple[int, int, int, int]] = {}
+        self.leaf = np.zeros(len(weights), dtype=np.int64)  # of each value
+        todo, n = [(0, np.flatnonzero(weights))], 1
         while todo:
-            at, points, level = todo.pop()
-            cut_at = _vantage(points) if level < depth and len(points) > 1 else None
-            if cut_at is None:
+            at, values = todo.pop()
+            self.leaf[values] = at
+            if len(values) < 2 or weights[values].sum() <= most:
                 continue
-            self.nodes[at] = cut_at
-            inner = _distance(points, cut_at[0]) <= cut_at[1]
-            todo += [(2 * at, points[inner], level + 1), (2 * at + 1, points[~inner], level + 1)]
-
-    def visits(self, points: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, shard and whether it is the point's own, for all shards that a
-        point within ``reach`` could lie in."""
+            best = None
+            for v in values[:: max(1, len(values) // 4)][:4]:
+                d = np.bitwise_count(values ^ v)
+                held = np.cumsum(np.bincount(d, weights=weights[values]))[:int(d.max())]
+                mu = int(np.abs(held / weights[values].sum() - 0.5).argmin())
+                off = abs(held[mu] / weights[values].sum() - 0.5)
+                if best is None or off < best[0]:
+                    best = (off, int(v), mu)
+            _, v, mu = best
+            inner = np.bitwise_count(values ^ v) <= mu
+            self.nodes[at] = (v, mu, n, n + 1)
+            todo += [(n, values[inner]), (n + 1, values[~inner])]
+            n += 2
+
+    def visits(self, values: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, leaf and whether it is the value's own, for all leaves that a
+        value within ``reach`` could lie in."""
         out = []
-        todo = [(1, np.arange(len(points)), np.ones(len(points), dtype=bool))]
+        todo = [(0, np.arange(len(values)), np.ones(len(values), dtype=bool))]
         while todo:
             at, rows, own = todo.pop()
+            if not len(rows):
+                continue
             if at not in self.nodes:
                 out.append((rows, np.full(len(rows), at, dtype=np.int64), own))
                 continue
-            v, mu = self.nodes[at]
-            d = _distance(points[rows], v)
+            v, mu, near, far = self.nodes[at]
+            d = np.bitwise_count(values[rows] ^ v).astype(np.int64)
             left, right = d - reach <= mu, d + reach > mu
-            todo.append((2 * at, rows[left], own[left] & (d[left] <= mu)))
-            todo.append((2 * at + 1, rows[right], own[right] & (d[right] > mu)))
+            todo.append((near, rows[left], own[left] & (d[left] <= mu)))
+            todo.append((far, rows[right], own[right] & (d[right] > mu)))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+class Router:
+    """Shards of fingerprints by the values of their words, from exact counts
+    ``weights`` [word, value] of the distinct fingerprints."""
+
+    def __init__(self, weights: np.ndarray, reach: int, shard: int):
+        self.words, size = weights.shape
+        self.bits = size.bit_length() - 1
+        self.reach = reach // (self.words - 1)  # in one of the other words, once a word agrees
+        trees = [WordTree(w, shard) for w in weights]
+        self.leaf = np.stack([t.leaf for t in trees])
+        # Values too big for a shard, by how often they must be halved.
+        self.halved = np.ceil(np.log2(np.maximum(weights / shard, 1))).astype(np.int64)
+        self.again = {(v, int(c)): WordTree(w, w.sum() / 2.0 ** c)
+                      for c in np.unique(self.halved[self.halved > 0]) for v, w in enumerate(weights)}
+
+    def route(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, shard and whether the point is one of the shard's own."""
+        mask = np.uint64((1 << self.bits) - 1)
+        word = [((points >> np.uint64(self.bits * j)) & mask).astype(np.int64) for j in range(self.words)]
+        out = []
+        for j in range(self.words):
+            halved = self.halved[j][word[j]]
+            row = np.flatnonzero(halved == 0)
+            out.append((row, (self.leaf[j][word[j][row]] << 2) + j, np.ones(len(row), dtype=bool)))
+            for c in np.unique(halved[halved > 0]):
+                heavy = np.flatnonzero(halved == c)
+                for v in range(self.words):
+                    if v != j:
+                        at, leaf, own = self.again[v, int(c)].visits(word[v][heavy], self.reach)
+                        shard = (1 << 62) + (((word[j][heavy[at]] << 20) + leaf) << 4) + (j << 2) + v
+                        out.append((heavy[at], shard, own))
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -188,23 +239,24 @@ def shard_forest(fps: np.ndarray, own: np.ndarray, reach: int) -> tuple[np.ndarr
 
 def links(fps: DataFrame, reach: int = 3) -> DataFrame:
     """``a, b``: a forest over the distinct fingerprints ``fp`` whose trees
-    are the components of "differ in at most ``reach`` bits".
+    are the components of "differ in at most ``reach`` bits" (3 or less).
 
-    The top tree is made of a sample of at most SAMPLE fingerprints by hash;
-    its depth follows the number of fingerprints, and every fingerprint is
-    sent down it."""
+    The driver sees how many fingerprints have each value of each 16-bit word,
+    at most 4 * 65,536 counts, and sends out the shard of each value."""
     spark = ready(fps)
-    n = fps.count()
-    depth = max(0, math.ceil(math.log2(max(1, n / SHARD))))
-    part = max(1, n // SAMPLE)
-    some = fps.filter(F.pmod(F.xxhash64("fp"), F.lit(part)) == 0).limit(4 * SAMPLE).collect()
-    sample = np.sort(np.array([r["fp"] for r in some], dtype=np.int64).view(np.uint64))
-    tree = TopTree(np.random.default_rng(5).permutation(sample), depth)
+    if reach > 3:
+        raise ValueError("two fingerprints over 3 bits apart need not agree in one of four words")
+    words = F.array(*[F.struct(F.lit(j).alias("j"), F.shiftrightunsigned("fp", 16 * j).bitwiseAND(0xFFFF).alias("w"))
+                      for j in range(4)])
+    weights = np.zeros((4, 1 << 16), dtype=np.int64)
+    for r in fps.select(F.explode(words).alias("x")).groupBy("x.j", "x.w").count().collect():
+        weights[r["j"], r["w"]] = r["count"]
+    router = spark.sparkContext.broadcast(Router(weights, reach, SHARD))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             points = pdf["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-            rows, shard, own = tree.visits(points, reach)
+            rows, shard, own = router.value.route(points)
             yield pd.DataFrame({"shard": shard, "fp": points[rows].view(np.int64), "own": own})
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
