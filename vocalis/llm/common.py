@@ -22,6 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Names for an operator's own columns, none of them one of ``df``'s."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back: later
     steps neither repeat the work nor depend on an executor's local files."""

@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, ready, words_of
+from .common import SPACE, ascii_lower, cut, private, ready, words_of
 
 #: A line is template text of a host if more than this many of its distinct
 #: documents hold it, and more than this share of them.
 MIN_DOCS, MIN_SHARE = 20, 0.001
-#: ... whose other lines differ: at least so many kinds of company per text.
-MIN_SPREAD = 0.2
 #: A document is depleted if more than this share of its words goes.
 MAX_REMOVED = 0.5
 #: Words of a window whose repeats are counted.
@@ -41,22 +39,23 @@ def base_features(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    w, l, h, p, r = private(docs, "w", "l", "h", "p", "r")
     df = (
-        docs.drop(*names).withColumn("_w", words_of(F.col(text))).withColumn("_l", lines)
-        .withColumn("_h", _covered(F.col("_w"), window))
-        .withColumn("n_words", F.size("_w").cast("long"))
-        .withColumn("word_chars", F.char_length(F.array_join("_w", "")).cast("long"))
+        docs.drop(*names).withColumn(w, words_of(F.col(text))).withColumn(l, lines)
+        .withColumn(h, _covered(F.col(w), window))
+        .withColumn("n_words", F.size(w).cast("long"))
+        .withColumn("word_chars", F.char_length(F.array_join(w, "")).cast("long"))
         .withColumn("n_symbols", (F.char_length(t) - F.char_length(F.translate(t, "#*$%&|<>", ""))).cast("long"))
-        .withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
+        .withColumn("n_dup_lines", (F.size(l) - F.size(F.array_distinct(l))).cast("long"))
     )
-    pairs = F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("_p", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), pairs))
-    same = lambda p, k: F.get(F.col("_p"), k)["h"] == p["h"]
-    at = F.transform(F.filter("_p", lambda p, k: F.coalesce(same(p, k - 1), F.lit(False))
-                              | F.coalesce(same(p, k + 1), F.lit(False))), lambda p: p["i"])
-    df = df.withColumn("_r", F.array_sort(at))
-    steps = F.transform("_r", lambda x, k: F.least(
-        F.coalesce(F.get(F.col("_r"), k + 1) - x, F.lit(window)), F.lit(window)).cast("long"))
+    pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    df = df.withColumn(p, F.when(F.size(F.array_distinct(h)) < F.size(h), pairs))
+    same = lambda x, k: F.get(F.col(p), k)["h"] == x["h"]
+    at = F.transform(F.filter(p, lambda x, k: F.coalesce(same(x, k - 1), F.lit(False))
+                              | F.coalesce(same(x, k + 1), F.lit(False))), lambda x: x["i"])
+    df = df.withColumn(r, F.array_sort(at))
+    steps = F.transform(r, lambda x, k: F.least(
+        F.coalesce(F.get(F.col(r), k + 1) - x, F.lit(window)), F.lit(window)).cast("long"))
     df = df.withColumn("n_repeat_words", F.coalesce(
         F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -72,36 +71,28 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(plain, SPACE, " "))
 
 
+def text_key(text: Column) -> Column:
+    """A sign of a whole text (null: that of an empty one)."""
+    return F.xxhash64(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def line_table(docs: DataFrame, host: str, text: str) -> DataFrame:
-    """A row for each normalised line with a word of each text: ``host, key, line`` (hashes), ``words`` and ``others``: the
-    least hash among the text's other lines, or the text's own."""
-    per = (
-        docs.select(F.col(host).cast("string").alias("host"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-        .withColumn("key", F.md5(F.col("t")))
-    )
-    lines = F.filter(F.transform(F.split("t", "\n"), normal_line), lambda x: x != "")
-    per = per.select("host", "key", F.transform(lines, lambda x: F.struct(
-        F.md5(x).alias("h"), F.size(F.split(x, " ")).cast("long").alias("n"))).alias("l"))
-    # The two least hashes tell for each line the least of the others.
-    least = F.array_sort(F.array_distinct(F.transform("l", lambda x: x["h"])))
-    per = per.withColumn("_m", F.slice(least, 1, 2)).select("host", "key", "_m", F.explode("l").alias("x"))
-    others = F.when(F.get("_m", F.lit(0)) != F.col("x.h"), F.get("_m", F.lit(0))).otherwise(
-        F.coalesce(F.get("_m", F.lit(1)), F.col("key")))
-    return per.select("host", F.xxhash64("key").alias("key"), F.xxhash64("x.h").alias("line"),
-                      F.col("x.n").alias("words"), F.xxhash64(others).alias("others"))
-
-
-def template_lines(lines: DataFrame, hosts: DataFrame, min_docs: int, min_share: float) -> DataFrame:
-    """``_th, _tl`` (host, line) of the lines above the limits. Texts that
-    agree in their ``others`` hash count as one document, and there must be
-    MIN_SPREAD as many of those as texts: the lines of a text that was copied,
-    exactly or nearly, keep the same company and are no template text."""
-    found = (
-        lines.select("host", "line", "others", "key").distinct()
-        .groupBy("host", "line", "others").agg(F.count("*").alias("n"))
-        .groupBy("host", "line").agg(F.count("*").alias("docs"), F.sum("n").alias("texts"))
-        .filter((F.col("docs") > min_docs) & (F.col("docs") >= MIN_SPREAD * F.col("texts")))
-    )
+    """``host, key, first, line, words``: a row for each line with a word of
+    each row of ``docs``, its sign and its words. ``first`` marks one row of
+    each document, which is there even if it has no such line (null then)."""
+    per = docs.select(F.col(host).cast("string").alias("host"), text_key(F.col(text)).alias("key"),
+                      F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("at", "raw"))
+    per = per.select("host", "key", (F.col("at") == 0).alias("first"), normal_line(F.col("raw")).alias("norm"))
+    some = F.col("norm") != ""
+    return per.filter(some | F.col("first")).select(
+        "host", "key", "first", F.when(some, F.xxhash64(F.md5("norm"))).alias("line"),
+        F.when(some, F.regexp_count("norm", F.lit(" ")) + 1).cast("long").alias("words"))
+
+
+def template_lines(per_line: DataFrame, hosts: DataFrame, min_docs: int, min_share: float) -> DataFrame:
+    """``_th, _tl`` (host, line) of the lines above the limits, from ``host,
+    key, line`` rows that name each line of each distinct text once."""
+    found = per_line.groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") > min_docs)
     per = hosts.select(F.col("host").alias("_h"), "host_docs")
     return (
         found.join(per, F.col("host").eqNullSafe(F.col("_h")))
@@ -116,33 +107,37 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text",
     """``docs`` with the base features, ``n_removed_words`` (in template lines
     of its host, long), ``depleted`` and ``kept``.
 
-    Null hosts form one host. Equal (host, text) rows share one verdict, so
-    repeated rows are counted once. Lines of a hot host spread by line, and
-    counts combine before each shuffle. Template lines meet the lines again in
-    a plain join that Spark plans by size. Columns of these names are
-    replaced, others kept; an empty table stays empty; a null or empty text
-    has no lines and fails the base rule.
+    A line is template text of a host if more than ``min_docs`` of its distinct
+    texts, and more than ``min_share`` of them, hold it. Null hosts form one
+    host. Equal (host, text) rows count as one text and share one verdict; texts
+    that differ anywhere are different documents. Lines of a hot host spread by
+    line, counts combine before each shuffle, and template lines meet the lines
+    again in a join that Spark plans by size. Columns of these names are
+    replaced, others kept, whatever they are called; an empty table stays
+    empty; a null or empty text has no lines and fails the base rule.
     """
     ready(docs)
     names = ("n_removed_words", "depleted", "kept")
-    lines = line_table(docs, host, text)
-    own_key = F.xxhash64(F.md5(F.coalesce(F.col(text), F.lit(""))))
-    texts = docs.select(F.col(host).cast("string").alias("host"), own_key.alias("key"))
-    hosts = texts.distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    template = template_lines(lines, hosts, min_docs, min_share)
+    stored = cut(line_table(docs, host, text))
+    texts = stored.groupBy("host", "key").agg(F.count_if("first").alias("copies"))
+    hosts = texts.groupBy("host").agg(F.count("*").alias("host_docs"))
+    # Every copy has brought the text's lines once more.
+    per_line = stored.filter(F.col("line").isNotNull()).groupBy("host", "key", "line").agg(F.sum("words").alias("words"))
+    template = template_lines(per_line, hosts, min_docs, min_share)
     same = F.col("host").eqNullSafe(F.col("_th")) & (F.col("line") == F.col("_tl"))
-    hits = lines.join(template, same).groupBy(F.col("host").alias("_host"), F.col("key").alias("_key")).agg(
-        F.sum("words").alias("_w"))
-    copies = texts.groupBy(F.col("host").alias("_ch"), F.col("key").alias("_ck")).agg(F.count("*").alias("_c"))
-    # Each copy has given the text's lines once more.
-    both = F.col("_host").eqNullSafe(F.col("_ch")) & (F.col("_key") == F.col("_ck"))
-    removed = hits.join(copies, both).select("_host", "_key", (F.col("_w") / F.col("_c")).cast("long").alias("_gone"))
-    rows = base_features(docs.drop(*names), text).withColumn("_k", own_key)
-    its = F.col(host).cast("string").eqNullSafe(F.col("_host")) & (F.col("_k") == F.col("_key"))
+    rows = base_features(docs.drop(*names), text)
+    k, its_host, its_key, gone = private(rows, "k", "its_host", "its_key", "gone")
+    hits = per_line.join(template, same).groupBy(F.col("host").alias("_host"), F.col("key").alias("_key")).agg(
+        F.sum("words").alias("w"))
+    both = F.col("_host").eqNullSafe(F.col("host")) & (F.col("_key") == F.col("key"))
+    removed = hits.join(texts, both).select(
+        F.col("_host").alias(its_host), F.col("_key").alias(its_key), (F.col("w") / F.col("copies")).cast("long").alias(gone))
+    rows = rows.withColumn(k, text_key(F.col(text)))
+    its = F.col(host).cast("string").eqNullSafe(F.col(its_host)) & (F.col(k) == F.col(its_key))
     return (
         rows.join(removed.hint("shuffle_hash"), its, "left")
-        .withColumn("n_removed_words", F.coalesce("_gone", F.lit(0)).cast("long"))
+        .withColumn("n_removed_words", F.coalesce(gone, F.lit(0)).cast("long"))
         .withColumn("depleted", F.col("n_removed_words") > max_removed * F.col("n_words"))
         .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
-        .drop("_k", "_host", "_key", "_gone")
+        .drop(k, its_host, its_key, gone)
     )

@@ -83,15 +83,11 @@ once AS (
   SELECT DISTINCT host, key, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(
     regexp_replace(translate(x, '{UPPER}', '{LOWER}'), '[0-9]+', '0', 'g'), '{_SPACE}', ' ', 'g'))), lambda x: x <> '') AS n
   FROM d),
-line AS (
-  SELECT host, key, md5(x) AS h, len(string_split(x, ' ')) AS words,
-    list_sort(list_distinct(list_transform(n, lambda y: md5(y)))) AS hs
-  FROM (SELECT host, key, n, unnest(n) AS x FROM once)),
+line AS (SELECT host, key, md5(x) AS h, len(string_split(x, ' ')) AS words FROM (SELECT host, key, unnest(n) AS x FROM once)),
 hosts AS (SELECT host, count(DISTINCT key) AS host_docs FROM d GROUP BY host),
-often AS (SELECT host, h, count(DISTINCT coalesce(CASE WHEN hs[1] <> h THEN hs[1] ELSE hs[2] END, key)) AS docs,
-    count(DISTINCT key) AS texts FROM line GROUP BY host, h),
+often AS (SELECT host, h, count(DISTINCT key) AS docs FROM line GROUP BY host, h),
 template AS (SELECT often.host, h FROM often JOIN hosts ON often.host IS NOT DISTINCT FROM hosts.host
-  WHERE docs > {quality_rules.MIN_DOCS} AND docs >= {quality_rules.MIN_SPREAD} * texts AND docs > {quality_rules.MIN_SHARE} * host_docs),
+  WHERE docs > {quality_rules.MIN_DOCS} AND docs > {quality_rules.MIN_SHARE} * host_docs),
 gone AS (SELECT line.host, key, sum(words) AS n FROM line JOIN template
   ON line.host IS NOT DISTINCT FROM template.host AND line.h = template.h GROUP BY line.host, key),
 final AS (SELECT base.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
