@@ -7,9 +7,9 @@ parts along; sorted from the last word back (suffix order) the same pass
 carries the counts of all last parts. The two passes are merged again in
 phrase order. No count is looked up in a hash table.
 
-Counting goes from short to long. Word and pair counts, kept under 64-bit
-signs, only tell what can't be frequent: a text is broken at such words and
-pairs, and what is left is counted exactly, as words.
+Counting goes from short to long. Counts of words, pairs and triples, kept
+under 64-bit signs, only tell what can't be frequent: a text is broken there,
+and what is left is counted exactly, as words.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from .common import cut, ordered, ready
 
 #: Words of the longest phrase, and occurrences that a phrase needs.
 LONGEST, LEAST = 5, 100
+#: Words of the longest phrase that is filtered by its sign.
+FILTERED = 3
 #: Bytes of text looked at together; a word and its gap have two or more, so
 #: word codes within stay below 2^21.
 AT_ONCE = 4_000_000
@@ -81,7 +83,7 @@ class Tokens:
         return np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words.to_pylist()], dtype=np.uint64)
 
 
-def _pair_signs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def _sign(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     mixed = (left * np.uint64(0x9E3779B97F4A7C15)) ^ (right + np.uint64(0x7F4A7C15F39CC060))
     mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return mixed ^ (mixed >> np.uint64(32))
@@ -142,11 +144,12 @@ def _sent(lang: str, found: _Gathered) -> pa.RecordBatch:
         [pa.array([lang] * len(signs), pa.string()), pa.array(signs.view(np.int64)), pa.array(counts)], ["lang", "h", "c"])
 
 
-def _sign_counts(texts: DataFrame, count) -> DataFrame:
-    """``lang, h, c`` from ``count(lang, Tokens) -> (signs, counts)``."""
+def _sign_counts(texts: DataFrame, count, words: int) -> DataFrame:
+    """``lang, h, c`` from ``count(lang, Tokens) -> (signs, counts)`` of
+    phrases of so many words."""
     def run(batches):
         found: dict[str, _Gathered] = {}
-        for lang, some in tokens(batches, 2):
+        for lang, some in tokens(batches, words):
             signs, counts = count(lang, some)
             if len(signs) and found.setdefault(lang, _Gathered()).add(signs, counts):
                 yield _sent(lang, found.pop(lang))
@@ -182,28 +185,43 @@ class Possible:
         return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _open_pairs(some: Tokens, signs: np.ndarray, words: Possible) -> tuple[np.ndarray, np.ndarray]:
-    """Per word: may it be frequent; and is it, with the next word of the same
-    piece, a pair of such."""
-    good = words.has(signs)[some.codes] if len(some.codes) else np.zeros(0, dtype=bool)
-    pair = np.zeros(len(good), dtype=bool)
-    pair[:-1] = good[:-1] & good[1:] & (some.piece[:-1] == some.piece[1:])
-    return good, pair
-
-
-def _windows(some: Tokens, good: np.ndarray, pair: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+def _possible(some: Tokens, h: np.ndarray, filters: list, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For phrases of 1, 2, ... ``order`` words that start at each word: may
+    they be frequent, by their parts and the filters there are; and the signs
+    of those of ``order`` words."""
+    word = h[some.codes] if len(some.codes) else np.zeros(0, dtype=np.uint64)
+    keep = filters[0].has(h)[some.codes] if filters and len(some.codes) else np.ones(len(word), dtype=bool)
+    signs, masks = word, [keep]
+    for k in range(2, order + 1):
+        on = np.zeros(len(word), dtype=bool)
+        on[:-1] = keep[:-1] & keep[1:]
+        if k == 2:
+            on[:-1] &= some.piece[:-1] == some.piece[1:]
+        at = np.flatnonzero(on)
+        longer = np.zeros(len(word), dtype=np.uint64)
+        longer[at] = _sign(signs[at], word[at + k - 1])
+        if k <= len(filters):
+            on[at] = filters[k - 1].has(longer[at])
+        signs, keep = longer, on
+        masks.append(keep)
+    return masks, signs
+
+
+def _windows(some: Tokens, masks: list[np.ndarray], longest: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct windows (codes, -1 where shorter) and counts: from each own
-    word as far as pairs go on, ``longest`` words at most."""
-    n = some.own
+    word that may be frequent as far as the masks of phrases of two and more
+    words allow, ``longest`` words at most."""
+    n, good, pair = some.own, masks[0], masks[1]
     single = np.bincount(some.codes[:n][good[:n] & ~pair[:n]], minlength=len(some.words))
     one = np.flatnonzero(single)
     start = np.flatnonzero(pair[:n])
     held = np.full((len(start), longest), -1, dtype=np.int64)
     held[:, 0] = some.codes[start]
     on = np.ones(len(start), dtype=bool)
-    for k in range(1, longest):
-        on[on] = pair[start[on] + k - 1]  # a pair's second word is within reach
-        held[on, k] = some.codes[start[on] + k]
+    for k in range(2, longest + 1):
+        m = min(k, len(masks))
+        on[on] = masks[m - 1][start[on] + k - m]  # so far the parts reach on, so this place is there
+        held[on, k - 1] = some.codes[start[on] + k - 1]
     order = np.lexsort(held.T[::-1])
     held = held[order]
     new = np.ones(len(held), dtype=bool)
@@ -217,40 +235,35 @@ def _windows(some: Tokens, good: np.ndarray, pair: np.ndarray, longest: int) ->
 def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, m, f`` of every phrase of up to ``longest`` words that
     occurs ``least`` times or more, and ``lang, n`` (all words), from ``lang,
-    text`` rows without nulls. A frequent phrase has only frequent words and
-    pairs, so windows that end at others lose none; the windows' first parts
+    text`` rows without nulls. Every part of a frequent phrase is frequent, so
+    windows that end where a part is not lose none; the windows' first parts
     then add up to exact counts of all orders."""
     spark = ready(texts)
-    sc = spark.sparkContext
     texts = texts.select("lang", "text")
+    filters, totals = [], None
+    for order in range(1, min(FILTERED, longest) + 1):
+        sent = list(filters)
 
-    def words(lang, some):
-        c = np.bincount(some.codes[:some.own], minlength=len(some.words))
-        seen = np.flatnonzero(c)
-        return some.signs(lang)[seen], c[seen]
-
-    signs = cut(_sign_counts(texts, words))
-    totals = signs.groupBy("lang").agg(F.sum("c").alias("n"))
-    word_filter = sc.broadcast(Possible(signs.filter(F.col("c") >= least)))
-
-    def pairs(lang, some):
-        h = some.signs(lang)
-        _, pair = _open_pairs(some, h, word_filter.value)
-        at = np.flatnonzero(pair[:some.own])
-        found, c = np.unique((some.codes[at] << 21) | some.codes[at + 1], return_counts=True)
-        return _pair_signs(h[found >> 21], h[found & ((1 << 21) - 1)]), c
-
-    frequent = cut(_sign_counts(texts, pairs).filter(F.col("c") >= least).select("h"))
-    pair_filter = sc.broadcast(Possible(frequent))
+        def count(lang, some, order=order, sent=sent):
+            h = some.signs(lang)
+            if order == 1:
+                c = np.bincount(some.codes[:some.own], minlength=len(some.words))
+                return h[c > 0], c[c > 0]
+            masks, signs = _possible(some, h, [f.value for f in sent], order)
+            return np.unique(signs[:some.own][masks[-1][:some.own]], return_counts=True)
+
+        signs = _sign_counts(texts, count, order)
+        if totals is None:
+            signs = cut(signs)
+            totals = signs.groupBy("lang").agg(F.sum("c").alias("n"))
+        frequent = cut(signs.filter(F.col("c") >= least).select("h"))
+        filters.append(spark.sparkContext.broadcast(Possible(frequent)))
     names = [f"w{k}" for k in range(1, longest + 1)]
 
     def windows(batches):
         for lang, some in tokens(batches, longest):
-            h = some.signs(lang)
-            good, pair = _open_pairs(some, h, word_filter.value)
-            at = np.flatnonzero(pair)
-            pair[at] = pair_filter.value.has(_pair_signs(h[some.codes[at]], h[some.codes[at + 1]]))
-            held, c = _windows(some, good, pair, longest)
+            masks, _ = _possible(some, some.signs(lang), [f.value for f in filters], len(filters))
+            held, c = _windows(some, masks, longest)
             if len(c):
                 cols = [some.words.take(pa.array(held[:, k], mask=held[:, k] < 0)).cast(pa.string()) for k in range(longest)]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), *cols, pa.array(c)], ["lang", *names, "c"])
