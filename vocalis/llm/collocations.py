@@ -35,6 +35,8 @@ FILTERED = 3
 AT_ONCE = 4_000_000
 #: Entries (sign, count) that a task gathers before it sends them on.
 GATHERED = 2_000_000
+#: ... and windows, which are strings.
+GATHERED_WINDOWS = 500_000
 #: Bits of the filter of possible words or pairs: about 32 for each frequent
 #: one, up to 16 MB in all. Past that it lets more through; counts stay exact.
 FILTER_BITS = 27
@@ -232,6 +234,12 @@ def _windows(some: Tokens, masks: list[np.ndarray], longest: int) -> tuple[np.nd
     return np.concatenate([short, held[at]]), np.concatenate([single[one], np.diff(np.append(at, len(held)))])
 
 
+def _added(found: list[pa.Table], names: list[str]) -> pa.Table:
+    """Equal windows of several chunks as one row each."""
+    added = pa.concat_tables(found).group_by(["lang", *names]).aggregate([("c", "sum")])
+    return added.rename_columns([c.removesuffix("_sum") for c in added.column_names]).select(["lang", *names, "c"])
+
+
 def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, m, f`` of every phrase of up to ``longest`` words that
     occurs ``least`` times or more, and ``lang, n`` (all words), from ``lang,
@@ -261,12 +269,21 @@ def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST)
     names = [f"w{k}" for k in range(1, longest + 1)]
 
     def windows(batches):
+        found, rows = [], 0
         for lang, some in tokens(batches, longest):
             masks, _ = _possible(some, some.signs(lang), [f.value for f in filters], len(filters))
             held, c = _windows(some, masks, longest)
-            if len(c):
-                cols = [some.words.take(pa.array(held[:, k], mask=held[:, k] < 0)).cast(pa.string()) for k in range(longest)]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), *cols, pa.array(c)], ["lang", *names, "c"])
+            cols = [some.words.take(pa.array(held[:, k], mask=held[:, k] < 0)).cast(pa.string()) for k in range(longest)]
+            found.append(pa.table([pa.array([lang] * len(c), pa.string()), *cols, pa.array(c)], ["lang", *names, "c"]))
+            rows += len(c)
+            if rows > GATHERED_WINDOWS:
+                found = [_added(found, names)]
+                rows = len(found[0])
+                if 2 * rows > GATHERED_WINDOWS:
+                    yield from found.pop().to_batches()
+                    rows = 0
+        if found:
+            yield from _added(found, names).to_batches()
 
     schema = "lang string, " + ", ".join(f"{x} string" for x in names) + ", c long"
     rows = texts.mapInArrow(windows, schema).groupBy("lang", *names).agg(F.sum("c").alias("c"))
