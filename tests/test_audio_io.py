@@ -52,15 +52,16 @@ def test_audio_stream(spark):
     src = audio.read_stream_audio(spark, root, max_files=2)
 
     def transform(batch):
-        clips = FT.with_status(audio.decode(batch.select(F.col("path").alias("clip_id"), "content")))
-        return FT.extract_features(clips).select("clip_id", "status", F.size("features").alias("n"))
+        clips = FT.with_status(audio.decode(batch.withColumn("clip_id", F.col("path"))))
+        f = FT.extract_features(clips, long_clip_samples=None, carry=ST.KEYS)
+        return f.select(*ST.KEYS, "clip_id", "status", F.size("features").alias("n"))
 
-    ST.run_to_table(src, transform, out + "/pred", out + "/ckpt")
+    assert ST.run_to_table(src, transform, out + "/pred", out + "/ckpt", "m") == 2
     rows = spark.read.parquet(out + "/pred").collect()
     assert len(rows) == 4 and {r["n"] for r in rows} == {185}
     assert len({r["epoch"] for r in rows}) == 2            # two files per micro-batch
     # a restart finds nothing new: output unchanged
-    ST.run_to_table(audio.read_stream_audio(spark, root, max_files=2), transform, out + "/pred", out + "/ckpt")
+    ST.run_to_table(audio.read_stream_audio(spark, root, max_files=2), transform, out + "/pred", out + "/ckpt", "m")
     assert spark.read.parquet(out + "/pred").count() == 4
 
 
@@ -152,13 +153,13 @@ def test_stream_picks_up_only_new_files(spark):
     out = tempfile.mkdtemp(prefix="vocalis-incr-out-")
 
     def transform(batch):
-        return batch.select("path", "length")
+        return batch.select(*ST.KEYS, "length")
 
-    ST.run_to_table(audio.read_stream_audio(spark, root), transform, out + "/t", out + "/ckpt")
+    ST.run_to_table(audio.read_stream_audio(spark, root), transform, out + "/t", out + "/ckpt", "m")
     assert spark.read.parquet(out + "/t").count() == 4
     with open(os.path.join(root, "Savee", "DC_n05.wav"), "wb") as fh:
         fh.write(wav_bytes(tone(550.0, 0.1)))
-    ST.run_to_table(audio.read_stream_audio(spark, root), transform, out + "/t", out + "/ckpt")
+    ST.run_to_table(audio.read_stream_audio(spark, root), transform, out + "/t", out + "/ckpt", "m")
     rows = spark.read.parquet(out + "/t").collect()
     assert len(rows) == 5 and len({r["epoch"] for r in rows}) == 2
 

@@ -203,3 +203,38 @@ def test_long_clip_path_matches_clip_at_once(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert np.allclose(a[k], b[k], rtol=1e-5, atol=1e-4), k
+
+
+def test_tuning_of_detuned_tones():
+    """A tone's deviation from the nearest semitone is found to some hundredths
+    (a parabola through three bins of power is that far off at this pitch)."""
+    for cents in (-40, -20, -3, 0, 12, 30, 40):
+        t = np.arange(22050) / 22050
+        x = 0.5 * np.sin(2 * np.pi * 440 * 2 ** (3 / 12 + cents / 1200) * t)
+        got = dsp.clip_spectral(x, 22050, 2048, 512, 128, 12, 0.85, 80.0, 1e-10)["tuning"]
+        assert abs(got - cents / 100) <= 0.08, (cents, got)
+    assert dsp.clip_spectral(np.zeros(4096), 22050, 2048, 512, 128, 12, 0.85, 80.0, 1e-10)["tuning"] == 0.0
+
+
+def test_long_clip_tuning_is_exact(spark):
+    """Medians from counted parts equal those of all peaks."""
+    from vocalis.operators import longclips
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for clip, n in (("a", 1001), ("b", 400), ("c", 1), ("d", 2)):
+        step, height = rng.integers(0, 100, n), np.round(rng.lognormal(0, 3, n), 2) + 0.01
+        rows += [(clip, int(s), float(h)) for s, h in zip(step, height)]
+        want[clip] = dsp.tuning_of(step, height)
+    got = longclips.tunings(spark.createDataFrame(rows, "clip_id string, step long, height double")).collect()
+    assert {r["clip_id"]: round(r["tuning"], 6) for r in got} == {k: round(v, 6) for k, v in want.items()}
+
+
+def test_noise_is_normal_and_a_function_of_key_and_place(spark):
+    from vocalis.operators.augment import noise_sql
+    df = spark.createDataFrame([("k1", 40001), ("k1", 7), ("k2", 7), ("k3", 0), ("k4", 1)], "k string, n int")
+    got = [np.array(r["e"]) for r in df.selectExpr(f"{noise_sql('k', 'n')} AS e").collect()]
+    assert [len(x) for x in got] == [40001, 7, 7, 0, 1]
+    assert (got[0][:7] == got[1]).all() and not (got[1] == got[2]).any()
+    x = got[0]
+    assert abs(x.mean()) < 0.02 and abs(x.std() - 1) < 0.02 and abs((x ** 3).mean()) < 0.06 and abs((x ** 4).mean() - 3) < 0.2
+    assert abs(np.corrcoef(x[:-1], x[1:])[0, 1]) < 0.02

@@ -358,30 +358,31 @@ def q_tone_signal(spark, sf):
 # --------------------------------------------------------------------------
 
 _SR, _NMELS, _NMFCC = V.SIGNAL_RATE, vocab.N_MELS, vocab.N_MFCC
-_NB = _NF // 2 + 1
-
-_SPEC_CTE = "WITH " + _SIG_CTE + f""",
-fr AS (SELECT clip_id, x, n, unnest(range(0, n // {_HOP} + 1)) AS i FROM sig),
-smp AS (
-  SELECT clip_id, i, m,
-         CASE WHEN i * {_HOP} - {_NF // 2} + m BETWEEN 0 AND n - 1
-              THEN x[i * {_HOP} - {_NF // 2} + m + 1] ELSE 0 END AS v
-  FROM fr CROSS JOIN range(0, {_NF}) t(m)
+_FFT, _STEP = vocab.N_FFT, vocab.HOP
+_NB = _FFT // 2 + 1
+
+#: Centred frames of full size as lists, times the windowed Fourier basis.
+_POWER_CTE = "WITH " + V.SUNG_CTE + f""",
+pad AS (SELECT clip_id, n, list_concat(list_concat([0.0::DOUBLE for z in range({_FFT // 2})], x), [0.0::DOUBLE for z in range({_FFT // 2})]) AS x FROM sung),
+fr AS MATERIALIZED (SELECT clip_id, i, x[i * {_STEP} + 1 : i * {_STEP} + {_FFT}] AS v
+  FROM (SELECT clip_id, x, unnest(range(0, n // {_STEP} + 1)) AS i FROM pad)),
+basis AS MATERIALIZED (
+  SELECT k, list((0.5 - 0.5 * cos(2 * pi() * m / {_FFT})) * cos(2 * pi() * ((m * k) % {_FFT}) / {_FFT}) ORDER BY m) AS c,
+            list((0.5 - 0.5 * cos(2 * pi() * m / {_FFT})) * sin(2 * pi() * ((m * k) % {_FFT}) / {_FFT}) ORDER BY m) AS s
+  FROM range(0, {_FFT}) a(m) CROSS JOIN range(0, {_NB}) b(k) GROUP BY k
 ),
-basis AS (
-  SELECT m, k, (0.5 - 0.5 * cos(2 * pi() * m / {_NF})) * cos(2 * pi() * m * k / {_NF}) AS wc,
-               (0.5 - 0.5 * cos(2 * pi() * m / {_NF})) * sin(2 * pi() * m * k / {_NF}) AS ws
-  FROM range(0, {_NF}) a(m) CROSS JOIN range(0, {_NB}) b(k)
-),
-spec AS (SELECT clip_id, i, k, sum(v * wc) AS re, sum(v * ws) AS im FROM smp JOIN basis USING (m) GROUP BY clip_id, i, k),
-pw AS (SELECT clip_id, i, k, re * re + im * im AS p, sqrt(re * re + im * im) AS mag, k * ({_SR} / {_NF}) AS f FROM spec),
+spec AS (SELECT clip_id, i, k, list_dot_product(v, c) AS re, list_dot_product(v, s) AS im FROM fr CROSS JOIN basis),
+pw AS MATERIALIZED (SELECT clip_id, i, k, re * re + im * im AS p, sqrt(re * re + im * im) AS mag,
+  k * ({_SR}::DOUBLE / {_FFT}) AS f FROM spec)"""
+
+_SPEC_CTE = _POWER_CTE + f""",
 mp AS (
   SELECT j, CASE WHEN mm >= 15 THEN 1000 * exp(ln(6.4) / 27 * (mm - 15)) ELSE mm * 200 / 3 END AS f
   FROM (SELECT j, j * ((15 + ln({_SR} / 2 / 1000) / (ln(6.4) / 27)) / {_NMELS + 1}) AS mm FROM range(0, {_NMELS + 2}) t(j))
 ),
 mel_fb AS (
   SELECT a.j AS band, t.k,
-         greatest(0, least((t.k * ({_SR} / {_NF}) - a.f) / (b.f - a.f), (c.f - t.k * ({_SR} / {_NF})) / (c.f - b.f)))
+         greatest(0, least((t.k * ({_SR}::DOUBLE / {_FFT}) - a.f) / (b.f - a.f), (c.f - t.k * ({_SR}::DOUBLE / {_FFT})) / (c.f - b.f)))
            * 2 / (c.f - a.f) AS w
   FROM mp a JOIN mp b ON b.j = a.j + 1 JOIN mp c ON c.j = a.j + 2 CROSS JOIN range(0, {_NB}) t(k)
   WHERE a.j < {_NMELS}
@@ -390,26 +391,26 @@ mf AS (SELECT clip_id, i, band, sum(p * w) AS mel FROM pw JOIN mel_fb USING (k)
 
 
 def _spec(spark, sf):
-    return SPC.with_spectral(V.signals(spark, sf), sr=_SR, n_fft=_NF, hop=_HOP)
+    return SPC.with_spectral(V.sung_clips(spark, sf))
 
 
-@register("power_spectrum", "D6", sql=_SPEC_CTE + """
-SELECT clip_id, k AS bin, round(avg(p), 6) AS power FROM pw GROUP BY clip_id, k
+@register("power_spectrum", "D6", sql=_POWER_CTE + """
+SELECT clip_id, k AS bin, round(avg(p), 3) AS power FROM pw GROUP BY clip_id, k
 """)
 def q_power_spectrum(spark, sf):
-    return SPC.exploded(_spec(spark, sf), F.col("spec.power_mean"), "bin", "power")
+    return SPC.exploded(_spec(spark, sf), F.col("spec.power_mean"), "bin", "power", 3)
 
 
-@register("spectral_centroid", "D7", sql=_SPEC_CTE + """,
+@register("spectral_centroid", "D7", sql=_POWER_CTE + """,
 cf AS (SELECT clip_id, i, CASE WHEN sum(mag) > 0 THEN sum(mag * f) / sum(mag) ELSE 0 END AS c
        FROM pw GROUP BY clip_id, i)
-SELECT clip_id, round(avg(c), 6) AS centroid FROM cf GROUP BY clip_id
+SELECT clip_id, round(avg(c), 4) AS centroid FROM cf GROUP BY clip_id
 """)
 def q_spectral_centroid(spark, sf):
-    return _spec(spark, sf).select("clip_id", F.round("spec.centroid", 6).alias("centroid"))
+    return _spec(spark, sf).select("clip_id", F.round("spec.centroid", 4).alias("centroid"))
 
 
-@register("spectral_rolloff", "D8", sql=_SPEC_CTE + """,
+@register("spectral_rolloff", "D8", sql=_POWER_CTE + """,
 cs AS (SELECT clip_id, i, k, f,
               sum(mag) OVER (PARTITION BY clip_id, i ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
               sum(mag) OVER (PARTITION BY clip_id, i) AS tot FROM pw),
@@ -421,10 +422,10 @@ def q_spectral_rolloff(spark, sf):
 
 
 @register("mel_bands", "D9", sql=_SPEC_CTE + """
-SELECT clip_id, band, round(avg(mel), 6) AS mel FROM mf GROUP BY clip_id, band
+SELECT clip_id, band, round(avg(mel), 4) AS mel FROM mf GROUP BY clip_id, band
 """)
 def q_mel_bands(spark, sf):
-    return SPC.exploded(_spec(spark, sf), F.col("spec.mel_mean"), "band", "mel")
+    return SPC.exploded(_spec(spark, sf), F.col("spec.mel_mean"), "band", "mel", 4)
 
 
 @register("mfcc_mean", "D10", sql=_SPEC_CTE + f""",
@@ -434,23 +435,50 @@ dbmean AS (SELECT clip_id, band, avg(greatest(d, dmax - 80)) AS d FROM dbm GROUP
 dct AS (SELECT band, c, cos(pi() * c * (2 * band + 1) / {2 * _NMELS})
                         * CASE WHEN c = 0 THEN sqrt(1.0 / {_NMELS}) ELSE sqrt(2.0 / {_NMELS}) END AS w
         FROM range(0, {_NMELS}) a(band) CROSS JOIN range(0, {_NMFCC}) b(c))
-SELECT clip_id, c AS coef, round(sum(d * w), 6) AS mfcc FROM dbmean JOIN dct USING (band) GROUP BY clip_id, c
+SELECT clip_id, c AS coef, round(sum(d * w), 3) AS mfcc FROM dbmean JOIN dct USING (band) GROUP BY clip_id, c
 """)
 def q_mfcc_mean(spark, sf):
     s = _spec(spark, sf)
-    return SPC.exploded(s, SPC.mfcc(F.col("spec")), "coef", "mfcc")
-
-
-@register("chroma_mean", "D11", sql=_SPEC_CTE + f""",
-cq AS (SELECT j, 12 * log2((j * ({_SR} / {_NF})) / 27.5) AS q FROM range(1, {_NF}) t(j)),
-cq0 AS (SELECT 0 AS j, q - 18 AS q FROM cq WHERE j = 1 UNION ALL SELECT j, q FROM cq),
-cw AS (SELECT a.j, a.q, CASE WHEN b.j IS NULL THEN 1.0 ELSE greatest(b.q - a.q, 1.0) END AS width
-       FROM cq0 a LEFT JOIN cq0 b ON b.j = a.j + 1),
-cd AS (SELECT j, c, q, width, ((q - c + 6 + 120) % 12) - 6 AS d FROM cw CROSS JOIN range(0, 12) t(c)),
-ce AS (SELECT j, c, q, exp(-0.5 * pow(2 * d / width, 2)) AS e FROM cd),
-cn AS (SELECT j, c, e / sqrt(sum(e * e) OVER (PARTITION BY j)) * exp(-0.5 * pow((q / 12 - 5) / 2, 2)) AS w FROM ce),
-chroma_fb AS (SELECT (c + 9) % 12 AS cbin, j AS k, w FROM cn WHERE j <= {_NF // 2}),
-cv AS (SELECT clip_id, i, cbin, sum(p * w) AS v FROM pw JOIN chroma_fb USING (k) GROUP BY clip_id, i, cbin),
+    return SPC.exploded(s, SPC.mfcc(F.col("spec")), "coef", "mfcc", 3)
+
+
+#: Peaks by a parabola through three bins, their deviation from the nearest
+#: semitone in hundredths, and the commonest one among the taller half.
+_TUNING_CTE = _POWER_CTE + f""",
+nb AS (SELECT clip_id, i, k, f, p, lag(p) OVER w AS l, lead(p) OVER w AS r, 0.1 * max(p) OVER (PARTITION BY clip_id, i) AS a
+       FROM pw WINDOW w AS (PARTITION BY clip_id, i ORDER BY k)),
+top AS (SELECT *, r + l - 2 * p AS aa, (r - l) / 2 AS bb FROM nb
+        WHERE k BETWEEN 1 AND {_NB - 2} AND f >= 150 AND f < 4000 AND p > a
+          AND p > CASE WHEN l > a THEN l ELSE 0 END AND p >= CASE WHEN r > a THEN r ELSE 0 END),
+sh AS (SELECT *, CASE WHEN abs(bb) < abs(aa) THEN -bb / aa ELSE 0 END AS shift FROM top),
+oc AS (SELECT clip_id, p + 0.5 * bb * shift AS h, 12 * log2((k + shift) * ({_SR}::DOUBLE / {_FFT}) / 27.5) AS o FROM sh),
+dv AS (SELECT clip_id, h, o - floor(o) - CASE WHEN o - floor(o) >= 0.5 THEN 1 ELSE 0 END AS d FROM oc),
+pk AS MATERIALIZED (SELECT clip_id, h, least(99, CAST(floor((d + 0.5) * 100) AS BIGINT)) AS step FROM dv),
+md AS (SELECT clip_id, median(h) AS m FROM pk GROUP BY clip_id),
+ct AS (SELECT clip_id, step, count(*) AS n FROM pk JOIN md USING (clip_id) WHERE h >= m * (1 - 1e-9) GROUP BY clip_id, step),
+tun AS MATERIALIZED (SELECT clip_id, coalesce(step, 50) AS step FROM sung LEFT JOIN
+  (SELECT * FROM ct QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY n DESC, step) = 1) USING (clip_id))"""
+
+
+@register("clip_tuning", "D11", sql=_TUNING_CTE + """
+SELECT clip_id, round(step / 100.0 - 0.5, 6) AS tuning FROM tun
+""")
+def q_clip_tuning(spark, sf):
+    """Each clip's deviation from concert pitch, in parts of a semitone."""
+    return _spec(spark, sf).select("clip_id", F.round("spec.tuning", 6).alias("tuning"))
+
+
+@register("chroma_mean", "D11", sql=_TUNING_CTE + f""",
+st AS (SELECT DISTINCT step FROM tun),
+cq AS (SELECT step, j, 12 * log2((j * ({_SR}::DOUBLE / {_FFT})) / (440 * pow(2, (step / 100.0 - 0.5) / 12) / 16)) AS q
+       FROM st, range(1, {_FFT}) t(j)),
+cq0 AS (SELECT step, 0 AS j, q - 18 AS q FROM cq WHERE j = 1 UNION ALL SELECT step, j, q FROM cq),
+cw AS (SELECT step, j, q, greatest(lead(q) OVER (PARTITION BY step ORDER BY j) - q, 1.0) AS width FROM cq0),
+cd AS (SELECT step, j, c, q, width, ((q - c + 6 + 120) % 12) - 6 AS d FROM cw CROSS JOIN range(0, 12) t(c) WHERE j < {_NB}),
+ce AS (SELECT step, j, c, q, exp(-0.5 * pow(2 * d / width, 2)) AS e FROM cd),
+cn AS (SELECT step, j, c, e / sqrt(sum(e * e) OVER (PARTITION BY step, j)) * exp(-0.5 * pow((q / 12 - 5) / 2, 2)) AS w FROM ce),
+chroma_fb AS MATERIALIZED (SELECT step, (c + 9) % 12 AS cbin, j AS k, w FROM cn),
+cv AS (SELECT clip_id, i, cbin, sum(p * w) AS v FROM pw JOIN tun USING (clip_id) JOIN chroma_fb USING (step, k) GROUP BY clip_id, i, cbin),
 cm AS (SELECT *, max(v) OVER (PARTITION BY clip_id, i) AS mx FROM cv)
 SELECT clip_id, cbin AS chroma_bin, round(avg(v / CASE WHEN mx > 0 THEN mx ELSE 1 END), 6) AS chroma
 FROM cm GROUP BY clip_id, cbin
@@ -735,7 +763,7 @@ def decoded_clips(spark, sf):
     return sinks.materialize(dec, shared_dir(spark, "clips-" + uuid.uuid4().hex))
 
 
-@register("wav_features", "S1 D1 D12 D13 G6 P10", notes="rows-only: WAV codec has no SQL form")
+@register("wav_features", "D1 D12 D13 G6 P10", notes="rows-only: WAV codec has no SQL form")
 def q_wav_features(spark, sf):
     from ..operators import features as FT
     clips = FT.with_status(decoded_clips(spark, sf))
@@ -745,6 +773,47 @@ def q_wav_features(spark, sf):
                     F.round(F.element_at("features", 1), 4).alias("mfcc0"))
 
 
+@register("table_files", "S1", sql="""
+SELECT name || '.parquet' AS file, hex('PAR1') AS head, hex('PAR1') AS tail
+FROM (VALUES ('region'), ('nation'), ('customer'), ('supplier'), ('part'), ('orders'), ('lineitem'), ('events'),
+  ('documents'), ('embeddings'), ('pages'), ('benchmark'), ('labels'), ('conversations')) AS t(name)
+""")
+def q_table_files(spark, sf):
+    """The given tables' own files through the binary source: base name, first
+    and last four bytes (the format's magic number) of each."""
+    from ..sources import audio
+    head, tail = audio.file_ends()
+    return audio.scan_audio(spark, sf, "*.parquet").select(
+        audio.file_name().alias("file"), head.alias("head"), tail.alias("tail"))
+
+
+_PCM_SQL = "round_even(greatest(least(emb[({i}) % 64 + 1], 1.0), -1.0) * 32767, 0)"
+_BYTE_SQL = "right('0' || upper(to_hex((CAST({q} AS BIGINT) + 65536) % 65536 {part})), 2)"
+
+
+@register("audio_scan", "S1 P1 P2 P3 P4 X1 D1", sql="WITH " + V.WAV_FILES_CTE + f"""
+SELECT clip, label, CASE WHEN ('0x' || substr(md5(clip), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS split,
+  45 + 2 * n AS length, hex('RIFF') AS head,
+  {_BYTE_SQL.format(q=_PCM_SQL.format(i="n - 2"), part="// 256")}
+    || {_BYTE_SQL.format(q=_PCM_SQL.format(i="n - 1"), part="% 256")}
+    || {_BYTE_SQL.format(q=_PCM_SQL.format(i="n - 1"), part="// 256")} || '0A' AS tail,
+  'ok' AS status, n AS n_samples
+FROM wavs WHERE label <> 'unknown'
+""")
+def q_audio_scan(spark, sf):
+    """Real WAV files scanned as binary rows, labelled and split by their
+    names, then decoded: name, file length, first and last four bytes, decode
+    status and decoded length. Unlabelled files go before content is decoded."""
+    from ..sources import audio
+    files = audio.scan_audio(spark, V.wav_files(spark, sf), "*.txt")
+    head, tail = audio.file_ends()
+    clips = files.withColumns({"clip": audio.file_name(folder="clip"), "head": head, "tail": tail})
+    clips = LB.label_from_path(clips.withColumn("path", F.concat(F.lit("Crema/"), "clip")))
+    clips = SP.with_split(clips, "clip")
+    return audio.decode(clips).select("clip", "label", "split", "length", "head", "tail",
+                                      F.col("decode_status").alias("status"), F.size("samples").cast("long").alias("n_samples"))
+
+
 _WAV_CTE = """WITH base AS (
   SELECT vec_id AS clip_id, CAST(floor((0.08::DOUBLE + label * 0.06::DOUBLE) * 22050) AS BIGINT) AS n,
          CASE WHEN ('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % 100 < 80
@@ -776,7 +845,34 @@ def q_audio_augment(spark, sf):
                       F.round(F.size("samples") / F.lit(V.SIGNAL_RATE), 6).alias("duration_s"), "n_original")
 
 
-@register("wav_status", "S1 D1 D13 D14 P10", sql=_WAV_CTE + """
+@register("noise_samples", "G1 G4 G6 D1", sql=_WAV_CTE.replace("SELECT vec_id AS clip_id,", "SELECT vec_id AS clip_id, CAST(embedding AS DOUBLE[]) AS emb,") + f""",
+four AS (SELECT clip_id, b, md5(clip_id || '|white_noise|' || b) AS h
+  FROM (SELECT clip_id, unnest(range(0, (n - 1) // 4 + 1)) AS b FROM base WHERE split = 'train')),
+pair AS (SELECT clip_id, 4 * b + 2 * j AS i, sqrt(-2 * ln((('0x' || h[16*j+1:16*j+8])::BIGINT + 1) / 4294967296.0::DOUBLE)) AS r,
+    2 * pi() * ('0x' || h[16*j+9:16*j+16])::BIGINT / 4294967296.0::DOUBLE AS t FROM four, range(0, 2) x(j)),
+noise AS (SELECT clip_id, i, r * cos(t) AS e FROM pair UNION ALL SELECT clip_id, i + 1, r * sin(t) FROM pair),
+y AS (SELECT clip_id, i, CAST(round_even(greatest(least(emb[i % 64 + 1], 1.0), -1.0) * 32767, 0) / 32768 AS FLOAT) AS x, e
+  FROM base JOIN noise USING (clip_id) WHERE i < n),
+q AS (SELECT clip_id, i, CAST(round_even(greatest(least(CAST(CAST(x + {vocab.NOISE_FACTOR}::DOUBLE * e AS FLOAT) AS DOUBLE), 1.0), -1.0) * 32767, 0) AS BIGINT) AS q FROM y)
+SELECT clip_id, i // 256 AS block, count(*) AS n, CAST(sum(q) AS BIGINT) AS total, CAST(sum(q * q) AS BIGINT) AS energy,
+  CAST(sum(q * (i % 256 + 1)) AS BIGINT) AS in_order FROM q GROUP BY clip_id, i // 256
+""")
+def q_noise_samples(spark, sf):
+    """The noisy version of every train clip, on the 16-bit grid: per block of
+    256 samples their sum, sum of squares and sum weighted by place, in units
+    of the grid, so that no sample can differ unseen."""
+    from ..operators import augment as AU
+    from ..sources import audio
+    clips = SP.with_split(audio.decode(V.wav_clips(spark, sf)).select("clip_id", "samples"), "clip_id")
+    fan = FO.fan_out(clips.filter("split = 'train'")).filter("augmentation = 'white_noise'")
+    y = AU.augment(fan, "clip_id").select("clip_id", F.posexplode("samples").alias("i", "x"))
+    q = y.select("clip_id", "i", F.rint(F.col("x") * 32768.0).cast("long").alias("q"))
+    return q.groupBy("clip_id", F.expr("CAST(i div 256 AS BIGINT)").alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("q").alias("total"), F.sum(F.col("q") * F.col("q")).alias("energy"),
+        F.sum(F.col("q") * (F.col("i") % 256 + 1)).alias("in_order"))
+
+
+@register("wav_status", "D1 D13 D14 P10", sql=_WAV_CTE + """
 SELECT clip_id, CASE WHEN n < 2048 THEN 'too_short' ELSE 'ok' END AS status, n AS n_samples,
        CAST(185 AS BIGINT) AS n_features
 FROM base
@@ -789,7 +885,7 @@ def q_wav_status(spark, sf):
     return f.select("clip_id", "status", F.size("features").cast("long").alias("n_features"), "n_samples")
 
 
-@register("failed_clips", "D1 D12 D13 P10 G4 G5 S1", sql=_WAV_CTE + """,
+@register("failed_clips", "D1 D12 D13 P10 G4 G5", sql=_WAV_CTE + """,
 bad AS (SELECT clip_id, split, CASE clip_id % 10 WHEN 3 THEN 'decode_error' WHEN 4 THEN 'empty' WHEN 5 THEN 'empty'
           ELSE 'ok' END AS decode_status, n FROM base),
 fan AS (SELECT b.*, t.augmentation FROM bad b,
@@ -904,23 +1000,25 @@ def q_batch_score(spark, sf):
 SELECT vec_id, label, pred, round(dist, 6) AS dist FROM pred
 """)
 def q_stream_score(spark, sf):
-    """The embeddings file as an arriving-file stream, scored micro-batch by
-    micro-batch with the centroid model fitted on the train rows; the result
-    table must equal batch scoring."""
+    """The embeddings as twelve arriving files, scored in several micro-batches
+    with the centroid model fitted on the train rows; then all files again from
+    a new checkpoint. The table must equal batch scoring, every row once."""
     from ..streaming import score_stream as ST
     f = _features(spark, sf)
     model = LN.NearestCentroid.fit(f.filter(F.col("split") == "train"))
-    schema = table(spark, sf, "embeddings").schema
-    src = ST.parquet_stream(spark, sf, schema, glob="embeddings.parquet")
+    root = shared_dir(spark, "stream-" + uuid.uuid4().hex)
+    rows = table(spark, sf, "embeddings")
+    rows.repartition(12, "vec_id").write.parquet(f"{root}/arriving")
+    src = ST.parquet_stream(spark, f"{root}/arriving", rows.schema, max_files=5)
 
     def transform(batch):
-        b = LN.train_test(batch.select("vec_id", "label", F.col("embedding").alias("features")), "vec_id")
+        b = LN.train_test(batch.select(*ST.KEYS, "vec_id", "label", F.col("embedding").alias("features")), "vec_id")
         return (model.transform(b.filter(F.col("split") == "test"))
-                .select("vec_id", "label", "pred", F.round("dist", 6).alias("dist")))
+                .select(*ST.KEYS, "vec_id", "label", "pred", F.round("dist", 6).alias("dist")))
 
-    root = shared_dir(spark, "stream-" + uuid.uuid4().hex)
-    ST.run_to_table(src, transform, f"{root}/predictions", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/predictions").drop("epoch")
+    for run in ("first", "again"):
+        ST.run_to_table(src, transform, f"{root}/predictions", f"{root}/checkpoint-{run}", "centroid")
+    return ST.latest(ST.read_table(spark, f"{root}/predictions")).drop(*ST.KEYS)
 
 
 @register("augmented_store", "S3 S4 G4 A2", sql=_FAN_SQL + """
@@ -1048,6 +1146,38 @@ def q_wav_time_features(spark, sf):
     return f.select("clip_id", "status", *[F.round(c, 6).alias(c) for c in ("zcr", "rms", "entropy")])
 
 
+@register("audio_stream", "R6 S1 D1 D3 D4", sql=REGISTRY["wav_time_features"].sql.replace("WITH e AS", "WITH " + V.WAV_FILES_CTE + ",\ne AS").replace(
+    "SELECT e.clip_id, CASE WHEN e.n < 2048 THEN 'too_short' ELSE 'ok' END AS status,\n       round(zcr, 6) AS zcr, round(rms, 6) AS rms,",
+    "SELECT wavs.clip, wavs.label, 'time-features' AS model, CAST(1 AS BIGINT) AS n_versions, "
+    "CASE WHEN e.n < 2048 THEN 'too_short' ELSE 'ok' END AS status, round(zcr, 6) AS zcr, round(rms, 6) AS rms,").replace(
+    "FROM e LEFT JOIN agg USING (clip_id)", "FROM e LEFT JOIN agg USING (clip_id) JOIN wavs ON wavs.vec_id = e.clip_id WHERE wavs.label <> 'unknown'"))
+def q_audio_stream(spark, sf):
+    """WAV files arriving as a stream: labelled by name, decoded and measured
+    micro-batch by micro-batch, merged by (path, modification time, model);
+    then restarted from its checkpoint and fed again from a new one. Every
+    file is there once, with its features."""
+    from ..operators import features as FT
+    from ..sources import audio
+    from ..streaming import score_stream as ST
+    root = V.wav_files(spark, sf)
+    sink = shared_dir(spark, "audio-stream-" + uuid.uuid4().hex)
+    src = audio.read_stream_audio(spark, f"{root}/Crema/*", "*.txt", max_files=200)
+
+    def transform(batch):
+        b = batch.withColumn("clip", audio.file_name(folder="clip")).withColumn("file", F.col("path"))
+        b = LB.label_from_path(b.withColumn("path", F.concat(F.lit("Crema/"), "clip")))
+        b = FT.with_status(audio.decode(b.withColumn("path", F.col("file"))).withColumn("clip_id", F.col("path")))
+        f = FT.extract_features(b, keep_parts=True, long_clip_samples=None,
+                                carry=["path", "modificationTime", "model", "clip", "label"])
+        return f.select(*ST.KEYS, "clip", "label", "status", *[F.round(c, 6).alias(c) for c in ("zcr", "rms", "entropy")])
+
+    for checkpoint in ("one", "one", "two"):
+        ST.run_to_table(src, transform, f"{sink}/clips", f"{sink}/{checkpoint}", "time-features")
+    versions = ST.read_table(spark, f"{sink}/clips")
+    n = versions.groupBy("path", "model").agg(F.count(F.lit(1)).alias("n_versions"))
+    return ST.latest(versions).join(n, ["path", "model"]).drop("path", "modificationTime")
+
+
 _NAME_SQL = ("CASE WHEN cls < 8 THEN ["
              + ", ".join(f"'{n}'" for n in vocab.EMOTIONS_8) + "][cls + 1] ELSE 'class_' || cls END")
 

@@ -137,3 +137,54 @@ def wav_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = F.slice(F.flatten(F.array_repeat(F.col("embedding"), reps)), F.lit(1), n)
     return e.select(F.col("vec_id").alias("clip_id"), "label",
                     audio.encode_udf(samples, F.lit(SIGNAL_RATE)).alias("content"))
+
+
+def wav_files(spark: SparkSession, sf_dir: str) -> str:
+    """The WAV clips as files: a folder with one file per clip, under
+    ``Crema/clip=<vec_id>_DFA_<code>_XX.wav/``; returns the folder. The code
+    is that of ``vec_id % 9``, unknown ones included."""
+    from ..session import shared_dir
+    from ..sources import sinks
+    code = f"element_at({_arr(CREMA_CODES)}, cast(clip_id % 9 + 1 AS INT))"
+    root = shared_dir(spark)
+    clips = wav_clips(spark, sf_dir).selectExpr(
+        f"concat(cast(clip_id AS STRING), '_DFA_', {code}, '_XX.wav') AS clip", "content")
+    sinks.write_files(clips, f"{root}/Crema", "clip", "content")
+    return root
+
+
+#: The same in SQL: name, label and the encoded 16-bit samples' count.
+WAV_FILES_CTE = f"""
+wavs AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS emb,
+    vec_id || '_DFA_' || ({CREMA_CODES})[vec_id % 9 + 1] || '_XX.wav' AS clip,
+    CAST(floor((0.08::DOUBLE + label * 0.06::DOUBLE) * {SIGNAL_RATE}) AS BIGINT) AS n,
+    CASE ({CREMA_CODES})[vec_id % 9 + 1] WHEN 'ANG' THEN 'angry' WHEN 'DIS' THEN 'disgust' WHEN 'FEA' THEN 'fear'
+      WHEN 'HAP' THEN 'happy' WHEN 'NEU' THEN 'neutral' WHEN 'SAD' THEN 'sad' ELSE 'unknown' END AS label
+  FROM embeddings
+)"""
+
+
+#: Sung clips: 0.1 s of the tiled vector under a tone that is off concert pitch
+#: by up to 1/4 of a semitone, on the 16-bit grid. Frames have full size.
+SUNG_N = 2205
+_SUNG_HZ = "220 * pow(2D, (vec_id % 37) / 12D + (vec_id % 50 - 25) / 1200D)"
+
+
+def sung_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(clip_id, samples)."""
+    from ..operators.split import spread
+    wave = (f"transform(sequence(0, {SUNG_N - 1}), i -> CAST(rint((0.25D * element_at(embedding, i % 64 + 1) + "
+            f"0.5D * sin(2 * pi() * hz * i / {SIGNAL_RATE})) * 32768) / 32768 AS FLOAT))")
+    e = spread(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id")
+    return e.selectExpr("vec_id AS clip_id", "embedding", f"{_SUNG_HZ} AS hz").selectExpr("clip_id", f"{wave} AS samples")
+
+
+SUNG_CTE = f"""
+sung AS MATERIALIZED (
+  SELECT clip_id, count(*) AS n, list(x ORDER BY i) AS x
+  FROM (SELECT vec_id AS clip_id, i, CAST(CAST(round_even((0.25 * CAST(embedding[i % 64 + 1] AS DOUBLE)
+          + 0.5 * sin(2 * pi() * {_SUNG_HZ.replace("D", "::DOUBLE")} * i / {SIGNAL_RATE})) * 32768, 0) / 32768 AS FLOAT) AS DOUBLE) AS x
+        FROM embeddings, range(0, {SUNG_N}) t(i))
+  GROUP BY clip_id
+)"""

@@ -26,6 +26,14 @@ def write_partitioned(df: DataFrame, out: str, *partition_cols: str) -> None:
        .partitionBy(*partition_cols).parquet(out))
 
 
+def write_files(df: DataFrame, out: str, name: str, content: str) -> None:
+    """One file of raw bytes for each row, under ``out/<name>=<value>/``. The
+    text sink writes a string's bytes as they are and a newline after them,
+    which readers of sized chunks (RIFF) pass over."""
+    (df.select(name, df[content].cast("string").alias("value")).write.partitionBy(name)
+       .option("maxRecordsPerFile", 1).text(out))
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage so a lost
     executor recomputes from this table, not from the raw blobs."""
