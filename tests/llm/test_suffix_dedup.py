@@ -118,3 +118,33 @@ def test_a_frequent_anchor_is_split(spark, monkeypatch):
     want = Counter((d, k, n) for (d, _, _), (k, n) in zip(rows, kept_bytes(raw)))
     assert sum(n for _, _, n in want) > 30
     assert Counter((r["doc_id"], bytes(r["kept"]), r["n_spans"]) for r in got) == want
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_a_sign_that_clashes_joins_no_strings(spark, monkeypatch, clash):
+    """All subgroups of one sign: blocks are told apart by their bytes."""
+    monkeypatch.setattr(D, "SPLIT", 1)
+    if clash:
+        class Same:
+            @staticmethod
+            def xxh64_intdigest(data, seed):
+                return 7
+        monkeypatch.setattr(D, "xxhash", Same)
+    phrase = "Licensed under the terms of the general public licence, version 2"
+    rows = [(i, prose(3 * i, 30) + phrase + prose(3 * i + 1, 30), "a") for i in range(12)]
+    around = prose(7000, 20)[-90:] + phrase + prose(7001, 20)[:90]
+    rows += [(40 + i, prose(9000 + i, 25) + around + prose(9500 + i, 25), "b") for i in range(4)]
+    got = D.remove_repeats(documents(spark, rows)).collect()
+    raw = [t.encode() for _, t, _ in rows]
+    want = Counter((d, k, n) for (d, _, _), (k, n) in zip(rows, kept_bytes(raw)))
+    assert Counter((r["doc_id"], bytes(r["kept"]), r["n_spans"]) for r in got) == want
+
+
+def test_internal_names_do_not_clash(spark):
+    names = ["kept", "n_spans", "k1", "k2", "_k1", "r", "_r", "n", "_n", "h", "sh", "g", "runs", "ranges", "many", "large"]
+    rows = planted()
+    got = D.without_repeats(with_clashes(documents(spark, rows), *names))
+    plain = D.without_repeats(documents(spark, rows))
+    assert got.columns == plain.columns + names
+    assert all(r[n] == "clash" for r in got.collect() for n in names)
+    assert Counter(map(tuple, got.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))

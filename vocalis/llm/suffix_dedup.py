@@ -4,9 +4,11 @@ A string of LENGTH bytes that occurs twice picks the same anchor in both
 places: the GRAM-byte string of least hash inside it. So neighbouring strings
 with one anchor form a segment, segments meet by anchor, and each anchor's
 distinct segments get a suffix array (``suffix_array``), in which equal
-strings are neighbours. Texts with anchors of their own never move. The strings
-of an anchor with more than SPLIT bytes of distinct segments meet in Spark
-instead, by the anchor, its place in the string and the string's hash.
+strings are neighbours. Texts with anchors of their own never move. An anchor
+with more than SPLIT bytes of distinct segments is sorted in subgroups: equal
+strings have their anchor in the same place, so segments are cut into blocks of
+strings by ranges of that place, and blocks meet by range and by the bytes that
+all their strings share. Ranges are narrowed until a subgroup is small enough.
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, ready
+from .common import chunks, cut, private, ready
 from .suffix_array import suffix_arrays
 
 LENGTH, GRAM = 200, 32
@@ -27,8 +30,8 @@ LENGTH, GRAM = 200, 32
 AT_ONCE, SORTED = 1_000_000, 4_000_000
 #: Bytes of one anchor's distinct segments that are sorted together.
 SPLIT = 500_000
-#: Strings of one anchor that are looked at together before they are split.
-BLOCK = 16
+#: Places of the anchor in one block's strings, narrowed from first to last.
+WIDTHS = (64, 16, 4, 1)
 
 
 @lru_cache(maxsize=1)
@@ -180,62 +183,76 @@ def repeated_strings(groups: list[tuple[list[bytes], list[bool], list[int]]], le
     return masks
 
 
-def string_hashes(row: bytes, o: int, length: int) -> tuple[np.ndarray, ...]:
-    """The hash of each string of a segment, and for each of its blocks the
-    number, the first string and the hash of the bytes all strings of that
-    block share. A block holds the strings whose anchor's place is in one
-    range of BLOCK, so equal strings are in blocks of equal number and hash."""
-    raw = np.frombuffer(row, dtype=np.uint8)
-    power, back = _powers(2 * AT_ONCE + 4 * length)
-    total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=total[1:])
-    n, wide = len(raw) - length + 1, min(BLOCK, length)
-    strings = _mix((total[length:] - total[:n]) * back[:n])
-    block = (o - np.arange(n)) // wide
-    first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-    a = o - wide * block[first]
-    cores = _mix((total[a + length - wide + 1] - total[a]) * back[a])
-    return strings.view(np.int64), block[first], first, cores.view(np.int64)
-
-
-def split_anchors(rows: DataFrame, length: int) -> DataFrame:
-    """``h, sh, runs`` of the distinct segments ``h, sh, many, o, bytes``: the
-    runs of strings that occur anywhere else, found without bringing an
-    anchor's segments together. Blocks that occur once go before their strings
-    are spread; counts combine before each shuffle, and Spark splits frequent
-    blocks and strings in the joins."""
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for h, sh, o, row in zip(pdf["h"], pdf["sh"], pdf["o"], pdf["bytes"]):
-                strings, block, first, cores = string_hashes(row, o, length)
-                ends = np.r_[first[1:], len(strings)]
-                out += [(h, sh, o - a, b, c, a, strings[a:z]) for b, a, z, c in zip(
-                    block.tolist(), first.tolist(), ends.tolist(), cores.tolist())]
-            yield pd.DataFrame(out, columns=["h", "sh", "d", "b", "c", "i", "g"])
-
-    def in_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            runs = []
-            for at in pdf["at"]:
-                mask = np.zeros(max(at) + 1, dtype=bool)
-                mask[at] = True
-                runs.append(_runs(mask))
-            yield pd.DataFrame({"h": pdf["h"], "sh": pdf["sh"], "runs": runs})
-
-    def again(df: DataFrame, *by: str) -> DataFrame:
-        often = cut(df.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1").select(*by))
-        return df.join(often, list(by))
-
-    blocks = rows.mapInPandas(hashed, "h long, sh long, d int, b int, c long, i int, g array<long>")
-    strings = cut(again(blocks, "h", "b", "c").select("h", "sh", "d", "i", F.posexplode("g").alias("k", "g")).select(
-        "h", "sh", (F.col("d") - F.col("k")).alias("d"), (F.col("i") + F.col("k")).alias("i"), "g"))
+def blocks_of(row: bytes, o: int, length: int, width: int) -> list[tuple[int, int, int, bytes]]:
+    """Blocks of a segment's strings whose anchor (at ``o`` in the segment) has
+    its place in one range of ``width``: first string, last string + 1, number
+    of the range, and the bytes that strings of that range all hold."""
+    n = len(row) - length + 1
+    number = (o - np.arange(n)) // width
+    first = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+    return [(i, j, b, row[o - b * width:o - b * width - width + 1 + length])
+            for i, j, b in zip(first.tolist(), np.r_[first[1:], n].tolist(), number[first].tolist())]
+
+
+def _sorted_groups(pdf: pd.DataFrame, key: str, length: int) -> list[np.ndarray]:
+    """Masks over the strings of each row's bytes, ``key`` by ``key`` in the
+    order of the rows."""
+    h = pdf[key].to_numpy()
+    raw, many, at = pdf["bytes"].tolist(), pdf["many"].tolist(), pdf["o"].tolist()
+    edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]).tolist() + [len(h)]
+    groups = [(raw[a:b], many[a:b], at[a:b]) for a, b in zip(edge, edge[1:])]
+    return [m for group in repeated_strings(groups, length) for m in group]
+
+
+def split_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """``h, sh, runs`` of the distinct segments ``h, sh, many, o, bytes`` of
+    large anchors: the runs of strings that occur anywhere else.
+
+    Each round has a row for each block. Equal blocks are one row of their
+    subgroup (their bytes are compared); subgroups of up to SPLIT distinct bytes
+    are sorted, larger ones are cut into narrower blocks. At a width of one
+    place a block is a string and a subgroup's strings are all alike."""
+    spark = rows.sparkSession
+
+    def runs_of(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["g", "o"], kind="stable")
+        masks = _sorted_groups(pdf, "g", length)
+        return pd.DataFrame({"g": pdf["g"], "o": pdf["o"], "bytes": pdf["bytes"], "runs": [_runs(m) for m in masks]})
+
+    pending = rows.select("h", "sh", F.lit(0).alias("i"), "o", "bytes")
+    found = None
+    for width in [w for w in WIDTHS if w <= length - gram + 1]:
+
+        def narrowed(batches: Iterator[pd.DataFrame], width=width) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                out = []
+                for h, sh, i, o, row in zip(*[pdf[c].tolist() for c in ("h", "sh", "i", "o", "bytes")]):
+                    for a, z, b, core in blocks_of(row, o, length, width):
+                        sign = xxhash.xxh64_intdigest(core, (h ^ (b * 0x9E3779B97F4A7C15)) & 0xFFFFFFFFFFFFFFFF)
+                        out.append((h, sh, i + a, o - a, sign - (sign >> 63 << 64), row[a:z - 1 + length]))
+                yield pd.DataFrame(out, columns=["h", "sh", "i", "o", "g", "bytes"])
+
+        blocks = cut(pending.mapInPandas(narrowed, "h long, sh long, i int, o int, g long, bytes binary"))
+        distinct = cut(blocks.groupBy("g", "o", "bytes").agg(F.count("*").alias("n")))
+        sizes = distinct.groupBy("g").agg(F.sum("n").alias("all"), F.sum(F.octet_length("bytes")).alias("size"))
+        sizes = cut(sizes.filter("all > 1").select("g", (F.col("size") > SPLIT).alias("large") if width > 1 else F.lit(False).alias("large")))
+        total = distinct.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SORTED))
+        small = distinct.join(sizes.filter("not large"), "g").select("g", "o", "bytes", (F.col("n") > 1).alias("many"))
+        hits = (
+            small.withColumn("part", F.pmod(F.hash("g"), F.lit(parts))).repartition(parts, "part")
+            .groupBy("part").applyInPandas(runs_of, "g long, o int, bytes binary, runs array<int>").filter(F.size("runs") > 0)
+        )
+        its = blocks.join(cut(hits), ["g", "o", "bytes"]).select(
+            "h", "sh", F.transform("runs", lambda r: r + F.col("i")).alias("runs"))
+        found = its if found is None else found.unionByName(its)
+        large = sizes.filter("large")
+        if large.isEmpty():
+            break
+        pending = blocks.join(large, "g").select("h", "sh", "i", "o", "bytes")
     # All strings of a segment that occurs twice do.
     whole = rows.filter("many").select("h", "sh", F.array(F.lit(0), (F.octet_length("bytes") - length + 1)).alias("runs"))
-    others = again(strings, "h", "d", "g").join(whole.select("h", "sh"), ["h", "sh"], "left_anti")
-    found = others.groupBy("h", "sh").agg(F.collect_list("i").alias("at")).mapInPandas(in_runs, "h long, sh long, runs array<int>")
-    return found.unionByName(whole)
+    return found.join(whole.select("h", "sh"), ["h", "sh"], "left_anti").unionByName(whole)
 
 
 def _runs(mask: np.ndarray) -> list[int]:
@@ -255,7 +272,7 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
     )
     # Anchors that occur once go. Counts combine before they are shuffled, and
     # Spark splits a frequent anchor's rows in the join.
-    every = segments(keyed, length, gram)
+    every = cut(segments(keyed, length, gram))
     often = cut(every.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
     found = cut(every.join(often, "h"))
     # Each distinct segment is read in one text.
@@ -288,17 +305,13 @@ def repeated_ranges(docs: DataFrame, text: str = "text", length: int = LENGTH, g
 
     def sort(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "sh"], kind="stable")
-        h = pdf["h"].to_numpy()
-        raw, many, at = pdf["bytes"].tolist(), pdf["many"].tolist(), pdf["o"].tolist()
-        edge = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]).tolist() + [len(h)]
-        groups = [(raw[a:b], many[a:b], at[a:b]) for a, b in zip(edge, edge[1:])]
-        masks = [m for group in repeated_strings(groups, length) for m in group]
-        return pd.DataFrame({"h": h, "sh": pdf["sh"].to_numpy(), "runs": [_runs(m) for m in masks]})
+        masks = _sorted_groups(pdf, "h", length)
+        return pd.DataFrame({"h": pdf["h"], "sh": pdf["sh"], "runs": [_runs(m) for m in masks]})
 
     hits = (
         cut_out.filter("not large").withColumn("part", F.pmod(F.hash("h"), F.lit(parts))).repartition(parts, "part")
         .groupBy("part").applyInPandas(sort, "h long, sh long, runs array<int>").filter(F.size("runs") > 0)
-    ).unionByName(split_anchors(cut_out.filter("large"), length))
+    ).unionByName(split_anchors(cut_out.filter("large"), length, gram))
     # A text's own spans; those of its copies are equal.
     spans = found.select("h", "sh", "k1", "k2", "s").join(cut(hits), ["h", "sh"]).groupBy("k1", "k2").agg(
         F.collect_set(F.struct("s", "runs")).alias("list"))
@@ -335,18 +348,22 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     result. Columns of these names are replaced, others kept; an empty table
     stays empty.
     """
-    ranges = repeated_ranges(docs, text, length, gram)
+    return _marked(docs.drop("kept", "n_spans"), text, length, gram, "kept", "n_spans")
+
+
+def _marked(docs: DataFrame, text: str, length: int, gram: int, kept: str, n_spans: str) -> DataFrame:
+    k1, k2, r, n = private(docs, "k1", "k2", "r", "n")
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    its = docs.drop("kept", "n_spans").withColumn("_k1", F.xxhash64(raw)).withColumn("_k2", F.hash(raw))
-    ranges = cut(ranges).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),
-                                F.col("ranges").alias("_r"), F.col("n_spans").alias("_n"))
-    kept = F.aggregate("_r", F.lit("").cast("binary"), lambda b, r: F.concat(
-        b, F.substring(raw, (r["start"] + 1).cast("int"), r["size"].cast("int"))))
+    its = docs.withColumns({k1: F.xxhash64(raw), k2: F.hash(raw)})
+    ranges = cut(repeated_ranges(docs, text, length, gram)).select(
+        F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("ranges").alias(r), F.col("n_spans").alias(n))
+    # Slices of bytes, joined at once.
+    slices = F.transform(r, lambda x: F.substring(raw, (x["start"] + 1).cast("int"), x["size"].cast("int")).cast("string"))
+    joined = F.array_join(slices, "").cast("binary")
     return (
-        its.join(ranges.hint("shuffle_hash"), ["_k1", "_k2"], "left")
-        .withColumn("kept", F.when(F.col("_r").isNull(), raw).otherwise(kept))
-        .withColumn("n_spans", F.coalesce("_n", F.lit(0)).cast("long"))
-        .drop("_k1", "_k2", "_r", "_n")
+        its.join(ranges.hint("shuffle_hash"), [k1, k2], "left")
+        .select(*docs.columns, F.when(F.col(r).isNull(), raw).otherwise(joined).alias(kept),
+                F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n_spans))
     )
 
 
@@ -357,8 +374,11 @@ _WHOLE = (r"(?s)((?:[\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|[\xE0-\xEF][\x80-\xBF]{2}
 
 def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``; a character that
-    lost some of its bytes goes. Every row stays, an emptied text too."""
-    out = remove_repeats(docs, text, length, gram)
-    plain = F.regexp_replace(F.decode("kept", "ISO-8859-1"), _WHOLE, "$1")
+    lost some of its bytes goes. Every row and column stays, whatever they are
+    called, an emptied text and a null one too; copies of a text lose the same;
+    an empty table stays empty."""
+    kept, n_spans = private(docs, "kept", "n_spans")
+    out = _marked(docs, text, length, gram, kept, n_spans)
+    plain = F.regexp_replace(F.decode(kept, "ISO-8859-1"), _WHOLE, "$1")
     mended = F.encode(plain, "ISO-8859-1").cast("string")
-    return out.withColumn(text, F.when(F.col("n_spans") > 0, mended).otherwise(F.col(text))).select(*docs.columns)
+    return out.withColumn(text, F.when(F.col(n_spans) > 0, mended).otherwise(F.col(text))).select(*docs.columns)
