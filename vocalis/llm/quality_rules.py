@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, cut, private, ready, words_of
+from .common import ascii_lower, cut, private, ready, words_of
 
 #: A line is template text of a host if more than this many of its distinct
 #: documents hold it, and more than this share of them.
@@ -65,10 +65,16 @@ def base_features(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
     return df.select(*own, F.inline(F.array(F.struct(*names[:-1], failed.alias("base_failed")))))
 
 
-def normal_line(line: Column) -> Column:
-    """A line with A-Z in lower case, digits as 0, and single spaces."""
-    plain = F.regexp_replace(ascii_lower(line), "[0-9]+", "0")
-    return F.trim(F.regexp_replace(plain, SPACE, " "))
+#: White space inside a line.
+_GAP = r"[\x20\x09\x0B-\x0D]+"
+
+
+def normal_lines(text: Column) -> Column:
+    """Array of a text's lines with A-Z in lower case, digits as 0, and single
+    spaces; a space may be left at either end. The text is rewritten whole,
+    which no rule carries over a line's end."""
+    plain = F.regexp_replace(ascii_lower(text), "[0-9]+", "0")
+    return F.split(F.regexp_replace(plain, _GAP, " "), "\n")
 
 
 def text_key(text: Column) -> Column:
@@ -81,8 +87,8 @@ def line_table(docs: DataFrame, host: str, text: str) -> DataFrame:
     each row of ``docs``, its sign and its words. ``first`` marks one row of
     each document, which is there even if it has no such line (null then)."""
     per = docs.select(F.col(host).cast("string").alias("host"), text_key(F.col(text)).alias("key"),
-                      F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("at", "raw"))
-    per = per.select("host", "key", (F.col("at") == 0).alias("first"), normal_line(F.col("raw")).alias("norm"))
+                      F.posexplode(normal_lines(F.coalesce(F.col(text), F.lit("")))).alias("at", "raw"))
+    per = per.select("host", "key", (F.col("at") == 0).alias("first"), F.trim("raw").alias("norm"))
     some = F.col("norm") != ""
     return per.filter(some | F.col("first")).select(
         "host", "key", "first", F.when(some, F.xxhash64(F.md5("norm"))).alias("line"),
