@@ -54,9 +54,13 @@ def test_rows_only(spark, name):
     n = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").count()
     values = {
         "wav_features": lambda r: len(r) == n and {x["n_features"] for x in r} == {185},
-        "train_classifier": lambda r: r[0]["iteration"] == 1 and r[-1]["loss"] < r[0]["loss"],
-        "history_best": lambda r: len(r) == 1 and r[0]["best_loss"] > 0 and r[0]["best_iteration"] <= r[0]["iterations"],
-        "select_model": lambda r: {x["reg_param"] for x in r} == {0.0, 0.01, 0.1} and all(0 <= x["cv_accuracy"] <= 1 for x in r),
+        "train_classifier": lambda r: [x["run"] for x in sorted(r, key=lambda x: x["run"])] == list(range(1, len(r) + 1))
+        and min(x["loss"] for x in r) < min(r, key=lambda x: x["run"])["loss"] and all(0 <= x["val_accuracy"] <= 1 for x in r),
+        "history_best": lambda r: len(r) == 1 and r[0]["best_val_loss"] > 0 and r[0]["best_run"] <= r[0]["runs"],
+        "select_model": lambda r: {x["model"] for x in r} == {"mlp", "logistic_0", "logistic_0.01", "logistic_0.1"}
+        and sum(x["chosen"] for x in r) == 1 and all(0 <= x["val_accuracy"] <= 1 for x in r)
+        and [x["model"] for x in r if x["chosen"]] == [min(r, key=lambda x: (x["val_loss"], x["model"]))["model"]]
+        and all(abs(x["train_loss"] - x["stored_loss"]) < 1e-9 for x in r if x["chosen"]),
         "batch_score": lambda r: {x["status"] for x in r} >= {"ok", "unknown_model"}
         and len({x["vec_id"] for x in r}) == len(r),
         "mlp_evaluation": lambda r: len(r) == 1 and 0 <= r[0]["accuracy"] <= 1 and r[0]["logloss"] > 0,

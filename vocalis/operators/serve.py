@@ -88,3 +88,43 @@ def with_json(records_: DataFrame) -> DataFrame:
     """R2 as JSON text, without the map."""
     body = [c for c in records_.columns if c != "probabilities"]
     return records_.withColumn("json", F.to_json(F.struct(*body)))
+
+
+def record_schema(records_: DataFrame) -> str:
+    """The record's own schema as text, to read its JSON form back by."""
+    return records_.select(*[c for c in records_.columns if c not in ("probabilities", "json")]).schema.simpleString()
+
+
+def from_json(rows: DataFrame, schema: str, key: str, text: str = "json") -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of JSON texts: a text that isn't a record of
+    ``schema``, or is null, is rejected with ``reason`` and kept as it is."""
+    fields = schema[len("struct<"):-1]
+    got = F.from_json(F.col(text), f"struct<{fields},_malformed:string>",
+                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
+    read = rows.select(key, text).withColumn("r", got)
+    bad = F.col(text).isNull() | F.col("r").isNull() | F.col("r._malformed").isNotNull() | F.col(f"r.{key}").isNull()
+    rejects = read.filter(bad).select(key, text, F.when(F.col(text).isNull(), "no record").otherwise("malformed").alias("reason"))
+    return read.filter(~bad).select("r.*").drop("_malformed"), rejects
+
+
+HISTORY = ("key string, time timestamp, file string, main_emotion string, confidence double, model string")
+
+
+def append_history(spark: SparkSession, records_: DataFrame, path: str, clock: str) -> None:
+    """Records ``key, file, main_emotion, confidence, model`` of one batch,
+    all written at the batch's one ``clock``. A key and model that the history
+    already holds, from a batch that is replayed, stay as they were."""
+    rows = records_.select(F.col("key").cast("string").alias("key"), F.lit(clock).cast("timestamp").alias("time"),
+                           "file", "main_emotion", F.col("confidence").cast("double").alias("confidence"), "model")
+    spark.createDataFrame([], HISTORY).write.mode("append").parquet(path)  # the table, should it be the first batch
+    known = spark.read.schema(HISTORY).parquet(path).select("key", "model")
+    rows.dropDuplicates(["key", "model"]).join(known, ["key", "model"], "left_anti").write.mode("append").parquet(path)
+
+
+def newest(spark: SparkSession, path: str, k: int = 10) -> DataFrame:
+    """The newest ``k`` of the history (ties: the greater key, by text), with the
+    time as text, the display label and the confidence in whole percent."""
+    rows = spark.read.schema(HISTORY).parquet(path).orderBy(F.desc("time"), F.desc("key"), "model").limit(k)
+    shown = LB.with_display(rows, "main_emotion", prefix="main_")
+    return shown.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "file", F.col("main_label_fr").alias("main"),
+                        F.col("main_emoji").alias("emoji"), F.floor(F.col("confidence") * 100).cast("long").alias("confidence"), "model")

@@ -3,16 +3,21 @@ sizing for CPU-heavy audio work (X3).
 
 X3 in Spark terms: blobs are never shuffled to resize partitions (the
 reference's ``repartition(200)`` moved every clip). File scans already split
-by bytes (``spark.sql.files.maxPartitionBytes``); :func:`spread` only adds
-a parallelism floor for small inputs, on small rows, before they become audio.
+by bytes (``spark.sql.files.maxPartitionBytes``); :func:`byte_ranges` deals
+files to tasks by their lengths alone, and :func:`spread` adds a parallelism
+floor for small inputs, on small rows, before they become audio.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from ..session import shared_dir
+from ..sources import sinks
 
 
 def split_bucket(key) -> F.Column:
@@ -59,3 +64,31 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, key)
+
+
+def byte_ranges(files: DataFrame, target: int, order: str = "path", size: str = "length", shards: int = 64) -> DataFrame:
+    """``files`` with ``part``: consecutive files in the order of their names
+    whose lengths add up to ``target`` bytes, and no more than one file above.
+
+    A file's part is the number of whole targets in the bytes before it. Those
+    are prefix sums in two steps: inside each of ``shards`` ranges of the
+    order, whose totals alone meet in one task. Names should be unique; equal
+    ones follow each other in any order. Null lengths count as 0. Only
+    metadata is read."""
+    n = F.coalesce(F.col(size), F.lit(0)).cast("long")
+    ranged = files.repartitionByRange(shards, F.col(order)).withColumns(
+        {"_range": F.spark_partition_id(), "_bytes": n})
+    # The ranges hold for what was dealt out, so that is stored.
+    stored = sinks.materialize(ranged, shared_dir(files.sparkSession, "ranges-" + uuid.uuid4().hex))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = stored.groupBy("_range").agg(F.sum("_bytes").alias("_n")).select(  # one row per range
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.col("_start") + F.coalesce(F.sum("_bytes").over(inside), F.lit(0))
+    return (stored.join(F.broadcast(totals), "_range")
+            .withColumn("part", F.floor(upto / target).cast("long")).drop("_range", "_bytes", "_start"))
+
+
+def in_parts(df: DataFrame, n_parts: int, part: str = "part") -> DataFrame:
+    """One task for each part, by its number."""
+    return df.repartitionById(n_parts, F.col(part).cast("int"))

@@ -715,6 +715,56 @@ def q_ranked_probabilities(spark, sf):
     return SC.ranked_probabilities(s, "vec_id", _names(model))
 
 
+@register("record_json", "R2 R3", sql=_NC_CTE + f""",
+named AS (SELECT vec_id, cls, p, dense_rank() OVER (ORDER BY cls) - 1 AS idx FROM soft),
+nm AS (SELECT *, CASE WHEN idx < 8 THEN ({_NAMES_SQL})[idx + 1] ELSE 'class_' || CAST(idx AS VARCHAR) END AS emotion FROM named),
+rk AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, idx) AS rn FROM nm),
+rec AS (SELECT vec_id, max(emotion) FILTER (WHERE rn = 1) AS main_emotion, round(max(p) FILTER (WHERE rn = 1), 4) AS confidence,
+    string_agg(emotion, ' ' ORDER BY rn) AS ranked FROM rk GROUP BY vec_id)
+SELECT vec_id, CASE vec_id % 11 WHEN 3 THEN 'malformed' WHEN 5 THEN 'no record' ELSE 'ok' END AS status,
+  CASE WHEN vec_id % 11 NOT IN (3, 5) THEN main_emotion END AS main_emotion,
+  CASE WHEN vec_id % 11 NOT IN (3, 5) THEN confidence END AS confidence,
+  CASE WHEN vec_id % 11 NOT IN (3, 5) THEN ranked END AS ranked
+FROM rec
+""")
+def q_record_json(spark, sf):
+    """Records as JSON texts, some cut short and some lost, read back by the
+    record's schema: fields of the good ones, reasons of the others."""
+    from ..operators import serve
+    model, s = _nc_scored(spark, sf)
+    rec = serve.with_json(serve.records(s.withColumn("model_name", F.lit("centroid")), "vec_id", "model_name", len(model.classes)))
+    kind = F.col("vec_id") % 11
+    texts = rec.select("vec_id", F.when(kind == 3, F.expr("left(json, 40)")).when(kind != 5, F.col("json")).alias("json"))
+    good, rejects = serve.from_json(texts, serve.record_schema(rec), "vec_id")
+    good = good.select("vec_id", F.lit("ok").alias("status"), "main_emotion", "confidence",
+                       F.array_join(F.transform("ranked", lambda r: r["emotion"]), " ").alias("ranked"))
+    return good.unionByName(rejects.select("vec_id", F.col("reason").alias("status")), allowMissingColumns=True)
+
+
+@register("history_newest", "R5 T4", sql=_NC_CTE + f""",
+named AS (SELECT vec_id, cls, p, dense_rank() OVER (ORDER BY cls) - 1 AS idx FROM soft),
+nm AS (SELECT *, CASE WHEN idx < 8 THEN ({_NAMES_SQL})[idx + 1] ELSE 'class_' || CAST(idx AS VARCHAR) END AS emotion FROM named),
+best AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, idx) AS rn FROM nm),
+h AS (SELECT CAST(vec_id AS VARCHAR) AS key, '2024-05-0' || (vec_id % 3 + 1) || ' 10:30:0' || (vec_id % 3) AS time,
+  vec_id || '.wav' AS file, emotion, round(p, 4) AS c FROM best WHERE rn = 1)
+SELECT time, file, coalesce(dfr, upper(emotion[1]) || lower(emotion[2:])) AS main, coalesce(demoji, '❓') AS emoji,
+  CAST(floor(c * 100) AS BIGINT) AS confidence, 'centroid' AS model
+FROM (SELECT * FROM h ORDER BY time DESC, key DESC LIMIT 10) LEFT JOIN {_DISPLAY_SQL} ON emotion = dlabel
+""")
+def q_history_newest(spark, sf):
+    """Three batches of records written to the history, each at its clock; the
+    second comes again later and changes nothing. The newest ten."""
+    from ..operators import serve
+    model, s = _nc_scored(spark, sf)
+    rec = serve.records(s.withColumn("model_name", F.lit("centroid")), "vec_id", "model_name", len(model.classes))
+    rec = rec.select(F.col("vec_id").alias("key"), F.concat("vec_id", F.lit(".wav")).alias("file"), "main_emotion", "confidence",
+                     F.col("model_name").alias("model"))
+    path = shared_dir(spark, "history-" + uuid.uuid4().hex)
+    for batch, clock in ((0, "2024-05-01 10:30:00"), (1, "2024-05-02 10:30:01"), (2, "2024-05-03 10:30:02"), (1, "2024-05-04 10:30:03")):
+        serve.append_history(spark, rec.filter(F.col("key") % 3 == batch), path, clock)
+    return serve.newest(spark, path)
+
+
 @register("display_lookup", "J1", sql=f"""
 WITH v AS (SELECT DISTINCT label FROM embeddings),
 nm AS (SELECT dense_rank() OVER (ORDER BY label) - 1 AS idx FROM v),
@@ -787,6 +837,18 @@ def q_table_files(spark, sf):
         audio.file_name().alias("file"), head.alias("head"), tail.alias("tail"))
 
 
+@register("byte_ranges", "X3 S1", sql="WITH " + V.WAV_FILES_CTE + """
+SELECT clip, 45 + 2 * n AS length,
+  CAST(coalesce(sum(45 + 2 * n) OVER (ORDER BY clip ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 200000 AS part
+FROM wavs
+""")
+def q_byte_ranges(spark, sf):
+    """Scanned files dealt to tasks by their lengths: 200,000 bytes a task."""
+    from ..sources import audio
+    files = audio.scan_audio(spark, V.wav_files(spark, sf), "*.txt").select(audio.file_name(folder="clip").alias("clip"), "length")
+    return SP.byte_ranges(files, 200_000, "clip")
+
+
 _PCM_SQL = "round_even(greatest(least(emb[({i}) % 64 + 1], 1.0), -1.0) * 32767, 0)"
 _BYTE_SQL = "right('0' || upper(to_hex((CAST({q} AS BIGINT) + 65536) % 65536 {part})), 2)"
 
@@ -926,36 +988,70 @@ def q_failed_clips(spark, sf):
 # --------------------------------------------------------------------------
 
 def _design(spark, sf):
+    """The standardised rows, stored once for all fits, folds and scorings."""
     from ..operators import train as TR
+    from ..sources import sinks
     f = _features(spark, sf)
     voc = LN.label_vocabulary(f.filter(F.col("split") == "train"))
     f = LN.with_index(f, voc).withColumn("y", F.col("idx").cast("double"))
     scaler = LN.PopulationScaler.fit(f.filter(F.col("split") == "train"))
-    d = TR.design(f, scaler)
+    d = SP.spread(TR.design(f, scaler), "vec_id")
     n_in = len(scaler.mean)
     k = voc.count()
-    return d, n_in, k
+    return sinks.materialize(d, shared_dir(spark, "design-" + uuid.uuid4().hex)), n_in, k
 
 
-@register("train_classifier", "M7 M12", notes="rows-only: iterative optimiser history")
-def q_train_classifier(spark, sf):
+def _mlp_history(spark, sf):
     from ..operators import train as TR
     d, n_in, k = _design(spark, sf)
-    model = TR.fit_mlp(d.filter(F.col("split") == "train"), n_in, k)
-    return TR.history_frame(spark, model)
+    root = shared_dir(spark, "models-" + uuid.uuid4().hex)
+    TR.fit_in_runs(TR.mlp(n_in, k), *TR.held_out(d.filter(F.col("split") == "train")), "mlp", root)
+    return TR.read_history(spark, root)
+
+
+@register("train_classifier", "M7 M12", notes="rows-only: iterative optimiser history")
+def q_train_classifier(spark, sf):
+    """Losses and accuracies on both sides after each short run."""
+    return _mlp_history(spark, sf)
 
 
-@register("history_best", "A11 M12", notes="rows-only")
+@register("history_best", "A11 M12", notes="rows-only: over the stored history")
 def q_history_best(spark, sf):
+    """The best of the stored history; nothing is trained again for it."""
     from ..operators import train as TR
-    return TR.history_best(q_train_classifier(spark, sf))
+    return TR.history_best(_mlp_history(spark, sf))
 
 
-@register("select_model", "M8", notes="rows-only: clip-keyed folds inside train rows")
+@register("select_model", "M8 M7", notes="rows-only: clip-keyed fold inside train rows")
 def q_select_model(spark, sf):
+    """The network against three logistic regressions; the choice is fitted
+    again, saved and read back."""
     from ..operators import train as TR
     d, n_in, k = _design(spark, sf)
-    return TR.select_model(d.filter(F.col("split") == "train"), k)
+    root = shared_dir(spark, "models-" + uuid.uuid4().hex)
+    return TR.select_model(d.filter(F.col("split") == "train"), TR.candidates(n_in, k), root)
+
+
+@register("model_store", "S7 S6", sql="""
+SELECT file_name, name, (SELECT count(DISTINCT label) FROM embeddings) AS num_classes, is_loaded,
+  CAST(1 AS BIGINT) AS n_loaded, CAST(2 AS BIGINT) AS n_available
+FROM (VALUES ('voice_logreg_model', 'Voice Logreg Model', true), ('voice_logreg_model_2', 'Voice Logreg Model 2', false))
+  AS t(file_name, name, is_loaded)
+""")
+def q_model_store(spark, sf):
+    """Two fitted models saved, one of them twice and loaded: the catalogue
+    with its totals, from the table that the saves appended to."""
+    from pyspark.ml.classification import LogisticRegression
+    from ..operators import train as TR
+    d, _, _ = _design(spark, sf)
+    root = shared_dir(spark, "models-" + uuid.uuid4().hex)
+    model = LogisticRegression(featuresCol="x", labelCol="y", family="multinomial", maxIter=3).fit(d)
+    for name in ("voice_logreg_model", "voice_logreg_model_2", "voice_logreg_model"):
+        TR.save_model(model, f"{root}/{name}")
+    store = TR.ModelStore(spark, root)
+    store.load("voice_logreg_model")
+    return store.catalogue().select("file_name", "name", F.col("num_classes").cast("long").alias("num_classes"),
+                                    "is_loaded", "n_loaded", "n_available")
 
 
 @register("batch_score", "R1 R2 R4 M9 S6 S7", notes="rows-only: trained models")
