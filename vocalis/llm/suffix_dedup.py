@@ -30,6 +30,9 @@ LENGTH, GRAM = 200, 32
 AT_ONCE, SORTED = 1_000_000, 4_000_000
 #: Bytes of one anchor's distinct segments that are sorted together.
 SPLIT = 500_000
+#: Places of the anchor in strings that are looked at together, to leave out
+#: segments that share no string with any other.
+COMPANY = 32
 #: Places of the anchor in one block's strings, narrowed from first to last.
 WIDTHS = (64, 16, 4, 1)
 
@@ -149,22 +152,44 @@ def _joined(rows: list[bytes], at: list[int], length: int) -> tuple[np.ndarray,
     return np.concatenate(parts).astype(np.int64), length - (high - low) + 1
 
 
+def with_company(rows: list[bytes], at: list[int], length: int) -> list[int]:
+    """Which of an anchor's segments may share a string with another: in both,
+    its anchor's place lies in one range of COMPANY, and what all strings of
+    that range hold is the same."""
+    wide = min(COMPANY, length)
+    first: dict[tuple[int, bytes], int] = {}
+    found = set()
+    for i, (row, o) in enumerate(zip(rows, at)):
+        for b in range((o - len(row) + length) // wide, o // wide + 1):
+            s = o - b * wide
+            other = first.setdefault((b, row[s:s - wide + 1 + length]), i)
+            if other != i:
+                found.update((other, i))
+    return sorted(found)
+
+
 def repeated_strings(groups: list[tuple[list[bytes], list[bool], list[int]]], length: int) -> list[list[np.ndarray]]:
     """For each anchor's distinct segments, whether a segment occurs more than
     once, and the anchor's places: a mask over each segment's strings that
     occur anywhere else.
 
     All strings of a segment that occurs twice do. The others are found in the
-    suffix array of all the anchor's segments, where suffixes that begin with
-    the same string are neighbours."""
+    suffix array of all the anchor's segments that can share a string, where
+    suffixes that begin with the same string are neighbours."""
     masks = [[np.full(len(r) - length + 1, m) for r, m in zip(rows, many)] for rows, many, _ in groups]
-    todo = [g for g, (_, many, _) in enumerate(groups) if not all(many)]
-    texts = [_joined(groups[g][0], groups[g][2], length) for g in todo]
-    for g, (text, wide), sa in zip(todo, texts, suffix_arrays([t for t, _ in texts])):
-        sizes = np.array([len(m) + wide for m in masks[g]])
+    todo = []
+    for g, (rows, many, at) in enumerate(groups):
+        if len(rows) > 1 and not all(many):
+            some = with_company(rows, at, length)
+            if not all(many[i] for i in some):
+                todo.append((g, some))
+    texts = [_joined([groups[g][0][i] for i in some], [groups[g][2][i] for i in some], length) for g, some in todo]
+    for (g, some), (text, wide), sa in zip(todo, texts, suffix_arrays([t for t, _ in texts])):
+        mine = [masks[g][i] for i in some]
+        sizes = np.array([len(m) + wide for m in mine])
         starts = np.cumsum(sizes) - sizes
         valid = np.zeros(len(text), dtype=bool)
-        for s, m in zip(starts, masks[g]):
+        for s, m in zip(starts, mine):
             valid[s:s + len(m)] = True
         order = sa[valid[sa]]
         if len(order) < 2:
@@ -178,7 +203,7 @@ def repeated_strings(groups: list[tuple[list[bytes], list[bool], list[int]]], le
             same = (view[x] == view[y]).all(axis=1)
             hit[x[same]] = True
             hit[y[same]] = True
-        for i, (s, mask) in enumerate(zip(starts, masks[g])):
+        for i, s, mask in zip(some, starts, mine):
             masks[g][i] = mask | hit[s:s + len(mask)]
     return masks
 
