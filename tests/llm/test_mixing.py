@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import documents, edge_rows, prose
+from tests.llm.helpers import documents, edge_rows, prose, with_clashes
 from vocalis.llm import mixing
 from vocalis.llm.common import cut, n_words_of, numbered
 from vocalis.llm.registry import QUERIES
@@ -95,3 +95,13 @@ def test_query(spark):
 
 def test_prose_is_stable():
     assert prose(1, 3) == prose(1, 3)
+
+
+def test_internal_names_do_not_clash(spark):
+    names = ["_h", "_c", "_k", "_s", "_th", "h", "k", "src", "th", "copies", "uid", "size"]
+    docs = documents(spark, [(i, prose(i, 20 + i), "ab"[i % 2]) for i in range(30)])
+    got = mixing.mix_documents(with_clashes(docs, *names))
+    assert got.columns == docs.columns + names
+    rows = got.collect()
+    assert rows and all(r[n] == "clash" for r in rows for n in names)
+    assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in mixing.mix_documents(docs).collect())

@@ -50,11 +50,70 @@ def test_scores_ignore_the_batch(monkeypatch):
     each = [model.score([t])[0][0] for t in texts]
     assert np.allclose(whole, each)
     monkeypatch.setattr(C, "AT_ONCE", 640)
-    assert ((model.score(texts)[0] > 0.5) == (whole > 0.5)).all()
+    assert np.allclose(model.score(texts)[0], whole)
+
+
+def plain_features(text):
+    """Passages of 64 words, their features one by one."""
+    raw = (text or "").encode()
+    kind = [next((k for k, g in enumerate(C._GROUPS) if b in g), C.KINDS - 1) for b in raw]
+    starts = [i for i in range(len(raw)) if kind[i] > 1 and (i == 0 or kind[i - 1] <= 1)]
+    out = []
+    for a in range(0, max(1, len(starts)), 64):
+        mine = starts[a:a + 64]
+        x = np.zeros(C.WIDTH)
+        if mine:
+            stop = starts[a + 64] if a + 64 < len(starts) else len(raw)
+            # A text's bytes end with a line's end of their own.
+            k2, bytes_ = kind + [1], raw + b"\n"
+            stop = stop if a + 64 < len(starts) else len(bytes_)
+            for i in range(mine[0], stop):
+                x[C.KINDS * (k2[i - 1] if i else 1) + k2[i]] += 1
+            x[:C.KINDS ** 2] = np.sqrt(x[:C.KINDS ** 2] / x[:C.KINDS ** 2].sum())
+            words = [bytes_[i:next(j for j in range(i, len(bytes_)) if k2[j] <= 1)] for i in mine]
+            n = len(words)
+            at = C.KINDS ** 2
+            x[at] = sum(p == q for p, q in zip(words[1:], words)) / n
+            x[at + 1] = sum(p == q for p, q in zip(words[2:], words)) / n
+            x[at + 2] = len(set(words)) / n
+            x[at + 3] = sum(min(len(w), 40) for w in words) / n / 10
+            x[at + 4] = n / 64
+            x[at + 5] = np.log1p(sum(len(w) > 20 for w in words))
+        out.append(x)
+    return out
+
+
+def test_features_attention_and_score_one_by_one(monkeypatch):
+    texts = [bag(70, 3), "", None, " lead " + bag(40, 0) + "\n\nÉé 漢 1,2;3", "x" * 90 + " y y y", bag(0, 200) + " end"]
+    model = C.fit([bag(30, 0)] * 10 + [bag(3, 20)] * 10, np.array([1] * 10 + [0] * 10), steps=30)
+    p = model.p
+    for at_once in (C.AT_ONCE, 600):
+        monkeypatch.setattr(C, "AT_ONCE", at_once)
+        got, top = model.score(texts)
+        for i, t in enumerate(texts):
+            hs, logits = [], []
+            for x in plain_features(t):
+                h = np.tanh(x @ p["enc"] + p["enc0"])
+                gate = np.tanh(h @ p["v"]) * (1 / (1 + np.exp(-(h @ p["u"]))))
+                hs.append(h)
+                logits.append(gate @ p["w"])
+            a = np.exp(logits) / np.exp(logits).sum()
+            z = sum(w * h for w, h in zip(a, hs))
+            assert abs(got[i] - 1 / (1 + np.exp(-(z @ p["c"] + p["c0"][0])))) < 1e-4
+            assert logits[top[i]] > max(logits) - 1e-4
+
+
+def test_a_hot_key_leaves_the_sample(spark):
+    """A labelled key of many rows neither crowds out others nor changes reruns."""
+    rows = [(1, "!!! $$$ " * 20, "a")] * 300 + [(i, bag(5 + i, i % 2 * 20), "a") for i in range(2, 40)]
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(2, 40)] + [(1, 0)], "doc_id long, quality int")
+    docs = documents(spark, rows)
+    a, b = C.train(docs, labels, rows=40), C.train(docs.repartition(7), labels, rows=40)
+    assert a.constant is None and all((a.p[k] == b.p[k]).all() for k in a.p)
 
 
 def test_edges(spark):
-    docs = with_clashes(documents(spark, edge_rows()), "score", "predicted")
+    docs = with_clashes(documents(spark, edge_rows()), "score", "predicted", "o", "_o", "_k", "_key", "_t", "_y")
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (1, 1), (10, 0), (99, 1)], "doc_id long, quality int")
     model = C.train(docs, labels)
     out = C.classify(docs, model).collect()

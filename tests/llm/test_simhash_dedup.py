@@ -134,3 +134,11 @@ def test_long_texts_are_hashed_whole(monkeypatch):
     assert S.fingerprint(text) == fingerprint(text)
     assert S.fingerprint("x " * 5000 + "y" * 900 + "  \n") == fingerprint("x " * 5000 + "y" * 900 + "  \n")
     assert S.fingerprint("One two") == xxhash.xxh64_intdigest(b"one two", 42)
+
+
+def test_internal_names_do_not_clash(spark):
+    names = ["_h", "_bk", "_bh", "h", "bk", "bh", "key", "fp", "root", "shard", "own"]
+    docs = documents(spark, edge_rows())
+    got = S.keep_one(with_clashes(docs, *names))
+    assert got.columns == docs.columns + names
+    assert all(r[n] == "clash" for r in got.collect() for n in names)

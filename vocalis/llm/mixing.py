@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, n_words_of, numbered, ready
+from .common import cut, n_words_of, numbered, private, ready
 
 #: Documents (or residuals) that one task rounds together at each level.
 FAN_IN = 128
@@ -154,16 +154,22 @@ def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sour
                   weights: tuple[float, ...] = (5, 2, 1), max_repeat: float = 3, seed: int = 11) -> DataFrame:
     """``docs`` with every row as often as the mixture takes it (0 to
     ``max_repeat`` times). Rows that agree in key, source and text are one
-    item of their joint size and get the same number of copies each."""
+    item of their joint size and get the same number of copies each.
+
+    Null sources are one source, the last; a null text has no words and, like
+    every text without any, is not taken. All columns stay, whatever they are
+    called; an empty table stays empty."""
     ready(docs)
-    its = docs.withColumn("_h", F.xxhash64(text))
-    items = its.select(F.col(key).alias("_k"), F.col(source).cast("string").alias("source"), F.col("_h").alias("_th"),
+    h, k, src, th, c = private(docs, "h", "k", "src", "th", "copies")
+    its = docs.withColumn(h, F.xxhash64(text))
+    items = its.select(F.col(key).alias("k"), F.col(source).cast("string").alias("source"), F.col(h).alias("th"),
                        n_words_of(F.col(text)).alias("size"))
-    items = items.groupBy("_k", "source", "_th").agg(F.sum("size").alias("size"))
-    items = cut(numbered(items, ["_k", "size", "source", "_th"]))
+    items = items.groupBy("k", "source", "th").agg(F.sum("size").alias("size"))
+    items = cut(numbered(items, ["k", "size", "source", "th"]))
     taken = mix(items, weights, max_repeat, seed).filter("copies > 0").select("uid", "copies")
-    taken = items.join(taken, "uid").select("_k", F.col("source").alias("_s"), "_th", F.col("copies").alias("_c"))
-    same = (F.col(key).eqNullSafe(F.col("_k")) & F.col(source).cast("string").eqNullSafe(F.col("_s"))
-            & (F.col("_h") == F.col("_th")))
+    taken = items.join(taken, "uid").select(F.col("k").alias(k), F.col("source").alias(src), F.col("th").alias(th),
+                                            F.col("copies").alias(c))
+    same = (F.col(key).eqNullSafe(F.col(k)) & F.col(source).cast("string").eqNullSafe(F.col(src))
+            & (F.col(h) == F.col(th)))
     out = its.join(cut(taken).hint("shuffle_hash"), same)
-    return out.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_c")))).select(*docs.columns)
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(c))).alias(c)).select(*docs.columns)

@@ -17,14 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, ready
+from .common import chunks, private, ready
 
 #: Words of a passage; bytes of text encoded at once (longer texts are read in
-#: windows of that size, at spaces, and their passages start anew there).
+#: windows of about that size, cut where a passage begins).
 PASSAGE, AT_ONCE = 64, 500_000
-#: Labelled rows that a model is fitted on at most, half of each label, of
-#: texts of at most this many characters.
-FIT_ROWS, FIT_CHARS = 2_000, 60_000
+#: Labelled rows that a model is fitted on at most, half of each label.
+FIT_ROWS = 2_000
 #: Byte classes: space, newline, a-z, A-Z, digits, each kind of sign, the rest.
 _GROUPS = (b" \t\r\x0b\x0c", b"\n", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789",
            b".", b",;:", b"!?", b"|", b"#*", b"$%&", b"'\"()", b"-_/\\", b"<>@=+~^{}[]", bytes(range(128, 256)))
@@ -43,17 +42,20 @@ def _powers(n: int) -> tuple[np.uint64, np.ndarray, np.ndarray]:
     return np.uint64(base), power, np.cumprod(np.full(n, np.uint64(pow(base, -1, 1 << 64))))
 
 
-def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def passage_features(texts: list[bytes], gaps: list[bytes] | None = None, before: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
     """A row per passage of all texts, and each row's text number. A text
-    without words is one passage of zeros."""
-    flat = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
+    without words is one passage of zeros. ``gaps`` are the bytes after each
+    text, line ends unless a text goes on in the next; ``before`` is the one
+    before them all."""
+    gaps = gaps or [b"\n"] * len(texts)
+    flat = np.frombuffer(b"".join([x for t, g in zip(texts, gaps) for x in (t, g)]), dtype=np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts])
     kind = _CLASS[flat]
     solid = kind > 1
     starts = solid.copy()
     starts[1:] &= ~solid[:-1]
     first = np.flatnonzero(starts)
-    last = np.flatnonzero(solid[:-1] & ~solid[1:]) + 1  # the last byte is a newline
+    last = np.flatnonzero(solid[:-1] & ~solid[1:]) + 1  # the last byte is a gap
     owner = np.searchsorted(ends, first, side="right")
     n_words = np.bincount(owner, minlength=len(texts))
     of_text = np.maximum(1, -(-n_words // PASSAGE))  # passages of each text
@@ -69,7 +71,7 @@ def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         to_word[np.r_[-1, owner][to_word] != text_of] = 0  # before a text's first word: to none
         pair = kind.copy()
         pair[1:] += KINDS * kind[:-1]
-        pair[0] += KINDS * _CLASS[ord("\n")]  # as after another text
+        pair[0] += KINDS * _CLASS[before[0]]
         spot = np.r_[rows, passage][to_word] * (KINDS * KINDS) + pair
         counts = np.bincount(spot, minlength=(rows + 1) * KINDS * KINDS)[:rows * KINDS * KINDS]
         counts = counts.reshape(rows, KINDS * KINDS).astype(np.float32)
@@ -94,15 +96,21 @@ def passage_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x, np.repeat(np.arange(len(texts)), of_text)
 
 
-def windows(text: bytes) -> list[bytes]:
-    """A text in windows of at most AT_ONCE bytes, cut at spaces if any."""
-    out = []
-    while len(text) > AT_ONCE:
-        at = max(text.rfind(b" ", 1, AT_ONCE), text.rfind(b"\n", 1, AT_ONCE))
-        at = at if at > 0 else AT_ONCE
-        out.append(text[:at])
-        text = text[at:]
-    return [*out, text]
+def windows(text: bytes) -> list[tuple[bytes, bytes]]:
+    """A text in windows of about AT_ONCE bytes and the byte after each, cut
+    before the first word of a passage, so that the passages are those of the
+    whole text. A window that holds no whole passage is read on until it does."""
+    out, most = [], AT_ONCE
+    while len(text) > most:
+        solid = _CLASS[np.frombuffer(text, dtype=np.uint8, count=most)] > 1
+        starts = np.flatnonzero(solid & ~np.r_[False, solid[:-1]])
+        whole = (len(starts) - 1) // PASSAGE * PASSAGE
+        if whole <= 0:
+            most *= 2
+            continue
+        out.append((text[:starts[whole] - 1], text[starts[whole] - 1:starts[whole]]))
+        text, most = text[starts[whole]:], AT_ONCE
+    return [*out, (text, b"\n")]
 
 
 @dataclass
@@ -123,16 +131,17 @@ class Model:
         """Scores of whole texts, and the passage with the most attention."""
         if self.constant is not None:
             return np.full(len(texts), self.constant), np.zeros(len(texts), dtype=np.int32)
-        units, owner = [], []
+        units, gaps, owner = [], [], []
         for i, t in enumerate(texts):
-            for part in windows((t or "").encode("utf-8", "surrogatepass")):
+            for part, gap in windows((t or "").encode("utf-8", "surrogatepass")):
                 units.append(part)
+                gaps.append(gap)
                 owner.append(i)
         size = self.p["v"].shape[0]
         mass, sums = np.zeros(len(texts)), np.zeros((len(texts), size))
         top, top_at, seen = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int32), np.zeros(len(texts), np.int64)
         for a, b in chunks(units, [len(u) for u in units], AT_ONCE):
-            x, of = passage_features(units[a:b])
+            x, of = passage_features(units[a:b], gaps[a:b], gaps[a - 1] if a else b"\n")
             doc = np.array(owner[a:b])[of]
             h, logit = self.encode(x)
             e = np.exp(logit)
@@ -203,8 +212,8 @@ def fit(texts: list[str], labels: np.ndarray, hidden: int = 24, gate: int = 12,
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id",
           text: str = "text", rows: int = FIT_ROWS) -> Model:
     """Fit on a bounded sample of labelled documents: about ``rows / 2`` of
-    either label (1 or 0) at most, by hash of the key, with texts of at most
-    FIT_CHARS characters. Null keys and labels are passed over."""
+    either label (1 or 0) at most, by hash of the key; of a key's repeated
+    texts each counts once. Null keys and labels are passed over."""
     ready(docs)
     some = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).filter("_k is not null and _y in (0, 1)")
     some = some.dropDuplicates()
@@ -214,12 +223,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     for y, n in counts.items():
         share = -(-n // (rows // 2))
         keep = keep | ((F.col("_y") == y) & (F.pmod(F.xxhash64("_k"), F.lit(share)) == 0))
-    some = some.filter(keep).limit(2 * rows)
+    some = some.filter(keep).orderBy(F.xxhash64("_k"), "_k", "_y").limit(2 * rows)
     found = (
         docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
-        .filter(F.char_length("_t") <= FIT_CHARS)
         .join(F.broadcast(some), F.col("_key") == F.col("_k"))  # at most 2 * rows
-        .select("_k", "_t", "_y").limit(2 * rows).toPandas()
+        .select("_k", "_t", "_y").withColumn("_h", F.xxhash64("_k", "_t")).dropDuplicates(["_h", "_y"])
+        .orderBy("_h", "_y").limit(2 * rows).select("_k", "_t", "_y").toPandas()
     ).sort_values(["_k", "_t"], kind="stable")
     return fit(found["_t"].tolist(), found["_y"].to_numpy())
 
@@ -242,8 +251,9 @@ def classify(docs: DataFrame, model: Model, text: str = "text", threshold: float
             yield pd.DataFrame({"s": s, "p": at})
 
     out = F.pandas_udf(score, "s double, p int")
+    o = private(docs, "o")[0]
     return (
-        docs.drop("score", "predicted", "top_passage").withColumn("_o", out(F.col(text)))
-        .withColumn("score", F.col("_o.s")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
-        .withColumn("top_passage", F.col("_o.p")).drop("_o")
+        docs.drop("score", "predicted", "top_passage").withColumn(o, out(F.col(text)))
+        .withColumn("score", F.col(f"{o}.s")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+        .withColumn("top_passage", F.col(f"{o}.p")).drop(o)
     )

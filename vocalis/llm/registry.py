@@ -176,7 +176,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn(
         "held_out", bucket(F.col("doc_id"), 4) == 2)
     model = language_id.train(docs.filter(~F.col("held_out")))
-    return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+    return language_id.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
 @query

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, ready
+from .common import cut, private, ready
 
 #: Distinct fingerprints that one shard should hold, and the size below which
 #: a tree node is compared directly.
@@ -320,15 +320,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text",
              shingle: int = 3, reach: int = 3) -> DataFrame:
     """``docs`` with one row of each component: that of the least key (nulls
-    last), among its rows the one of the least text hash. All columns stay."""
+    last), among its rows the one of the least text hash. All columns stay,
+    whatever they are called; null and wordless texts are one component; an
+    empty table stays empty."""
     rows = near_duplicates(docs, key, text, shingle, reach)
+    h, bk, bh = private(docs, "h", "bk", "bh")
     order = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("k"), F.col("h").alias("h"))
     best = cut(rows.groupBy("root").agg(F.min(order).alias("b")).select(
-        F.col("b.k").alias("_bk"), F.col("b.h").alias("_bh")))
-    its = docs.withColumn("_h", F.xxhash64(text))
-    its = its.join(best.hint("shuffle_hash"), its[key].eqNullSafe(best["_bk"]) & (its["_h"] == best["_bh"]))
+        F.col("b.k").alias(bk), F.col("b.h").alias(bh)))
+    its = docs.withColumn(h, F.xxhash64(text))
+    its = its.join(best.hint("shuffle_hash"), its[key].eqNullSafe(best[bk]) & (its[h] == best[bh]))
     # Repeated rows of a survivor meet in its own partition.
-    return its.dropDuplicates([key, "_h"]).drop("_h", "_bk", "_bh")
+    return its.dropDuplicates([key, h]).select(*docs.columns)
 
 
 def labelled(rows: DataFrame, key: str, reach: int) -> DataFrame:
