@@ -44,7 +44,7 @@ def found(spark, rows, **kw):
 def test_equals_the_definition(spark, seed, monkeypatch):
     """Few words, so that phrases nest, repeat and overlap; texts cut inside."""
     monkeypatch.setattr(C, "AT_ONCE", 300)
-    monkeypatch.setattr(C, "GATHERED_WINDOWS", 40)
+    monkeypatch.setattr(C, "GATHERED_ROWS", 40)
     rng = random.Random(seed)
     words = ["a", "b", "a", "Cc", "d\x01", "a\x01", "\x02", "é", "漢", "x'y"]
     rows = []

@@ -7,9 +7,10 @@ parts along; sorted from the last word back (suffix order) the same pass
 carries the counts of all last parts. The two passes are merged again in
 phrase order. No count is looked up in a hash table.
 
-Counting goes from short to long. Counts of words, pairs and triples, kept
-under 64-bit signs, only tell what can't be frequent: a text is broken there,
-and what is left is counted exactly, as words.
+Counting goes from short to long. Words are counted as they are. Counts of
+pairs and triples, kept under 64-bit signs, only tell what can't be frequent: a
+text is broken there. What is left leaves each task as blocks of windows in
+prefix order, and blocks are merged into exact counts of all their first parts.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +37,10 @@ FILTERED = 3
 AT_ONCE = 4_000_000
 #: Entries (sign, count) that a task gathers before it sends them on.
 GATHERED = 2_000_000
-#: ... and windows, which are strings.
-GATHERED_WINDOWS = 500_000
+#: ... and rows of words or windows, which are strings.
+GATHERED_ROWS = 500_000
+#: Words of the corpus for each bucket in which blocks of windows are merged.
+WORDS_PER_BUCKET = 5_000_000
 #: Bits of the filter of possible words or pairs: about 32 for each frequent
 #: one, up to 16 MB in all. Past that it lets more through; counts stay exact.
 FILTER_BITS = 27
@@ -140,25 +144,65 @@ class _Gathered:
         return signs, np.bincount(at, weights=np.concatenate(self.counts), minlength=len(signs)).astype(np.int64)
 
 
-def _sent(lang: str, found: _Gathered) -> pa.RecordBatch:
-    signs, counts = found.merged()
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(signs), pa.string()), pa.array(signs.view(np.int64)), pa.array(counts)], ["lang", "h", "c"])
-
-
 def _sign_counts(texts: DataFrame, count, words: int) -> DataFrame:
-    """``lang, h, c`` from ``count(lang, Tokens) -> (signs, counts)`` of
-    phrases of so many words."""
+    """``h, c`` from ``count(lang, Tokens) -> (signs, counts)`` of phrases of
+    so many words."""
+    def sent(found):
+        signs, counts = found.merged()
+        return pa.RecordBatch.from_arrays([pa.array(signs.view(np.int64)), pa.array(counts)], ["h", "c"])
+
     def run(batches):
         found: dict[str, _Gathered] = {}
         for lang, some in tokens(batches, words):
             signs, counts = count(lang, some)
             if len(signs) and found.setdefault(lang, _Gathered()).add(signs, counts):
-                yield _sent(lang, found.pop(lang))
-        for lang, left in found.items():
-            yield _sent(lang, left)
+                yield sent(found.pop(lang))
+        for left in found.values():
+            yield sent(left)
+
+    return texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+
+
+def _added(tables: Iterator[pa.Table], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows ``keys, c`` of many chunks, equal keys added up over as many rows
+    as GATHERED_ROWS hold."""
+    found, rows = [], 0
+    for t in tables:
+        found.append(t)
+        rows += len(t)
+        if rows > GATHERED_ROWS:
+            found = [pa.concat_tables(found).group_by(keys).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"})]
+            rows = len(found[0])
+            if 2 * rows > GATHERED_ROWS:
+                yield found.pop()
+                rows = 0
+    if found:
+        yield pa.concat_tables(found).group_by(keys).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"})
+
+
+def _word_counts(texts: DataFrame) -> DataFrame:
+    """``lang, w, c`` of all words."""
+    def run(batches):
+        def chunks():
+            for lang, some in tokens(batches, 1):
+                c = np.bincount(some.codes[:some.own], minlength=len(some.words))
+                seen = pa.array(np.flatnonzero(c))
+                yield pa.table([pa.array([lang] * len(seen), pa.string()), some.words.take(seen).cast(pa.string()),
+                                pa.array(c[c > 0])], ["lang", "w", "c"])
+        for t in _added(chunks(), ["lang", "w"]):
+            yield from t.select(["lang", "w", "c"]).to_batches()
+
+    return texts.mapInArrow(run, "lang string, w string, c long").groupBy("lang", "w").agg(F.sum("c").alias("c"))
 
-    return texts.mapInArrow(run, "lang string, h long, c long").groupBy("lang", "h").agg(F.sum("c").alias("c"))
+
+def _word_signs(words: DataFrame) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            signs = [xxhash.xxh64_intdigest(w.encode(), xxhash.xxh64_intdigest(g.encode()))
+                     for g, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(signs, dtype=np.uint64).view(np.int64))], ["h"])
+
+    return words.select("lang", "w").mapInArrow(run, "h long")
 
 
 class Possible:
@@ -210,13 +254,10 @@ def _possible(some: Tokens, h: np.ndarray, filters: list, order: int) -> tuple[l
 
 
 def _windows(some: Tokens, masks: list[np.ndarray], longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct windows (codes, -1 where shorter) and counts: from each own
-    word that may be frequent as far as the masks of phrases of two and more
-    words allow, ``longest`` words at most."""
-    n, good, pair = some.own, masks[0], masks[1]
-    single = np.bincount(some.codes[:n][good[:n] & ~pair[:n]], minlength=len(some.words))
-    one = np.flatnonzero(single)
-    start = np.flatnonzero(pair[:n])
+    """Distinct windows of two and more words (codes, -1 where shorter) and
+    counts: from each own word that may begin a frequent pair as far as the
+    masks allow, ``longest`` words at most."""
+    start = np.flatnonzero(masks[1][:some.own])
     held = np.full((len(start), longest), -1, dtype=np.int64)
     held[:, 0] = some.codes[start]
     on = np.ones(len(start), dtype=bool)
@@ -229,15 +270,38 @@ def _windows(some: Tokens, masks: list[np.ndarray], longest: int) -> tuple[np.nd
     new = np.ones(len(held), dtype=bool)
     new[1:] = (held[1:] != held[:-1]).any(axis=1)
     at = np.flatnonzero(new)
-    short = np.full((len(one), longest), -1, dtype=np.int64)
-    short[:, 0] = one
-    return np.concatenate([short, held[at]]), np.concatenate([single[one], np.diff(np.append(at, len(held)))])
-
-
-def _added(found: list[pa.Table], names: list[str]) -> pa.Table:
-    """Equal windows of several chunks as one row each."""
-    added = pa.concat_tables(found).group_by(["lang", *names]).aggregate([("c", "sum")])
-    return added.rename_columns([c.removesuffix("_sum") for c in added.column_names]).select(["lang", *names, "c"])
+    return held[at], np.diff(np.append(at, len(held)))
+
+
+def _block(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def merged_counts(blocks: list[bytes], names: list[str], least: int) -> pa.Table:
+    """``lang, phrase, m, f`` of the windows' first parts of two and more words
+    that occur ``least`` times: the blocks are merged in prefix order, where a
+    part's windows follow each other."""
+    rows = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blocks])
+    rows = rows.sort_by([(k, "ascending") for k in ("lang", *names)]).combine_chunks()
+    count = rows["c"].to_numpy()
+    new, out = np.zeros(len(rows), dtype=bool), []
+    new[:1] = True
+    for m, key in enumerate(("lang", *names)):
+        codes = pc.fill_null(rows[key].combine_chunks().dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+        if m < 2:
+            continue
+        at = np.flatnonzero(new)
+        f = np.add.reduceat(count, at) if len(at) else count[:0]
+        keep = (f >= least) & (codes[at] >= 0)
+        some = rows.take(pa.array(at[keep]))
+        phrase = pc.binary_join_element_wise(*[some[k] for k in names[:m]], " ")
+        out.append(pa.table([some["lang"], phrase, pa.array(np.full(int(keep.sum()), m, dtype=np.int32)), pa.array(f[keep])],
+                            ["lang", "phrase", "m", "f"]))
+    return pa.concat_tables(out)
 
 
 def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -245,56 +309,52 @@ def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST)
     occurs ``least`` times or more, and ``lang, n`` (all words), from ``lang,
     text`` rows without nulls. Every part of a frequent phrase is frequent, so
     windows that end where a part is not lose none; the windows' first parts
-    then add up to exact counts of all orders."""
+    then add up to exact counts of all orders. Windows of one first pair meet
+    in one bucket; there are as many as the words need."""
     spark = ready(texts)
     texts = texts.select("lang", "text")
-    filters, totals = [], None
-    for order in range(1, min(FILTERED, longest) + 1):
+    counted = cut(_word_counts(texts))
+    totals = counted.groupBy("lang").agg(F.sum("c").alias("n"))
+    words = counted.filter(F.col("c") >= least)
+    filters = [spark.sparkContext.broadcast(Possible(_word_signs(words)))]
+    for order in range(2, min(FILTERED, longest) + 1):
         sent = list(filters)
 
         def count(lang, some, order=order, sent=sent):
-            h = some.signs(lang)
-            if order == 1:
-                c = np.bincount(some.codes[:some.own], minlength=len(some.words))
-                return h[c > 0], c[c > 0]
-            masks, signs = _possible(some, h, [f.value for f in sent], order)
+            masks, signs = _possible(some, some.signs(lang), [f.value for f in sent], order)
             return np.unique(signs[:some.own][masks[-1][:some.own]], return_counts=True)
 
-        signs = _sign_counts(texts, count, order)
-        if totals is None:
-            signs = cut(signs)
-            totals = signs.groupBy("lang").agg(F.sum("c").alias("n"))
-        frequent = cut(signs.filter(F.col("c") >= least).select("h"))
+        frequent = cut(_sign_counts(texts, count, order).filter(F.col("c") >= least).select("h"))
         filters.append(spark.sparkContext.broadcast(Possible(frequent)))
     names = [f"w{k}" for k in range(1, longest + 1)]
+    n = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / WORDS_PER_BUCKET))
 
     def windows(batches):
-        found, rows = [], 0
-        for lang, some in tokens(batches, longest):
-            masks, _ = _possible(some, some.signs(lang), [f.value for f in filters], len(filters))
-            held, c = _windows(some, masks, longest)
-            cols = [some.words.take(pa.array(held[:, k], mask=held[:, k] < 0)).cast(pa.string()) for k in range(longest)]
-            found.append(pa.table([pa.array([lang] * len(c), pa.string()), *cols, pa.array(c)], ["lang", *names, "c"]))
-            rows += len(c)
-            if rows > GATHERED_WINDOWS:
-                found = [_added(found, names)]
-                rows = len(found[0])
-                if 2 * rows > GATHERED_WINDOWS:
-                    yield from found.pop().to_batches()
-                    rows = 0
-        if found:
-            yield from _added(found, names).to_batches()
-
-    schema = "lang string, " + ", ".join(f"{x} string" for x in names) + ", c long"
-    rows = texts.mapInArrow(windows, schema).groupBy("lang", *names).agg(F.sum("c").alias("c"))
-    held = F.filter(F.array(*names), lambda w: w.isNotNull())
-    parts = rows.withColumn("held", held).select(
-        "lang", "c", "held", F.explode(F.sequence(F.lit(1), F.size("held"))).alias("m"))
-    counts = (
-        parts.select("lang", F.array_join(F.slice("held", 1, F.col("m")), " ").alias("phrase"), "m", "c")
-        .groupBy("lang", "phrase", "m").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
-    )
-    return cut(counts), totals
+        def chunks():
+            for lang, some in tokens(batches, longest):
+                h = some.signs(lang)
+                masks, _ = _possible(some, h, [f.value for f in filters], len(filters))
+                held, c = _windows(some, masks, longest)
+                bucket = (_sign(h[held[:, 0]], h[held[:, 1]]) % np.uint64(buckets)).astype(np.int64)
+                cols = [some.words.take(pa.array(held[:, k], mask=held[:, k] < 0)).cast(pa.string()) for k in range(longest)]
+                yield pa.table([pa.array(bucket), pa.array([lang] * len(c), pa.string()), *cols, pa.array(c)],
+                               ["bucket", "lang", *names, "c"])
+
+        for t in _added(chunks(), ["bucket", "lang", *names]):
+            t = t.sort_by([(k, "ascending") for k in ("bucket", "lang", *names)]).combine_chunks()
+            bucket = t["bucket"].to_numpy()
+            at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else bucket
+            some = [_block(t.slice(a, b - a).select(["lang", *names, "c"])) for a, b in zip(at, np.r_[at[1:], len(bucket)])]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[at]), pa.array(some, pa.binary())], ["bucket", "block"])
+
+    def merge(group: pa.Table) -> pa.Table:
+        return merged_counts(group["block"].to_pylist(), names, least)
+
+    phrases = texts.mapInArrow(windows, "bucket long, block binary").groupBy("bucket").applyInArrow(
+        merge, "lang string, phrase string, m int, f long")
+    single = words.select("lang", F.col("w").alias("phrase"), F.lit(1).alias("m"), F.col("c").alias("f"))
+    return cut(phrases.unionByName(single)), totals
 
 
 def stream(counts: DataFrame, longest: int, reverse: bool) -> DataFrame:
