@@ -147,6 +147,24 @@ def test_build_corpus_end_to_end(spark, tmp_path):
     assert t.filter("augmentation = 'white_noise'").count() == sum(1 for rs in per_path.values() if len(rs) == 4)
 
 
+def test_long_files_take_the_chunked_path(spark, tmp_path):
+    """Files above the byte bound, long and short clips among them, give the
+    same table as all files at once."""
+    from vocalis.plans.corpus import build_corpus
+    root = tempfile.mkdtemp(prefix="vocalis-wav-long-")
+    _write_corpus(root)
+    with open(os.path.join(root, "Savee", "DC_a07.wav"), "wb") as fh:
+        fh.write(b"no sound, but many bytes" * 2000)
+    key = lambda r: (r["path"], r["augmentation"])
+    whole = sorted(build_corpus(spark, root, str(tmp_path / "a")).collect(), key=key)
+    # 0.2 s and 0.3 s stay below the bound, 0.4 s is stored but short, 0.5 s is long
+    split = sorted(build_corpus(spark, root, str(tmp_path / "b"), long_file_bytes=15_000, long_clip_samples=9_500).collect(), key=key)
+    assert [key(r) for r in whole] == [key(r) for r in split] and len(whole) >= 5
+    for a, b in zip(whole, split):
+        assert (a["status"], a["label"], a["split"], a["augment_status"]) == (b["status"], b["label"], b["split"], b["augment_status"])
+        assert np.allclose(a["features"], b["features"], rtol=1e-4, atol=1e-4)
+
+
 def test_stream_picks_up_only_new_files(spark):
     root = tempfile.mkdtemp(prefix="vocalis-wav-incr-")
     _write_corpus(root)
