@@ -10,6 +10,8 @@ variant's tag (the fallback) and says so in ``augment_status``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dsp, vocab
+from ..functions.batches import slices, small_batches
 from ..session import ship_package
 
 AUG_TYPE = T.StructType([
@@ -59,9 +62,11 @@ def _one(x, tag: str):
 
 
 @F.pandas_udf(AUG_TYPE)
-def augment_udf(samples: pd.Series, tag: pd.Series) -> pd.DataFrame:
-    out = [_one(x, t) for x, t in zip(samples, tag)]
-    return pd.DataFrame({"samples": [o[0] for o in out], "status": [o[1] for o in out]})
+def augment_udf(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for samples, tag in slices(*batch):
+            out = [_one(x, t) for x, t in zip(samples, tag)]
+            yield pd.DataFrame({"samples": [o[0] for o in out], "status": [o[1] for o in out]})
 
 
 def augment(fanned: DataFrame, key: str, samples: str = "samples", quantize: bool = True) -> DataFrame:
@@ -72,6 +77,7 @@ def augment(fanned: DataFrame, key: str, samples: str = "samples", quantize: boo
     ``quantize`` puts the variants on the 16-bit grid that re-encoded PCM
     holds (G6); the original is as it was decoded."""
     ship_package(fanned.sparkSession)
+    small_batches(fanned.sparkSession)
     a = "_augmented"
     out = fanned.withColumn(a, augment_udf(F.col(samples), F.col("augmentation")))
     noise = noise_sql(f"concat(CAST(`{key}` AS STRING), '|', augmentation)", f"size({a}.samples)")
