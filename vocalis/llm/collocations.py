@@ -33,12 +33,12 @@ LONGEST, LEAST = 5, 100
 #: Words of the longest phrase that is filtered by its sign.
 FILTERED = 3
 #: Bytes of text looked at together; a word and its gap have two or more, so
-#: word codes within stay below 2^21.
-AT_ONCE = 4_000_000
+#: word codes within stay below 2^20.
+AT_ONCE = 2_000_000
 #: Entries (sign, count) that a task gathers before it sends them on.
-GATHERED = 2_000_000
+GATHERED = 1_000_000
 #: ... and rows of words or windows, which are strings.
-GATHERED_ROWS = 500_000
+GATHERED_ROWS = 300_000
 #: Words of the corpus for each bucket in which blocks of windows are merged.
 WORDS_PER_BUCKET = 5_000_000
 #: Bits of the filter of possible words or pairs: about 32 for each frequent
