@@ -106,3 +106,33 @@ def test_any_number_of_letters_has_codes_of_its_own():
     kinds, n = np.unique(codes, return_counts=True)
     p = np.exp(L.KneserNey(kinds, n, alphabet.bits).log_probability(codes))
     assert ((p > 0) & (p <= 1)).all()
+
+
+def test_the_level_holds_over_all_rows(spark):
+    rng = np.random.default_rng(5)
+    for scores in (rng.uniform(0, 1, 5000), rng.beta(20, 1, 5000), np.ones(50), np.array([0.25]), np.r_[np.full(30, 0.5), np.ones(970)]):
+        df = spark.createDataFrame([(float(s),) for s in scores], "score double")
+        for error in (0.01, 0.03, 0.5):
+            level = L._level(df, error)
+            assert (scores < level).sum() <= error * len(scores)
+            higher = (np.floor(scores * 1e6) < level * 1e6 + 1).sum()   # one millionth up would take in too many
+            assert higher > error * len(scores)
+    assert L._level(spark.createDataFrame([], "score double"), 0.01) == 0.0
+
+
+def test_calibration_counts_every_text(spark):
+    """3,000 texts: the level found by hand over all of them."""
+    rng = np.random.default_rng(11)
+    words = {"en": ["the", "cat", "house", "runs", "over", "mat"], "de": ["die", "katze", "haus", "matte", "uber", "der"]}
+    rows = [(i, " ".join(rng.choice(words["en"] + words["de"] if i % 50 < 3 else words[lang], 1 + i % 6)), lang)
+            for i in range(3000) for lang in [("en", "de")[i % 2]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(docs)
+    alphabet = L.Alphabet(model.letters)
+    entropy = L._entropies([r[1] for r in rows], alphabet, model.models)
+    truth = np.array([model.langs.index(r[2]) for r in rows])
+    at = np.arange(len(rows))
+    losses = {x: -np.log(L._softmax(entropy, x)[at, truth] + 1e-9).mean() for x in (2.0 ** k for k in range(7))}
+    assert losses[model.sharpness] <= min(losses.values()) + 1e-6
+    right = L._softmax(entropy, model.sharpness).max(1)[entropy.argmin(1) == truth]
+    assert abs(model.reject_below - np.sort(right)[int(0.01 * len(right))]) < 2e-6

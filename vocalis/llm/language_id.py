@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, cut, private, ready
@@ -200,14 +200,14 @@ def _softmax(entropy: np.ndarray, sharpness: float) -> np.ndarray:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang",
-          sample: int = 2000, target_error: float = 0.01) -> LanguageModel:
+          target_error: float = 0.01) -> LanguageModel:
     """Learn from every row with a non-null text and language.
 
     Counts cover all rows and all letters. What reaches the driver are the
     letters and each language's distinct codes: at most 2**24 with up to 62
     letters, and as many as the texts hold beyond. The score's sharpness and the rejection
-    level are calibrated on at most ``sample`` texts (by hash of the text):
-    scores below the level hold at most ``target_error`` of the right ones.
+    level are calibrated on all of these texts: scores below the level hold
+    at most ``target_error`` of the right ones.
     """
     ready(docs)
     docs = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
@@ -225,23 +225,50 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang",
     plain = LanguageModel(letters, langs, models, 1.0, 0.0)
     if not models:
         return plain
-    # Calibration on a sample by hash of the text, scored by the executors.
-    share = max(1, docs.count() // sample)
-    some = docs.filter(F.pmod(F.xxhash64(text), F.lit(share)) == 0)
-    rows = (
-        some.select(F.col(lang).cast("string").alias("lang"), _scorer(docs, plain)(F.col(text))["entropy"].alias("e"))
-        .filter("e is not null").orderBy(F.xxhash64("lang", "e"), "e").limit(4 * sample).collect()
-    )
-    if not rows:
+    # Calibration: every text's entropies, from the executors, stored once.
+    scored = docs.select(F.col(lang).cast("string").alias("lang"), _scorer(docs, plain)(F.col(text))["entropy"].alias("e"))
+    truth = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int")
+    rows = cut(scored.filter("e is not null").select("e", truth.alias("truth"), F.array_min("e").alias("least")))
+    sharps = [2.0 ** k for k in range(0, 7)]
+    # Whole millionths add up to the same total in any order.
+    losses = rows.agg(*[F.sum(F.round(-F.log(_share(F.element_at("e", F.col("truth")), x) + 1e-9) * 1e6).cast("long"))
+                        for x in sharps]).first()
+    if losses[0] is None:
         return plain
-    truth = np.array([langs.index(r["lang"]) for r in rows], dtype=np.int64)
-    entropy, at = np.array([r["e"] for r in rows]), np.arange(len(rows))
-    sharpness = float(min((2.0 ** k for k in range(0, 7)),
-                          key=lambda x: -np.log(_softmax(entropy, x)[at, truth] + 1e-9).mean()))
-    score = _softmax(entropy, sharpness).max(1)
-    right = score[entropy.argmin(1) == truth]
-    level = float(np.quantile(right, target_error)) if len(right) else 0.0
-    return LanguageModel(letters, langs, models, sharpness, level)
+    sharpness = min(zip(losses, sharps))[1]
+    right = rows.filter(F.col("truth") == F.array_position("e", F.col("least")))
+    return LanguageModel(letters, langs, models, sharpness,
+                         _level(right.select(_share(F.col("least"), sharpness).alias("score")), target_error))
+
+
+def _share(entropy: Column, sharpness: float) -> Column:
+    """The softmax share of one language's entropy among all in ``e``, whose
+    smallest is ``least``."""
+    total = F.aggregate("e", F.lit(0.0), lambda a, x: a + F.exp((F.col("least") - x) * sharpness))
+    return F.exp((F.col("least") - entropy) * sharpness) / total
+
+
+def _level(scores: DataFrame, error: float) -> float:
+    """The highest whole millionth below which at most ``error`` of all rows'
+    ``score`` lie (0 without rows), from counts by thousandths, then by
+    millionths inside one of them."""
+    at = scores.select(F.floor(F.least("score", F.lit(1.0)) * 1_000_000).alias("at"))
+
+    def counts(rows: DataFrame, by: Column) -> list[tuple[int, int]]:
+        return sorted(map(tuple, rows.groupBy(by.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()))  # at most 1001 rows
+
+    below, most, k = 0, None, 0
+    thousandth = F.floor(F.col("at") / 1000)
+    for rows, by in ((at, thousandth), (at, F.col("at"))):
+        found = counts(rows if most is None else rows.filter(thousandth == k), by)
+        most = error * sum(n for _, n in found) if most is None else most
+        for k, n in found:
+            if below + n > most:
+                break
+            below += n
+        else:
+            below -= found[-1][1] if found else 0
+    return k / 1_000_000
 
 
 def _scorer(docs: DataFrame, model: LanguageModel):
