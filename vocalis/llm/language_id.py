@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, cut, private, ready
@@ -227,48 +227,54 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang",
         return plain
     # Calibration: every text's entropies, from the executors, stored once.
     scored = docs.select(F.col(lang).cast("string").alias("lang"), _scorer(docs, plain)(F.col(text))["entropy"].alias("e"))
-    truth = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int")
-    rows = cut(scored.filter("e is not null").select("e", truth.alias("truth"), F.array_min("e").alias("least")))
+    truth = (F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")) - 1).cast("int")
+    rows = cut(scored.filter("e is not null").select("e", truth.alias("truth")))
     sharps = [2.0 ** k for k in range(0, 7)]
-    # Whole millionths add up to the same total in any order.
-    losses = rows.agg(*[F.sum(F.round(-F.log(_share(F.element_at("e", F.col("truth")), x) + 1e-9) * 1e6).cast("long"))
-                        for x in sharps]).first()
-    if losses[0] is None:
+
+    @F.pandas_udf("array<double>")
+    def losses(e: pd.Series, truth: pd.Series) -> pd.Series:
+        entropy, at = np.stack(e.to_list()), np.arange(len(e))
+        return pd.Series(list(np.stack([-np.log(_softmax(entropy, x)[at, truth.to_numpy()] + 1e-9) for x in sharps], 1)))
+
+    each = rows.select(losses("e", "truth").alias("loss"))
+    # Decimals add up to the same total in any order.
+    total = each.agg(*[F.sum(F.col("loss")[k].cast("decimal(28,15)")) for k in range(len(sharps))]).first()
+    if total[0] is None:
         return plain
-    sharpness = min(zip(losses, sharps))[1]
-    right = rows.filter(F.col("truth") == F.array_position("e", F.col("least")))
-    return LanguageModel(letters, langs, models, sharpness,
-                         _level(right.select(_share(F.col("least"), sharpness).alias("score")), target_error))
-
-
-def _share(entropy: Column, sharpness: float) -> Column:
-    """The softmax share of one language's entropy among all in ``e``, whose
-    smallest is ``least``."""
-    total = F.aggregate("e", F.lit(0.0), lambda a, x: a + F.exp((F.col("least") - x) * sharpness))
-    return F.exp((F.col("least") - entropy) * sharpness) / total
-
-
-def _level(scores: DataFrame, error: float) -> float:
-    """The highest whole millionth below which at most ``error`` of all rows'
-    ``score`` lie (0 without rows), from counts by thousandths, then by
-    millionths inside one of them."""
-    at = scores.select(F.floor(F.least("score", F.lit(1.0)) * 1_000_000).alias("at"))
-
-    def counts(rows: DataFrame, by: Column) -> list[tuple[int, int]]:
-        return sorted(map(tuple, rows.groupBy(by.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()))  # at most 1001 rows
-
-    below, most, k = 0, None, 0
-    thousandth = F.floor(F.col("at") / 1000)
-    for rows, by in ((at, thousandth), (at, F.col("at"))):
-        found = counts(rows if most is None else rows.filter(thousandth == k), by)
-        most = error * sum(n for _, n in found) if most is None else most
-        for k, n in found:
-            if below + n > most:
+    sharpness = min(zip(total, sharps))[1]
+
+    @F.pandas_udf("double")
+    def top(e: pd.Series) -> pd.Series:
+        return pd.Series(_softmax(np.stack(e.to_list()), sharpness).max(1))
+
+    right = rows.filter(F.array_position("e", F.array_min("e")) - 1 == F.col("truth"))
+    level = _quantile(cut(right.select(top("e").alias("score"))), target_error)
+    return LanguageModel(letters, langs, models, sharpness, level)
+
+
+def _quantile(scores: DataFrame, share: float) -> float:
+    """The quantile of all rows' ``score``, between the two next in order
+    (0 without rows)."""
+    place = share * (scores.count() - 1)
+    if place < 0:
+        return 0.0
+    lower = _ranked(scores, int(place))
+    return float(np.quantile([lower, _ranked(scores, int(place) + 1)], place - int(place))) if place > int(place) else lower
+
+
+def _ranked(scores: DataFrame, rank: int) -> float:
+    """The ``score`` of a rank from 0, exactly: counts by thousandths of a
+    range tell in which of them it lies, which is the next range."""
+    ends = scores.agg(F.min("score"), F.max("score")).first()
+    low, high = ends[0], ends[1]
+    while low < high:
+        k = F.floor((F.col("score") - low) / (high - low) * 1000).alias("k")
+        inside = scores.filter(F.col("score").between(low, high))
+        for _, n, low, high in inside.groupBy(k).agg(F.count(F.lit(1)), F.min("score"), F.max("score")).orderBy("k").collect():
+            if rank < n:  # of at most 1001 rows
                 break
-            below += n
-        else:
-            below -= found[-1][1] if found else 0
-    return k / 1_000_000
+            rank -= n
+    return low
 
 
 def _scorer(docs: DataFrame, model: LanguageModel):
