@@ -3,6 +3,7 @@
 import pytest
 
 from conftest import SF_SMALL
+from vocalis.operators import spectral as SPC
 from vocalis.plans.queries import REGISTRY
 
 
@@ -35,6 +36,17 @@ def test_feature_extraction_is_narrow(spark):
     assert "Exchange" not in p and "SortMergeJoin" not in p
 
 
+@pytest.mark.parametrize("name,kernels", [("power_spectrum", 1), ("mel_bands", 1), ("chroma_mean", 1), ("mfcc_mean", 2)])
+def test_spectral_kernel_runs_once(spark, name, kernels):
+    assert _plan(spark, name).count("ArrowEvalPython") == kernels
+
+
+def test_clips_without_a_vector_explode_to_no_rows(spark):
+    df = spark.createDataFrame([(1, [0.5, 0.25]), (2, []), (3, None)], "clip_id long, v array<double>")
+    got = SPC.exploded(df, df["v"], "i", "x").collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 0.5), (1, 1, 0.25)]
+
+
 def test_scoring_does_not_shuffle(spark):
     for name in ("nearest_centroid_pred", "standardize_apply"):
         assert "Exchange" not in _plan(spark, name)
