@@ -2,8 +2,10 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vocalis.functions import batches as B
 from vocalis.operators import augment as AU
@@ -59,3 +61,26 @@ def test_decoding_many_rows_keeps_each_row_its_own(spark):
             assert r["decode_status"] == "ok" and np.abs(np.array(r["samples"]) - clips[r["k"]]).max() < 1e-3
         else:
             assert r["decode_status"] == "empty" and r["samples"] == []
+
+
+def test_long_arrays_leave_the_kernels_as_arrow(spark):
+    """A pandas UDF would make a Python object of each sample."""
+    x = _clips(3, 4096)
+    wavs = pa.array([audio.encode_pcm16(x[0], 22050), None, b"junk"], pa.binary())
+    out = list(audio.decode_udf.func(iter([wavs])))
+    assert all(isinstance(b, pa.StructArray) for b in out)
+    assert [r["status"] for b in out for r in b.to_pylist()] == ["ok", "empty", "decode_error"]
+    samples = pa.array([x[0], None, x[1]], pa.list_(pa.float32()))
+    (b,) = SPC.spectral_udf(n_fft=64, hop=16, n_mels=8).func(iter([samples]))
+    assert isinstance(b, pa.StructArray) and [r["rms"] is None for r in b.to_pylist()] == [False, True, False]
+
+
+def test_struct_array_takes_missing_values_as_pandas_does():
+    rows = {"v": [np.array([1.5, np.nan]), None, []], "x": [1.0, None, float("nan")], "n": [1, None, 3], "s": ["a", None, "c"]}
+    schema = T.StructType([T.StructField("v", T.ArrayType(T.FloatType(), False)), T.StructField("x", T.DoubleType()),
+                           T.StructField("n", T.IntegerType()), T.StructField("s", T.StringType())])
+    a, b, c = B.struct_array(rows, schema).to_pylist()
+    assert a["v"][0] == 1.5 and np.isnan(a["v"][1]) and (a["x"], a["n"], a["s"]) == (1.0, 1, "a")
+    assert b == {"v": None, "x": None, "n": None, "s": None}
+    assert c == {"v": [], "x": None, "n": 3, "s": "c"}
+    assert len(B.struct_array({k: [] for k in rows}, schema)) == 0
