@@ -78,3 +78,50 @@ def test_stream_batches_do_not_grow_in_number(spark, tmp_path, monkeypatch, n, m
     with pytest.raises(InterruptedError):
         Q.q_audio_stream(spark, str(tmp_path))
     assert seen["max_files"] == most
+
+
+def _files_of_many_lengths(root):
+    os.makedirs(root / "in" / "a b%20#")
+    rows = {}
+    for k, size in enumerate([1, 4, 7, 8, 9, 12, 5000]):
+        rows[f"é {k}.wav"] = data = bytes((k * 31 + i) % 256 for i in range(size))
+        (root / "in" / "a b%20#" / f"é {k}.wav").write_bytes(data)
+    return {name: (len(d), d[:4].hex().upper(), d[-4:].hex().upper()) for name, d in rows.items()}
+
+
+@pytest.mark.parametrize("store", ["mounted", "viewfs"])
+def test_ends_of_long_files_are_those_of_their_content(spark, tmp_path, store):
+    want, root = _files_of_many_lengths(tmp_path), str(tmp_path / "in")
+    if store == "viewfs":  # nothing but Hadoop's client reaches it
+        spark.sparkContext._jsc.hadoopConfiguration().set(
+            "fs.viewfs.mounttable.ends.link./in", "file://" + str(tmp_path / "in"))
+        root = "viewfs://ends/in"
+    head, tail = audio.file_ends()
+    files = audio.scan_audio(spark, root)
+    got = audio.ends_of_long(files, longest=8)
+    assert got.columns == files.columns
+    assert {r["path"].split(":")[0] for r in got.collect()} == {"file" if store == "mounted" else "viewfs"}
+    rows = {r["f"]: (r["length"], r["h"], r["t"]) for r in got.select(
+        audio.file_name().alias("f"), "length", head.alias("h"), tail.alias("t")).collect()}
+    assert rows == want
+    assert max(len(r["content"]) for r in got.collect()) == 8
+    times = {r["path"]: r["modificationTime"] for r in files.collect()}
+    assert {r["path"]: r["modificationTime"] for r in got.collect()} == times
+    with pytest.raises(ValueError):
+        audio.ends_of_long(files, longest=7)
+
+
+def test_table_files_above_2_gb(spark, tmp_path):
+    """Spark refuses to read a file of that length as one value."""
+    with open(tmp_path / "lineitem.parquet", "wb") as f:
+        f.write(b"PAR1")
+        f.seek(2**31 + 100)  # a hole, which takes no room
+        f.write(b"PAR1")
+    (tmp_path / "nation.parquet").mkdir()
+    (tmp_path / "nation.parquet" / "part-0.parquet").write_bytes(b"PAR1xPAR2")
+    got = Q.q_table_files(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [("lineitem.parquet", "50415231", "50415231"), ("part-0.parquet", "50415231", "50415232")]
+
+
+def test_no_files_have_no_ends(spark, tmp_path):
+    assert audio.ends_of_long(audio.scan_audio(spark, str(tmp_path))).count() == 0
